@@ -1,91 +1,9 @@
-"""Query catalog: every operator as a (spark, sf_dir) -> DataFrame query over the
-driver tables, and its equivalent DuckDB SQL where SQL can say it.
-
-Column names are aliased identically on both sides.
-"""
+"""Query catalog: imports every query module and exposes the two driver maps."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-from voxpop.operators import aggregates as G
-from voxpop.operators import filters as P
-from voxpop.operators import joins as J
-from voxpop.sources import driver_tables as DT
-
-Query = Callable[[SparkSession, str], DataFrame]
-
-QUERIES: dict[str, Query] = {}
-ORACLE: dict[str, str] = {}
-
-
-def register(name: str, sql: str | None = None):
-    def deco(fn: Query) -> Query:
-        QUERIES[name] = fn
-        if sql is not None:
-            ORACLE[name] = sql.strip()
-        return fn
-
-    return deco
-
-
-# ---------------------------------------------------------------------------
-# Shared SQL fragments (DuckDB dialect) mirroring the driver-table adapters.
-# ---------------------------------------------------------------------------
-SQL_LABELS = """
-    SELECT CAST(doc_id AS VARCHAR) AS id, quality AS dem, toxic AS gop,
-           CAST(CASE WHEN toxic = 1 THEN -1 WHEN quality = 1 THEN 1 ELSE 0 END AS INTEGER) AS djt
-    FROM labels"""
-SQL_LABELLED_TEXTS = """
-    SELECT CAST(doc_id AS VARCHAR) AS id, text AS body, source AS author_flair_text, n_chars
-    FROM documents"""
-SQL_LABELLED = f"""
-    SELECT c.id, c.body, c.author_flair_text, c.n_chars, l.dem, l.gop, l.djt,
-           CASE WHEN l.djt = 1 THEN 1 ELSE 0 END AS positive,
-           CASE WHEN l.djt = -1 THEN 1 ELSE 0 END AS negative
-    FROM ({SQL_LABELLED_TEXTS}) c JOIN ({SQL_LABELS}) l ON c.id = l.id"""
-
-
-def labelled_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Labelled comments with 0/1 positive/negative targets (J1 + P2)."""
-    joined = J.label_join(DT.labels(spark, sf_dir), DT.labelled_comment_texts(spark, sf_dir))
-    return P.label_targets(joined)
-
-
-# ---------------------------------------------------------------------------
-# Minimum slice: labelled shares per title, top 10.
-# ---------------------------------------------------------------------------
-@register(
-    "top_titles_pos",
-    f"""
-    SELECT author_flair_text AS title,
-           CAST(sum(positive) AS DOUBLE) / count(positive) AS percentage
-    FROM ({SQL_LABELLED}) t
-    GROUP BY author_flair_text
-    ORDER BY percentage DESC, title ASC
-    LIMIT 10""",
-)
-def top_titles_pos(spark: SparkSession, sf_dir: str) -> DataFrame:
-    shares = G.share_by(labelled_targets(spark, sf_dir), "author_flair_text", "positive", out_key="title")
-    return G.top_k(shares, "percentage", 10, tie_col="title")
-
-
-@register(
-    "top_titles_neg",
-    f"""
-    SELECT author_flair_text AS title,
-           CAST(sum(negative) AS DOUBLE) / count(negative) AS percentage
-    FROM ({SQL_LABELLED}) t
-    GROUP BY author_flair_text
-    ORDER BY percentage DESC, title ASC
-    LIMIT 10""",
-)
-def top_titles_neg(spark: SparkSession, sf_dir: str) -> DataFrame:
-    shares = G.share_by(labelled_targets(spark, sf_dir), "author_flair_text", "negative", out_key="title")
-    return G.top_k(shares, "percentage", 10, tie_col="title")
+from voxpop.plans import relational_queries, text_queries  # noqa: F401  (registers queries)
+from voxpop.plans.registry import ORACLE, QUERIES, Query
 
 
 def queries() -> dict[str, Query]:
