@@ -48,8 +48,8 @@ def approval_ratio(pos: Column | str, neg: Column | str, scale: Column | float)
 def approval_bucket(ratio: Column | str) -> Column:
     """Ratio -> bucket value (cut points as in the code, not the legend)."""
     r = _c(ratio)
-    expr = None
+    expr = F.when(r.isNull(), F.lit(None).cast("double"))
     for cut, bucket in RATIO_BUCKETS:
         cond = r >= F.lit(cut)
-        expr = F.when(cond, F.lit(bucket)) if expr is None else expr.when(cond, F.lit(bucket))
+        expr = expr.when(cond, F.lit(bucket))
     return expr.otherwise(F.lit(RATIO_FLOOR_BUCKET))

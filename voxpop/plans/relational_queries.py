@@ -5,8 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from voxpop.functions import scales as S
+from voxpop.functions import text as T
 from voxpop.operators import aggregates as G
-from voxpop.plans.registry import SQL_LABELLED, labelled_targets, register
+from voxpop.operators import filters as P
+from voxpop.operators import joins as J
+from voxpop.plans.registry import (
+    SQL_LABELLED,
+    SQL_LABELLED_TEXTS,
+    SQL_LABELS,
+    labelled_targets,
+    register,
+)
+from voxpop.plans.text_queries import SQL_BI, SQL_COMMENTS_RAW, SQL_TRI, SQL_UNI, sql_words
+from voxpop.sources import driver_tables as DT
 
 
 # ---------------------------------------------------------------------------
@@ -42,3 +54,349 @@ def top_titles_neg(spark: SparkSession, sf_dir: str) -> DataFrame:
     return G.top_k(shares, "percentage", 10, tie_col="title")
 
 
+# ---------------------------------------------------------------------------
+# Labels, targets, splits
+# ---------------------------------------------------------------------------
+SQL_LABEL_JOIN = f"""
+    SELECT c.id, c.body, c.author_flair_text, c.n_chars, l.dem, l.gop, l.djt
+    FROM ({SQL_LABELLED_TEXTS}) c JOIN ({SQL_LABELS}) l ON c.id = l.id"""
+
+
+@register("label_join", SQL_LABEL_JOIN)
+def label_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return J.label_join(DT.labels(spark, sf_dir), DT.labelled_comment_texts(spark, sf_dir)).select(
+        "id", "body", "author_flair_text", "n_chars", "dem", "gop", "djt"
+    )
+
+
+@register(
+    "label_join_comma",
+    f"""
+    SELECT t.id, array_to_string(list_concat(list_concat({SQL_UNI}, {SQL_BI}), {SQL_TRI}), ' ') AS grams,
+           t.dem, t.gop, t.djt
+    FROM (SELECT w.*, j.dem, j.gop, j.djt
+          FROM ({sql_words(SQL_LABEL_JOIN)}) w JOIN ({SQL_LABEL_JOIN}) j ON w.id = j.id) t""",
+)
+def label_join_comma(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The comma-join form in SQL; grams are computed after the join, so only
+    labelled comments are cleaned."""
+    DT.labelled_comment_texts(spark, sf_dir).createOrReplaceTempView("vp_comments")
+    J.sized_broadcast(DT.labels(spark, sf_dir)).createOrReplaceTempView("vp_labels")
+    joined = spark.sql(
+        "SELECT c.id, c.body, l.dem, l.gop, l.djt FROM vp_comments c, vp_labels l WHERE c.id = l.id"
+    )
+    grams = T.with_gram_list(joined, "body")
+    return grams.select("id", F.array_join("grams", " ").alias("grams"), "dem", "gop", "djt")
+
+
+@register("label_targets", f"SELECT id, positive, negative FROM ({SQL_LABELLED}) t")
+def label_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return labelled_targets(spark, sf_dir).select("id", "positive", "negative")
+
+
+SQL_BUCKET = "((('0x' || substr(md5(CAST({k} AS VARCHAR)), 1, 8))::BIGINT) % 10000)"
+SQL_SPLIT = f"CASE WHEN {SQL_BUCKET.format(k='id')} < 5000 THEN 'train' ELSE 'test' END"
+
+
+@register("hash_split", f"SELECT id, {SQL_SPLIT} AS split FROM ({SQL_LABELLED}) t")
+def hash_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return P.hash_split(labelled_targets(spark, sf_dir), "id", 0.5).select("id", "split")
+
+
+@register(
+    "label_distribution",
+    f"""
+    SELECT {SQL_SPLIT} AS split, positive AS label, count(*) AS count
+    FROM ({SQL_LABELLED}) t GROUP BY 1, 2""",
+)
+def label_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
+    split = P.hash_split(labelled_targets(spark, sf_dir), "id", 0.5)
+    return G.label_distribution(split.withColumnRenamed("positive", "label"), "label", by=["split"])
+
+
+@register(
+    "hash_sample",
+    f"""
+    SELECT id, link_id FROM ({SQL_COMMENTS_RAW}) c
+    WHERE {SQL_BUCKET.format(k='id')} < 2000""",
+)
+def hash_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return P.hash_sample(DT.comments(spark, sf_dir), "id", 0.2).select("id", "link_id")
+
+
+@register(
+    "prediction_having",
+    f"""
+    SELECT positive AS prediction, count(*) AS count
+    FROM ({SQL_LABELLED}) t GROUP BY positive HAVING positive = 1""",
+)
+def prediction_having(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = labelled_targets(spark, sf_dir).withColumnRenamed("positive", "prediction")
+    return G.count_having(t, "prediction", 1)
+
+
+@register(
+    "top_titles_not_perfect",
+    f"""
+    SELECT title, percentage FROM (
+        SELECT author_flair_text AS title, CAST(sum(positive) AS DOUBLE) / count(positive) AS percentage
+        FROM ({SQL_LABELLED}) t GROUP BY author_flair_text) s
+    WHERE percentage <> 1.0
+    ORDER BY percentage DESC, title ASC
+    LIMIT 11""",
+)
+def top_titles_not_perfect(spark: SparkSession, sf_dir: str) -> DataFrame:
+    shares = G.share_by(labelled_targets(spark, sf_dir), "author_flair_text", "positive", out_key="title")
+    return G.top_k_below_perfect(shares, "percentage", 11, tie_col="title")
+
+
+# ---------------------------------------------------------------------------
+# Comments and submissions
+# ---------------------------------------------------------------------------
+def _sql_epoch(ts: str) -> str:
+    return (
+        f"(datediff('day', DATE '1970-01-01', CAST({ts} AS DATE)) * 86400 + hour({ts}) * 3600"
+        f" + minute({ts}) * 60 + second({ts}))"
+    )
+
+
+def _sql_day(ep: str) -> str:
+    d = f"(DATE '1970-01-01' + CAST(floor({ep} / 86400) AS INTEGER))"
+    return f"CAST(year({d}) * 10000 + month({d}) * 100 + day({d}) AS INTEGER)"
+
+
+SQL_COMMENTS = f"""
+    SELECT CAST(c.conv_id * 1000 + c.turn AS VARCHAR) AS id, c.text AS body,
+           't3_' || CAST(c.conv_id AS VARCHAR) AS link_id, c.role AS author_flair_text,
+           CAST(length(c.text) AS BIGINT) AS score, e.ep + c.turn AS created_utc
+    FROM conversations c
+    LEFT JOIN (SELECT event_id, {_sql_epoch('ts')} AS ep FROM events) e ON c.conv_id = e.event_id
+    WHERE c.turn > 0"""
+SQL_SUBMISSIONS = """
+    SELECT CAST(conv_id AS VARCHAR) AS id, text AS title, CAST(length(text) AS BIGINT) AS score
+    FROM conversations WHERE turn = 0"""
+
+
+@register(
+    "comment_submission_join",
+    f"""
+    SELECT s.id AS id, c.id AS comment_id, c.created_utc, {_sql_day('c.created_utc')} AS ts,
+           s.title, c.author_flair_text, c.score AS c_score, s.score AS s_score, c.body
+    FROM ({SQL_COMMENTS}) c JOIN ({SQL_SUBMISSIONS}) s ON regexp_replace(c.link_id, '^t3_', '') = s.id""",
+)
+def comment_submission_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return J.comment_submission_join(
+        DT.comments(spark, sf_dir, with_time=True), DT.submissions(spark, sf_dir)
+    )
+
+
+@register(
+    "comment_submission_join_hot_split",
+    f"""
+    SELECT s.id AS id, c.id AS comment_id, c.created_utc, {_sql_day('c.created_utc')} AS ts,
+           s.title, c.author_flair_text, c.score AS c_score, s.score AS s_score, c.body
+    FROM ({SQL_COMMENTS}) c JOIN ({SQL_SUBMISSIONS}) s ON regexp_replace(c.link_id, '^t3_', '') = s.id""",
+)
+def comment_submission_join_hot_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J3 with explicit hot-submission splitting (submissions above 1 % of comments)."""
+    return J.comment_submission_join(
+        DT.comments(spark, sf_dir, with_time=True), DT.submissions(spark, sf_dir), hot_key_fraction=0.01
+    )
+
+
+@register(
+    "link_match_count",
+    f"""
+    SELECT count(*) AS n_matches
+    FROM ({SQL_COMMENTS_RAW}) c JOIN ({SQL_SUBMISSIONS}) s ON regexp_replace(c.link_id, '^t3_', '') = s.id""",
+)
+def link_match_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return J.link_match_count(DT.comments(spark, sf_dir), DT.submissions(spark, sf_dir))
+
+
+# ---------------------------------------------------------------------------
+# Sentiment reports over the scored stand-in
+# ---------------------------------------------------------------------------
+SQL_ACTIVITY = f"""
+    SELECT {_sql_epoch('ts')} AS created_utc,
+           CAST(event_type = 'purchase' AS INTEGER) AS pos,
+           CAST(event_type = 'error' AS INTEGER) AS neg,
+           CAST(floor(value) AS BIGINT) AS c_score, user_id AS s_score
+    FROM events"""
+SQL_REGIONAL = """
+    SELECT n.n_name AS author_flair_text,
+           CAST(e.event_type = 'purchase' AS INTEGER) AS pos,
+           CAST(e.event_type = 'error' AS INTEGER) AS neg
+    FROM events e
+    LEFT JOIN (SELECT c.c_custkey, n.n_name FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey) n
+      ON e.user_id = n.c_custkey"""
+SQL_BY_DAY = f"""
+    SELECT {_sql_day('created_utc')} AS date, avg(pos) AS Positive, avg(neg) AS Negative
+    FROM ({SQL_ACTIVITY}) a GROUP BY 1"""
+
+# Parameters standing in for the reference's report settings.
+DAY_EXCLUDE = [20181231]  # the mislabelled day dropped by the report
+# The driver's nation names are NATION_0 .. NATION_24.
+REGION_EXCLUDE = ["NATION_8", "NATION_24"]  # regions left off the map
+MAP_OVERRIDE = {"NATION_17": 0.3}  # manual value for one region, positive map
+APPROVAL_OVERRIDE = {"NATION_17": 0.31}  # manual value for one region, approval map
+
+
+@register("sentiment_by_day", SQL_BY_DAY)
+def sentiment_by_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return G.sentiment_by_day(DT.daily_activity(spark, sf_dir))
+
+
+@register(
+    "day_filter",
+    f"""
+    SELECT CAST(strptime(CAST(date AS VARCHAR), '%Y%m%d') AS DATE) AS date, Positive, Negative
+    FROM ({SQL_BY_DAY}) d
+    WHERE date NOT IN ({', '.join(str(d) for d in DAY_EXCLUDE)})
+    ORDER BY date""",
+)
+def day_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    daily = P.exclude_values(sentiment_by_day(spark, sf_dir), "date", DAY_EXCLUDE)
+    return daily.select(T.day_key_to_date("date").alias("date"), "Positive", "Negative").orderBy("date")
+
+
+@register(
+    "sentiment_by_story_score",
+    f"""
+    SELECT s_score AS submission_score, avg(pos) AS Positive, avg(neg) AS Negative
+    FROM ({SQL_ACTIVITY}) a GROUP BY s_score""",
+)
+def sentiment_by_story_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return G.sentiment_by_score(DT.daily_activity(spark, sf_dir), "s_score", "submission_score")
+
+
+@register(
+    "sentiment_by_comment_score",
+    f"""
+    SELECT c_score AS comment_score, avg(pos) AS Positive, avg(neg) AS Negative
+    FROM ({SQL_ACTIVITY}) a GROUP BY c_score""",
+)
+def sentiment_by_comment_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return G.sentiment_by_score(DT.daily_activity(spark, sf_dir), "c_score", "comment_score")
+
+
+@register(
+    "sentiment_overall",
+    f"SELECT avg(pos) AS Positive, avg(neg) AS Negative FROM ({SQL_ACTIVITY}) a",
+)
+def sentiment_overall(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return G.sentiment_overall(DT.daily_activity(spark, sf_dir))
+
+
+# ---------------------------------------------------------------------------
+# Regional report
+# ---------------------------------------------------------------------------
+SQL_BY_STATE = f"""
+    SELECT trim(author_flair_text) AS state, avg(pos) AS Positive, avg(neg) AS Negative
+    FROM ({SQL_REGIONAL}) r GROUP BY 1"""
+SQL_LOOKUP = f"""
+    SELECT state, Positive, Negative FROM (
+        SELECT d.state, s.state AS matched, s.Positive, s.Negative,
+               row_number() OVER (PARTITION BY d.state ORDER BY (s.state = d.state) DESC, s.state ASC) AS rn
+        FROM (SELECT n_name AS state FROM nation
+              WHERE n_name NOT IN ({', '.join("'" + r + "'" for r in REGION_EXCLUDE)})) d
+        JOIN ({SQL_BY_STATE}) s ON lower(trim(s.state)) = lower(trim(d.state))) c
+    WHERE rn = 1"""
+
+
+def _sql_override(col: str, overrides: dict) -> str:
+    whens = " ".join(f"WHEN state = '{k}' THEN CAST({v} AS DOUBLE)" for k, v in overrides.items())
+    return f"CASE {whens} ELSE {col} END"
+
+
+def _sql_intensity(expr: str, vmin: float, vmax: float) -> str:
+    scaled = f"(({expr}) - CAST({vmin} AS DOUBLE)) / CAST({vmax - vmin} AS DOUBLE)"
+    return f"CASE WHEN {scaled} >= 0 THEN 1.0 - sqrt({scaled}) END"
+
+
+def regional_sentiment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return G.sentiment_by_state(DT.regional_activity(spark, sf_dir))
+
+
+def region_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return J.region_lookup(DT.region_names(spark, sf_dir), regional_sentiment(spark, sf_dir), exclude=REGION_EXCLUDE)
+
+
+@register("sentiment_by_state", SQL_BY_STATE)
+def sentiment_by_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return regional_sentiment(spark, sf_dir)
+
+
+@register("state_lookup", SQL_LOOKUP)
+def state_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return region_table(spark, sf_dir)
+
+
+@register(
+    "state_override",
+    f"SELECT state, {_sql_override('Positive', MAP_OVERRIDE)} AS Positive, Negative FROM ({SQL_LOOKUP}) l",
+)
+def state_override(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return P.override_values(region_table(spark, sf_dir), "state", "Positive", MAP_OVERRIDE)
+
+
+@register(
+    "map_intensity_pos",
+    f"""
+    SELECT state, {_sql_intensity('Positive', *S.POSITIVE_RANGE)} AS intensity
+    FROM (SELECT state, {_sql_override('Positive', MAP_OVERRIDE)} AS Positive FROM ({SQL_LOOKUP}) l) o""",
+)
+def map_intensity_pos(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = P.override_values(region_table(spark, sf_dir), "state", "Positive", MAP_OVERRIDE)
+    return t.select("state", S.positive_intensity("Positive").alias("intensity"))
+
+
+@register(
+    "map_intensity_neg",
+    f"SELECT state, {_sql_intensity('Negative', *S.NEGATIVE_RANGE)} AS intensity FROM ({SQL_LOOKUP}) l",
+)
+def map_intensity_neg(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return region_table(spark, sf_dir).select("state", S.negative_intensity("Negative").alias("intensity"))
+
+
+@register(
+    "map_intensity_diff",
+    f"SELECT state, {_sql_intensity('Negative - Positive', *S.DIFFERENCE_RANGE)} AS intensity FROM ({SQL_LOOKUP}) l",
+)
+def map_intensity_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return region_table(spark, sf_dir).select(
+        "state", S.difference_intensity("Positive", "Negative").alias("intensity")
+    )
+
+
+SQL_APPROVAL = f"""
+    SELECT state,
+           (SELECT avg(neg) / avg(pos) FROM ({SQL_REGIONAL}) r) * Positive / NULLIF(Negative, 0) AS ratio
+    FROM (SELECT state, {_sql_override('Positive', APPROVAL_OVERRIDE)} AS Positive, Negative
+          FROM ({SQL_LOOKUP}) l) o"""
+
+
+def _approval(spark: SparkSession, sf_dir: str) -> DataFrame:
+    overall = G.sentiment_overall(DT.regional_activity(spark, sf_dir))
+    # One value from a global aggregate, planned as a scalar subquery.
+    scale = overall.select(F.col("Negative") / F.col("Positive")).scalar()
+    t = P.override_values(region_table(spark, sf_dir), "state", "Positive", APPROVAL_OVERRIDE)
+    return t.select("state", S.approval_ratio("Positive", "Negative", scale).alias("ratio"))
+
+
+@register("approval_ratio", SQL_APPROVAL)
+def approval_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _approval(spark, sf_dir)
+
+
+@register(
+    "approval_bucket",
+    f"""
+    SELECT state, ratio,
+           CASE WHEN ratio IS NULL THEN NULL WHEN ratio >= 1.05 THEN CAST(0.8 AS DOUBLE)
+                WHEN ratio >= 0.99 THEN CAST(0.6 AS DOUBLE) WHEN ratio >= 0.96 THEN CAST(0.4 AS DOUBLE)
+                ELSE CAST(0.2 AS DOUBLE) END AS bucket
+    FROM ({SQL_APPROVAL}) a""",
+)
+def approval_bucket(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _approval(spark, sf_dir).withColumn("bucket", S.approval_bucket("ratio"))

@@ -112,7 +112,9 @@ def regional_activity(spark: SparkSession, sf_dir: str) -> DataFrame:
     users = cust.join(nat, cust["c_nationkey"] == nat["n_nationkey"]).select(
         F.col("c_custkey"), F.col("n_name").alias("author_flair_text")
     )
-    return ev.join(users, ev["user_id"] == users["c_custkey"]).select(
+    # Left join: events of users without a customer row keep a NULL region,
+    # which stays its own group downstream.
+    return ev.join(users, ev["user_id"] == users["c_custkey"], "left").select(
         "author_flair_text",
         (F.col("event_type") == "purchase").cast("int").alias("pos"),
         (F.col("event_type") == "error").cast("int").alias("neg"),
@@ -120,12 +122,18 @@ def regional_activity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def daily_activity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events as timed sentiment rows: (created_utc, pos, neg)."""
+    """Events as scored rows: (created_utc, pos, neg, c_score, s_score).
+
+    c_score = floor(value) stands in for the comment score, user_id for the
+    submission score.
+    """
     ev = table(spark, sf_dir, "events")
     return ev.select(
         T.timestamp_ntz_to_epoch("ts").alias("created_utc"),
         (F.col("event_type") == "purchase").cast("int").alias("pos"),
         (F.col("event_type") == "error").cast("int").alias("neg"),
+        F.floor("value").cast("bigint").alias("c_score"),
+        F.col("user_id").alias("s_score"),
     )
 
 
