@@ -96,22 +96,28 @@ def unigrams_of(words: Column | str) -> Column:
 def ngrams_of(words: Column | str, n: int) -> Column:
     """T7c/T7d: runs of ``n`` adjacent words without punctuation, joined by ``_``.
 
-    ``words`` must be a column reference (not an inline expression): it is read
-    by index inside the lambda, and Catalyst keeps a referenced column computed
-    once per row.
+    Built by zipping shifted slices of the word array (``zip_with``), so no
+    lambda reads the outer array by index: if the optimiser inlines the word
+    expression (e.g. into a pushed-down filter), the cost stays linear in the
+    text length.
     """
     if n < 2:
         raise ValueError("n must be >= 2; use unigrams_of for n = 1")
     arr = _col(words)
+    length = F.greatest(F.size(arr) - F.lit(n - 1), F.lit(0))
 
-    def gram_at(word: Column, i: Column) -> Column:
-        parts = [F.get(arr, i - k) for k in range(n - 1, 0, -1)] + [word]
-        ok = i >= n - 1
-        for p in parts:
-            ok = ok & ~_is_bounding(p)
-        return F.when(ok, F.concat_ws("_", *parts))
+    def shifted(j: int) -> Column:
+        return F.slice(arr, F.lit(j + 1), length)
 
-    return F.filter(F.transform(arr, gram_at), lambda g: g.isNotNull())
+    # runs[i] is the run starting at word i, or NULL once it meets punctuation.
+    runs = F.transform(shifted(0), lambda w: F.when(~_is_bounding(w), w))
+    for j in range(1, n):
+        runs = F.zip_with(
+            runs,
+            shifted(j),
+            lambda run, w: F.when(run.isNotNull() & ~_is_bounding(w), F.concat(run, F.lit("_"), w)),
+        )
+    return F.filter(runs, lambda g: g.isNotNull())
 
 
 def with_grams(
@@ -122,8 +128,7 @@ def with_grams(
 ) -> DataFrame:
     """Add parsed text plus ``unigrams``, ``bigrams``, ``trigrams`` array columns.
 
-    Two projections: the word array is produced first and referenced by name, so
-    the n-gram lambdas never re-evaluate the split per element.
+    Two projections: the word array is produced once and referenced by name.
     """
     staged = df.withColumn(parsed_col, parse_text(text_col)).withColumn(
         "_words", split_words(parsed_col)
