@@ -170,7 +170,7 @@ SQL_COMMENTS = f"""
            't3_' || CAST(c.conv_id AS VARCHAR) AS link_id, c.role AS author_flair_text,
            CAST(length(c.text) AS BIGINT) AS score, e.ep + c.turn AS created_utc
     FROM conversations c
-    LEFT JOIN (SELECT event_id, {_sql_epoch('ts')} AS ep FROM events) e ON c.conv_id = e.event_id
+    LEFT JOIN (SELECT event_id, {_sql_epoch('ts')} AS ep FROM events) e ON c.conv_id * 50 = e.event_id
     WHERE c.turn > 0"""
 SQL_SUBMISSIONS = """
     SELECT CAST(conv_id AS VARCHAR) AS id, text AS title, CAST(length(text) AS BIGINT) AS score

@@ -8,7 +8,7 @@ given tables, so the work of every query grows with the data.
 |--------------------|-------------------------------------|------------------------------------------------|
 | comments           | conversations, turn > 0             | id = conv_id*1000+turn, link_id = 't3_'||conv_id,
 |                    |                                     | body = text, flair = role, score = length(text),
-|                    |                                     | created_utc = epoch(events.ts of event_id = conv_id) + turn
+|                    |                                     | created_utc = epoch(events.ts of event_id = 50*conv_id) + turn
 | submissions        | conversations, turn = 0             | id = conv_id, title = text, score = length(text)
 | labelled comments  | labels + documents                  | djt = -1 if toxic, else 1 if quality, else 0
 | text corpus        | documents, conversations, pages     | every text column, pages as url || ' ' || html
@@ -23,6 +23,11 @@ from pyspark.sql import functions as F
 from voxpop.functions import text as T
 
 
+# Ratio used to place conversations on the event timeline (the driver tables
+# hold 50-100 events per conversation at every scale factor).
+EVENTS_PER_CONVERSATION = 50
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
@@ -42,7 +47,9 @@ def comments(spark: SparkSession, sf_dir: str, with_time: bool = False) -> DataF
     events = table(spark, sf_dir, "events").select(
         F.col("event_id"), T.timestamp_ntz_to_epoch("ts").alias("_epoch")
     )
-    joined = conv.join(events, conv["conv_id"] == events["event_id"], "left")
+    # Conversation c takes the time of event c * EVENTS_PER_CONVERSATION, which
+    # spreads the threads over the event timeline at every scale factor.
+    joined = conv.join(events, conv["conv_id"] * EVENTS_PER_CONVERSATION == events["event_id"], "left")
     return joined.select(*cols, (F.col("_epoch") + F.col("turn")).alias("created_utc"))
 
 
