@@ -70,24 +70,35 @@ def train_sentiment_models(labelled_grams: DataFrame, folds: int = NUM_FOLDS, se
     each regression on the training half.
 
     ``labelled_grams`` has ``id``, ``grams``, ``positive``, ``negative``. The
-    feature frame is persisted for the duration of the fits (every fold and
-    L-BFGS iteration re-reads it) and released afterwards.
+    cleaned grams are persisted while the vocabulary is fitted and applied (so
+    the text is cleaned once), then the training features are persisted for the
+    fits (every fold and L-BFGS iteration re-reads them). The two
+    cross-validations are independent and run as concurrent Spark jobs.
     """
-    vectorizer = FE.binary_vectorizer().fit(labelled_grams)
-    feats = vectorizer.transform(labelled_grams).select("id", "features", "positive", "negative")
-    train, _ = split_labelled(feats, train_fraction)
-    train = train.persist()
+    from concurrent.futures import ThreadPoolExecutor
+
+    grams = labelled_grams.select("id", "grams", "positive", "negative").persist()
+    try:
+        vectorizer = FE.binary_vectorizer().fit(grams)
+        feats = vectorizer.transform(grams).select("id", "features", "positive", "negative")
+        train, _ = split_labelled(feats, train_fraction)
+        train = train.persist()
+        train.count()
+    finally:
+        grams.unpersist()
+    specs = {"pos": ("positive", POSITIVE_THRESHOLD), "neg": ("negative", NEGATIVE_THRESHOLD)}
+
+    def fit_one(prefix: str):
+        label_col, threshold = specs[prefix]
+        lr = logistic(threshold, label_col, prefix)
+        return cross_validator(lr, label_col, f"{prefix}_raw", folds, seed).fit(train).bestModel
+
     try:
-        stages = [vectorizer]
-        specs = {"pos": ("positive", POSITIVE_THRESHOLD), "neg": ("negative", NEGATIVE_THRESHOLD)}
-        for prefix in which:
-            label_col, threshold = specs[prefix]
-            lr = logistic(threshold, label_col, prefix)
-            cv = cross_validator(lr, label_col, f"{prefix}_raw", folds, seed)
-            stages.append(cv.fit(train).bestModel)
+        with ThreadPoolExecutor(max_workers=len(which)) as pool:
+            fitted = list(pool.map(fit_one, which))
     finally:
         train.unpersist()
-    return PipelineModel(stages=stages)
+    return PipelineModel(stages=[vectorizer, *fitted])
 
 
 def score(model: PipelineModel, df: DataFrame, keep_probability: bool = True) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from voxpop.plans import text_queries, relational_queries, model_queries, stream_queries  # noqa: F401,I001  (registers queries)
+from voxpop.plans import text_queries, relational_queries, model_queries, io_queries, stream_queries  # noqa: F401,I001  (registers queries)
 from voxpop.plans.registry import ORACLE, QUERIES, Query
 
 
