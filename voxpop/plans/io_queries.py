@@ -136,3 +136,44 @@ def title_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
 def title_shares_null_perfect(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A perfect share of 1.0 becomes NULL before ranking."""
     return P.null_perfect(title_shares(spark, sf_dir), "percentage")
+
+
+SQL_COMMENT_ROWS = """
+    SELECT CAST(conv_id * 1000 + turn AS VARCHAR) AS id, text AS body, 't3_' || CAST(conv_id AS VARCHAR) AS link_id,
+           role AS author_flair_text, CAST(length(text) AS BIGINT) AS score
+    FROM conversations WHERE turn > 0"""
+
+
+def _comments_as_json_bz2(spark: SparkSession, sf_dir: str) -> str:
+    path = _scratch(spark, "comments-json-bz2")
+    DT.comments(spark, sf_dir).write.mode("overwrite").option("compression", "bzip2").json(path)
+    return path
+
+
+@register("json_bz2_scan", f"SELECT id, body, link_id, author_flair_text, score FROM ({SQL_COMMENT_ROWS}) c")
+def json_bz2_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Comments as bz2 JSON lines, scanned with the declared schema."""
+    path = _comments_as_json_bz2(spark, sf_dir)
+    return R.read_comments(spark, path).select("id", "body", "link_id", "author_flair_text", "score")
+
+
+def _clean_sql() -> str:
+    from voxpop.plans.text_queries import SQL_BI, SQL_TRI, SQL_UNI, sql_words
+
+    return f"""
+    SELECT parsed, array_to_string({SQL_UNI}, ' ') AS unigrams, array_to_string({SQL_BI}, ' ') AS bigrams,
+           array_to_string({SQL_TRI}, ' ') AS trigrams
+    FROM ({sql_words(SQL_COMMENT_ROWS)}) t"""
+
+
+@register("json_file_clean", _clean_sql())
+def json_file_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stand-alone cleaner as a Spark job over a bz2 JSON-lines file."""
+    path = _comments_as_json_bz2(spark, sf_dir)
+    out = R.clean_json_file(spark, path + "/*.bz2")
+    return out.select(
+        "parsed",
+        F.array_join("unigrams", " ").alias("unigrams"),
+        F.array_join("bigrams", " ").alias("bigrams"),
+        F.array_join("trigrams", " ").alias("trigrams"),
+    )

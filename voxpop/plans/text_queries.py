@@ -173,3 +173,43 @@ def quote_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 def json_props_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = DT.table(spark, sf_dir, "events")
     return ev.select("event_id", F.from_json("props", "k INT").getField("k").alias("k"))
+
+
+# ---------------------------------------------------------------------------
+# The same rules through the SQL-function surface.
+# ---------------------------------------------------------------------------
+@register(
+    "sql_function_grams",
+    f"""
+    SELECT id, array_to_string(g, ' ') AS grams, CAST(len(g) AS INTEGER) AS n_grams
+    FROM (SELECT id, list_concat(list_concat({SQL_UNI}, {SQL_BI}), {SQL_TRI}) AS g
+          FROM ({sql_words(SQL_CORPUS)}) t) u""",
+)
+def sql_function_grams(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from voxpop.functions.sql import register_sql_functions
+
+    register_sql_functions(spark)
+    corpus(spark, sf_dir).createOrReplaceTempView("vp_corpus")
+    return spark.sql(
+        "SELECT id, array_join(g, ' ') AS grams, size(g) AS n_grams "
+        "FROM (SELECT id, vp_grams(body) AS g FROM vp_corpus) t"
+    )
+
+
+@register(
+    "sql_function_quote_filter",
+    f"""
+    SELECT id, regexp_replace(link_id, '^t3_', '') AS link, marked AS body
+    FROM (SELECT id, link_id, {_SQL_MARK} AS marked
+          FROM (SELECT id, body, link_id FROM ({SQL_COMMENTS_RAW}) c) u) m
+    WHERE marked <> '&gt'""",
+)
+def sql_function_quote_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from voxpop.functions.sql import register_sql_functions
+
+    register_sql_functions(spark)
+    DT.comments(spark, sf_dir).createOrReplaceTempView("vp_comment_rows")
+    return spark.sql(
+        "SELECT id, vp_strip_link(link_id) AS link, vp_mark(body) AS body "
+        "FROM vp_comment_rows WHERE vp_mark(body) <> '&gt'"
+    )
