@@ -23,6 +23,10 @@ TABLES = (
 ).split()
 
 
+SPARK_TO_DUCK = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR",
+                 "date": "DATE", "boolean": "BOOLEAN", "float": "FLOAT", "smallint": "SMALLINT"}
+
+
 def _norm(v, digits: int | None):
     if v is None:
         return None
@@ -86,6 +90,11 @@ def check(spark, sf_dir: str, names: list[str] | None = None) -> dict:
                 d_rows = [tuple(r) for r in res.fetchall()]
                 entry["oracle_rows"] = len(d_rows)
                 entry["schema_ok"] = sorted(s_cols) == sorted(d_cols)
+                s_types = {c: SPARK_TO_DUCK.get(t, t) for c, t in df.dtypes}
+                d_types = {c[0]: str(c[1]).upper() for c in res.description}
+                entry["types_ok"] = all(s_types.get(c) == d_types.get(c) for c in d_types)
+                if not entry["types_ok"]:
+                    entry["types"] = [s_types, d_types]
                 entry["exact"] = rows_of(s_cols, s_rows, None) == rows_of(d_cols, d_rows, None)
                 entry["round9"] = rows_of(s_cols, s_rows, 9) == rows_of(d_cols, d_rows, 9)
                 if not entry["schema_ok"]:
