@@ -33,8 +33,15 @@ def test_train_and_report_jobs(spark):
     reports = report.run(spark, f"{base}/comments", f"{base}/submissions", f"{base}/model", out)
     for name in reports:
         assert os.path.isdir(f"{out}/{name}.csv"), name
-    top = spark.read.option("header", True).csv(f"{out}/top_title_pos.csv")
+    from pyspark.sql import types as Ty
+
+    from voxpop.sources import readers
+
+    schema = Ty.StructType([Ty.StructField("title", Ty.StringType()), Ty.StructField("percentage", Ty.DoubleType())])
+    top = readers.read_aggregate_csv(spark, f"{out}/top_title_pos.csv", schema)
+    expected = {(r.title, r.percentage) for r in reports["top_title_pos"].collect()}
     assert 0 < top.count() <= 10
+    assert {(r.title, r.percentage) for r in top.collect()} == expected
     days = reports["time_data"].collect()
     n_comments = spark.read.parquet(f"{out}/comments.parquet").count()
     assert days and n_comments > 0

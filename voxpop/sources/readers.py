@@ -41,8 +41,12 @@ def read_parquet(spark: SparkSession, *paths: str) -> DataFrame:
 
 
 def read_aggregate_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """The small aggregate CSVs (daily, state, score tables)."""
-    return spark.read.schema(schema).option("header", True).csv(path)
+    """The small aggregate CSVs (daily, state, score tables).
+
+    Titles and flairs may hold line breaks inside quoted fields, so records are
+    read with ``multiLine`` (report files are small; splitting is not needed).
+    """
+    return spark.read.schema(schema).option("header", True).option("multiLine", True).csv(path)
 
 
 def read_gram_export(spark: SparkSession, path: str) -> DataFrame:
