@@ -75,7 +75,17 @@ def reglue(text: Column | str) -> Column:
 
 
 def parse_text(text: Column | str) -> Column:
-    """The parsed text (T1..T6 composed)."""
+    """The parsed text (T1..T6 composed).
+
+    T1 and T3 only rewrite runs of blanks, and neither a token nor the end of
+    a URL can contain a blank, so they never change the token list; the
+    composition skips those two passes and gives the same result.
+    """
+    return reglue(join_lower(tokenize(remove_urls(text))))
+
+
+def parse_text_stepwise(text: Column | str) -> Column:
+    """T7a with every rule applied literally."""
     return reglue(join_lower(tokenize(squeeze_spaces(remove_urls(fold_tab_newline(text))))))
 
 
@@ -128,15 +138,31 @@ def with_grams(
 ) -> DataFrame:
     """Add parsed text plus ``unigrams``, ``bigrams``, ``trigrams`` array columns.
 
-    Two projections: the word array is produced once and referenced by name.
+    Staged projections, each referenced by name so it is computed once per row:
+    words -> punctuation mask (NULL for bounding punctuation) -> bigram runs
+    (mask zipped with itself shifted by one) -> trigram runs (bigram runs zipped
+    with the mask shifted by two). The three gram lists are the non-NULL
+    entries of mask, bigram runs and trigram runs.
     """
-    staged = df.withColumn(parsed_col, parse_text(text_col)).withColumn(
-        "_words", split_words(parsed_col)
+    staged = (
+        df.withColumn(parsed_col, parse_text(text_col))
+        .withColumn("_words", split_words(parsed_col))
+        .withColumn("_mask", F.transform("_words", lambda w: F.when(~_is_bounding(w), w)))
     )
+
+    def tail(arr: str, start: int, drop: int) -> Column:
+        return F.slice(arr, F.lit(start), F.greatest(F.size(arr) - F.lit(drop), F.lit(0)))
+
+    def extend(run: Column, w: Column) -> Column:
+        return F.when(run.isNotNull() & w.isNotNull(), F.concat(run, F.lit("_"), w))
+
+    staged = staged.withColumn("_bi", F.zip_with(tail("_mask", 1, 1), tail("_mask", 2, 1), extend))
+    staged = staged.withColumn("_tri", F.zip_with(tail("_bi", 1, 1), tail("_mask", 3, 2), extend))
     out = (
-        staged.withColumn("unigrams", unigrams_of("_words"))
-        .withColumn("bigrams", ngrams_of("_words", 2))
-        .withColumn("trigrams", ngrams_of("_words", 3))
+        staged.withColumn("unigrams", F.filter("_mask", lambda g: g.isNotNull()))
+        .withColumn("bigrams", F.filter("_bi", lambda g: g.isNotNull()))
+        .withColumn("trigrams", F.filter("_tri", lambda g: g.isNotNull()))
+        .drop("_mask", "_bi", "_tri")
     )
     return out if keep_words else out.drop("_words")
 
