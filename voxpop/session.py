@@ -29,6 +29,49 @@ DEFAULT_CONF = {
 }
 
 
+# Runtime SQL settings for the ~100 TB target (1000 executors). Applied with
+# ``apply_cluster_conf`` to an existing session; they only change planning.
+CLUSTER_SQL_CONF = {
+    # Upper bound for shuffle width: 100 TB of comments / ~128 MiB per task.
+    # AQE coalesces small stages down, so the bound costs nothing on small ones.
+    "spark.sql.shuffle.partitions": "20000",
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    # A thread holding a third of all comments is split into many tasks.
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+    # Broadcast only what statistics or run-time sizes show to be small.
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.session.timeZone": "UTC",
+}
+
+# Static settings for spark-submit (they cannot change on a live session):
+# survive lost executors (decommissioning migrates shuffle and cached blocks,
+# tasks are retried), and name a shared checkpoint folder.
+CLUSTER_SUBMIT_CONF = {
+    "spark.executor.cores": "5",
+    "spark.executor.memory": "28g",
+    "spark.executor.memoryOverhead": "4g",
+    "spark.task.maxFailures": "8",
+    "spark.decommission.enabled": "true",
+    "spark.storage.decommission.enabled": "true",
+    "spark.storage.decommission.shuffleBlocks.enabled": "true",
+    "spark.storage.decommission.rddBlocks.enabled": "true",
+    "spark.checkpoint.dir": "<shared folder, e.g. an object-store or HDFS path>",
+    "spark.serializer": "org.apache.spark.serializer.KryoSerializer",
+}
+
+
+def apply_cluster_conf(spark: SparkSession, overrides: dict[str, str] | None = None) -> None:
+    """Set the runtime SQL settings of ``CLUSTER_SQL_CONF`` on a live session."""
+    for key, value in {**CLUSTER_SQL_CONF, **(overrides or {})}.items():
+        spark.conf.set(key, value)
+
+
 def build_session(
     master: str | None = None,
     app_name: str = "voxpop",
