@@ -101,8 +101,11 @@ def hot_key_join(
         .filter(F.col("_n") > threshold)
         .select(key)
     )
+    max_hot = int(1 / hot_fraction) + 1
     hot_b = F.broadcast(hot)  # at most 1 / hot_fraction rows
-    hot_dim = F.broadcast(dim.join(hot_b, on=key, how="left_semi"))
+    # One dim row per hot key when the dim key is unique; checked, not assumed:
+    # a larger hot side stays a shuffle join.
+    hot_dim = sized_broadcast(dim.join(hot_b, on=key, how="left_semi"), max_rows=max_hot * 16)
     hot_part = fact.join(hot_b, on=key, how="left_semi").join(hot_dim, on=key, how="inner")
     cold_part = fact.join(hot_b, on=key, how="left_anti").join(dim, on=key, how="inner")
     return hot_part.unionByName(cold_part)

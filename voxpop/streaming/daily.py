@@ -7,8 +7,8 @@ Comments arrive as files (JSON lines or Parquet). Each micro-batch:
 * cleans and scores them with the fitted model.
 
 The daily shares are a windowed aggregate with a watermark on the comment
-time. It runs in ``update`` mode and ``foreachBatch`` appends each batch's
-updated day rows, tagged with the batch id, to a Parquet table. Readers take
+time. It runs in ``update`` mode and ``foreachBatch`` writes each batch's
+updated day rows to its own ``batch_id=`` folder of a Parquet table. Readers take
 the newest row per day (``latest_daily``), so the last days are never held
 back waiting for the watermark. Checkpoints live under
 ``spark.checkpoint.dir`` (a shared folder on a cluster), so a restarted query
@@ -54,7 +54,8 @@ def start_daily_report(scored: DataFrame, out_path: str, checkpoint_path: str, w
     """Run the daily aggregate; every micro-batch appends its updated days to ``out_path``."""
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        batch.withColumn("batch_id", F.lit(batch_id)).write.mode("append").parquet(out_path)
+        # One folder per batch, overwritten on replay: a retried batch is idempotent.
+        batch.write.mode("overwrite").parquet(f"{out_path.rstrip('/')}/batch_id={batch_id}")
 
     writer = (
         daily_shares(scored, watermark)
