@@ -37,10 +37,17 @@ def test_scoring_is_one_pass_and_complete(spark):
     model = _model(spark)
     scored = score.scored_comments(spark, SF_SMALL, model=model)
     assert {"pos", "neg", "pos_p1", "neg_p1"} <= set(scored.columns)
-    # one output row per kept comment: no fan-out
-    assert scored.count() == scored.select("comment_id").distinct().count()
-    plan = scored._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("CountVectorizer") <= 1 or "features" in plan
+    # one output row per kept comment: no fan-out, and every kept comment scored
+    n = scored.count()
+    assert n == scored.select("comment_id").distinct().count()
+    assert scored.filter("pos IS NULL OR neg IS NULL").count() == 0
+    from voxpop.operators import filters as P
+    from voxpop.operators import joins as J
+    from voxpop.sources import driver_tables as DT
+
+    kept = P.quote_filter(J.comment_submission_join(DT.comments(spark, SF_SMALL, with_time=True),
+                                                    DT.submissions(spark, SF_SMALL)))
+    assert n == kept.count()
 
 
 def test_rank_auc_matches_spark_evaluator_on_model_scores(spark):
