@@ -46,21 +46,27 @@ def comment_submission_join(
 ) -> DataFrame:
     """J3 + P6/P7: comments joined to their submission on the stripped link id.
 
-    Output columns: id (submission id), comment_id, created_utc?, ts (yyyyMMdd),
-    title, author_flair_text, c_score, s_score, body.
+    Output columns: id (submission id), comment_id, created_utc?, ts (yyyyMMdd)?,
+    title, author_flair_text, c_score, s_score, body?, then any further comment
+    columns (e.g. predictions) unchanged.
 
     Skew: a single hot submission may own a large share of all comments. With
     AQE on, the sort-merge join splits the skewed partition at run time. With
     ``hot_key_fraction`` set, hot submissions are split off explicitly
     (``hot_key_join``) so the plan does not depend on AQE.
     """
+    known = {"id", "link_id", "created_utc", "author_flair_text", "score", "body"}
+    extra = [c for c in comments.columns if c not in known]
+    has_time = "created_utc" in comments.columns
+    has_body = "body" in comments.columns
     c = comments.select(
         F.col("id").alias("comment_id"),
         T.strip_link_prefix("link_id").alias("link"),
-        *([F.col("created_utc")] if "created_utc" in comments.columns else []),
+        *(["created_utc"] if has_time else []),
         "author_flair_text",
         F.col("score").alias("c_score"),
-        "body",
+        *(["body"] if has_body else []),
+        *extra,
     )
     s = submissions.select(
         F.col("id").alias("link"), "title", F.col("score").alias("s_score")
@@ -70,9 +76,10 @@ def comment_submission_join(
     else:
         joined = c.join(s, on="link", how="inner")
     cols = [F.col("link").alias("id"), "comment_id"]
-    if "created_utc" in c.columns:
+    if has_time:
         cols += ["created_utc", T.epoch_to_day("created_utc").alias("ts")]
-    cols += ["title", "author_flair_text", "c_score", "s_score", "body"]
+    cols += ["title", "author_flair_text", "c_score", "s_score"]
+    cols += (["body"] if has_body else []) + extra
     return joined.select(*cols)
 
 

@@ -1,9 +1,9 @@
 """Scoring job: every comment scored by both models, then the topic reports.
 
-    comments ⋈ submissions on the stripped link id (J3; AQE or explicit
-    hot-key split for huge threads) -> quote filter + ``/s`` removal (P5/T9)
-    -> optional deterministic sample (P15) -> grams (T7/T8)
-    -> vectorise once, both regressions (M2/M7) -> scored table
+    quote filter + ``/s`` removal (P5/T9) -> optional deterministic sample
+    (P15) -> grams (T7/T8) -> vectorise once, both regressions (M2/M7), all
+    map-side -> ⋈ submissions on the stripped link id (J3; AQE or explicit
+    hot-key split for huge threads) -> scored table
     -> shares per title / day / region / score (G2-G10), top-k (K1-K3)
 
 The scored table feeds several reports; ``report.py`` cuts its lineage into
@@ -32,13 +32,19 @@ SCORED_COLUMNS = [
 
 def scored_from(comments: DataFrame, submissions: DataFrame, model: PipelineModel,
                 sample_fraction: float | None = None, hot_key_fraction: float | None = None) -> DataFrame:
-    joined = J.comment_submission_join(comments, submissions, hot_key_fraction=hot_key_fraction)
-    kept = P.quote_filter(joined, "body")
+    """Score every kept comment, then attach its submission.
+
+    Filtering, cleaning and both models are per-row work and run map-side on
+    the comment scan; only then is the (now small) scored row joined to its
+    submission, so the comment text never crosses a shuffle.
+    """
+    kept = P.quote_filter(comments, "body")
     if sample_fraction is not None:
-        kept = P.hash_sample(kept, "comment_id", sample_fraction)
+        kept = P.hash_sample(kept, "id", sample_fraction)
     grams = T.with_gram_list(kept, "body").drop("body")
-    scored = M.score(model, grams)
-    return scored.select(*[c for c in SCORED_COLUMNS if c in scored.columns])
+    scored = M.score(model, grams).drop("grams")
+    joined = J.comment_submission_join(scored, submissions, hot_key_fraction=hot_key_fraction)
+    return joined.select(*[c for c in SCORED_COLUMNS if c in joined.columns])
 
 
 def scored_comments(spark: SparkSession, sf_dir: str, model: PipelineModel | None = None,

@@ -48,7 +48,8 @@ def comments(spark: SparkSession, sf_dir: str, with_time: bool = False) -> DataF
         F.col("event_id"), T.timestamp_ntz_to_epoch("ts").alias("_epoch")
     )
     # Conversation c takes the time of event c * EVENTS_PER_CONVERSATION, which
-    # spreads the threads over the event timeline at every scale factor.
+    # spreads the threads over the event timeline at every scale factor. This
+    # join exists only in the stand-in: forum comments carry created_utc.
     joined = conv.join(events, conv["conv_id"] * EVENTS_PER_CONVERSATION == events["event_id"], "left")
     return joined.select(*cols, (F.col("_epoch") + F.col("turn")).alias("created_utc"))
 
