@@ -60,3 +60,13 @@ def test_rank_auc_matches_spark_evaluator_on_model_scores(spark):
     theirs = E.evaluator_auc(raw, "raw", "label")
     if ours is not None:
         assert abs(ours - theirs) < 1e-9
+
+
+def test_fixed_seed_gives_equal_models(spark):
+    grams = train.labelled_grams(spark, SF_SMALL)
+    a = M.train_sentiment_models(grams, folds=3, seed=11)
+    b = M.train_sentiment_models(grams, folds=3, seed=11)
+    pa = train.held_out_predictions(spark, SF_SMALL, model=a)
+    pb = train.held_out_predictions(spark, SF_SMALL, model=b)
+    assert pa.exceptAll(pb).count() == 0 and pb.exceptAll(pa).count() == 0
+    assert a.stages[0].vocabulary == b.stages[0].vocabulary
