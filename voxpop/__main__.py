@@ -18,7 +18,8 @@ from pyspark.sql import SparkSession
 
 
 def _session() -> SparkSession:
-    spark = SparkSession.builder.appName("voxpop").getOrCreate()
+    # No web UI: batch jobs report through logs / the event log instead.
+    spark = SparkSession.builder.appName("voxpop").config("spark.ui.enabled", "false").getOrCreate()
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
     return spark
