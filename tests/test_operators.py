@@ -140,3 +140,29 @@ def test_single_csv_sink_and_parquet_roundtrip(spark):
     W.write_parquet(df, os.path.join(d, "t.parquet"))
     back = R.read_parquet(spark, os.path.join(d, "t.parquet"))
     assert sorted(tuple(r) for r in back.collect()) == [("t1", 0.5), ("t2", 1.0)]
+
+
+def test_grouping_set_tables_equal_single_aggregates(spark):
+    import random
+
+    rnd = random.Random(9)
+    rows = [
+        (rnd.choice(["t1", "t2", "t3"]), rnd.choice([20240101, 20240102]), rnd.choice(["A", " A", "B", None]),
+         rnd.randint(0, 3), rnd.randint(0, 5), float(rnd.randint(0, 1)), float(rnd.randint(0, 1)))
+        for _ in range(400)
+    ]
+    df = spark.createDataFrame(
+        rows, "title string, ts int, author_flair_text string, s_score bigint, c_score bigint, pos double, neg double"
+    )
+    t = G.sentiment_tables(df)
+
+    def as_set(d):
+        return {tuple(r) for r in d.collect()}
+
+    assert as_set(t["title_pos"]) == as_set(G.share_by(df, "title", "pos"))
+    assert as_set(t["title_neg"]) == as_set(G.share_by(df, "title", "neg"))
+    assert as_set(t["time_data"]) == as_set(G.sentiment_by(df, "ts", "date"))
+    assert as_set(t["state_data"]) == as_set(G.sentiment_by_state(df))
+    assert as_set(t["submission_score"]) == as_set(G.sentiment_by_score(df, "s_score", "submission_score"))
+    assert as_set(t["comment_score"]) == as_set(G.sentiment_by_score(df, "c_score", "comment_score"))
+    assert as_set(t["overall"]) == as_set(G.sentiment_overall(df))

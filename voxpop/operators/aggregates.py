@@ -82,3 +82,53 @@ def top_k_below_perfect(df: DataFrame, order_col: str, k: int, tie_col: str | No
     """K3 (+P14): drop shares of exactly 1.0, then take the top ``k``."""
     kept = df.filter(F.col(order_col) != F.lit(1.0))
     return top_k(kept, order_col, k, tie_col)
+
+
+# Key columns of the combined report aggregate, in grouping_id bit order.
+REPORT_KEYS = ["title", "ts", "state", "s_score", "c_score"]
+
+
+def _gid(*kept: str) -> int:
+    """grouping_id() of a grouping set: bit set for every key rolled up."""
+    n = len(REPORT_KEYS)
+    return sum(1 << (n - 1 - i) for i, k in enumerate(REPORT_KEYS) if k not in kept)
+
+
+def sentiment_tables(scored: DataFrame, pos_col: str = "pos", neg_col: str = "neg",
+                     stage=None) -> dict[str, DataFrame]:
+    """G2/G3 + G6-G10 from ONE aggregate: grouping sets over title, day,
+    region, submission score, comment score and the grand total.
+
+    The scored rows are scanned once; ``Expand`` feeds one partial aggregation
+    per task and one shuffle of partial sums. The result holds one row per
+    distinct key of each set (small), and each report is a filter on
+    ``grouping_id`` with ``sum/count`` (the same value as ``avg``). ``stage``
+    may materialise the combined table so several reports reuse one scan.
+    """
+    keyed = scored.select(
+        "title", "ts", F.trim(F.col("author_flair_text")).alias("state"), "s_score", "c_score",
+        F.col(pos_col).alias("_p"), F.col(neg_col).alias("_n"),
+    )
+    sets = [["title"], ["ts"], ["state"], ["s_score"], ["c_score"], []]
+    agg = keyed.groupingSets(sets, *REPORT_KEYS).agg(
+        F.sum("_p").alias("_ps"), F.count("_p").alias("_pc"),
+        F.sum("_n").alias("_ns"), F.count("_n").alias("_nc"),
+        F.grouping_id().alias("_gid"),
+    )
+    if stage is not None:  # e.g. materialise the small combined table once
+        agg = stage(agg)
+    pos = (F.col("_ps") / F.col("_pc")).alias("Positive")
+    neg = (F.col("_ns") / F.col("_nc")).alias("Negative")
+
+    def pick(*kept: str) -> DataFrame:
+        return agg.filter(F.col("_gid") == _gid(*kept))
+
+    return {
+        "title_pos": pick("title").select("title", (F.col("_ps") / F.col("_pc")).alias("percentage")),
+        "title_neg": pick("title").select("title", (F.col("_ns") / F.col("_nc")).alias("percentage")),
+        "time_data": pick("ts").select(F.col("ts").alias("date"), pos, neg),
+        "state_data": pick("state").select("state", pos, neg),
+        "submission_score": pick("s_score").select(F.col("s_score").alias("submission_score"), pos, neg),
+        "comment_score": pick("c_score").select(F.col("c_score").alias("comment_score"), pos, neg),
+        "overall": pick().select(pos, neg),
+    }

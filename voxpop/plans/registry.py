@@ -9,9 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from voxpop.operators import aggregates as G
 from voxpop.operators import filters as P
 from voxpop.operators import joins as J
 from voxpop.sources import driver_tables as DT

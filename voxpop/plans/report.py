@@ -1,10 +1,10 @@
 """Report job: the scored table -> every sentiment table, written once each.
 
 Inputs of the full job are the forum files (JSON comments and submissions,
-CSV labels). Row-format inputs are materialised as Parquet once (S5), the
-scored table is checkpointed into the shared checkpoint folder (lineage cut:
-a lost executor re-reads it instead of recomputing join + cleaning +
-scoring), then each report is one aggregate over it.
+CSV labels). Row-format inputs are materialised as Parquet once (S5). The
+scored table is written as Parquet into the shared checkpoint folder (lineage
+cut: a lost executor re-reads it instead of recomputing cleaning + scoring +
+join). All reports come from one grouping-sets aggregate over it.
 """
 
 from __future__ import annotations
@@ -13,24 +13,24 @@ from pyspark.sql import DataFrame, SparkSession
 
 from voxpop.operators import aggregates as G
 from voxpop.plans import score
-from voxpop.session import cut_lineage
+from voxpop.session import materialize
 from voxpop.sources import readers as R
 from voxpop.sources import sinks as W
 
 
-def sentiment_reports(scored: DataFrame, k: int = 10) -> dict[str, DataFrame]:
-    """All topic tables of one scored table (pos/neg are 0/1 predictions)."""
+def sentiment_reports(scored: DataFrame, k: int = 10, stage=None) -> dict[str, DataFrame]:
+    """All topic tables of one scored table (pos/neg are 0/1 predictions),
+    computed from a single grouping-sets aggregate (one scan of ``scored``)."""
+    t = G.sentiment_tables(scored, stage=stage)
     return {
-        "top_title_pos": score.top_titles(scored, "pos", k),
-        "top_title_neg": score.top_titles(scored, "neg", k),
-        "top_title_pos_not_perfect": G.top_k_below_perfect(
-            G.share_by(scored, "title", "pos", out_key="title"), "percentage", k + 1, "title"
-        ),
-        "time_data": G.sentiment_by(scored, "ts", "date"),
-        "state_data": G.sentiment_by_state(scored),
-        "submission_score": G.sentiment_by_score(scored, "s_score", "submission_score"),
-        "comment_score": G.sentiment_by_score(scored, "c_score", "comment_score"),
-        "overall": G.sentiment_overall(scored),
+        "top_title_pos": G.top_k(t["title_pos"], "percentage", k, tie_col="title"),
+        "top_title_neg": G.top_k(t["title_neg"], "percentage", k, tie_col="title"),
+        "top_title_pos_not_perfect": G.top_k_below_perfect(t["title_pos"], "percentage", k + 1, "title"),
+        "time_data": t["time_data"],
+        "state_data": t["state_data"],
+        "submission_score": t["submission_score"],
+        "comment_score": t["comment_score"],
+        "overall": t["overall"],
     }
 
 
@@ -59,7 +59,10 @@ def run(spark: SparkSession, comments_path: str, submissions_path: str, model_pa
     comments = R.read_parquet(spark, f"{out_dir}/comments.parquet")
     submissions = R.read_parquet(spark, f"{out_dir}/submissions.parquet")
     model = M.load_models(model_path)
-    scored = cut_lineage(score.scored_from(comments, submissions, model, sample_fraction=sample_fraction))
-    reports = sentiment_reports(scored)
+    # The scored table is written once as Parquet in the shared checkpoint
+    # folder (lineage cut, columnar re-read); the combined report aggregate is
+    # small and is materialised too, so the eight report writes reuse one scan.
+    scored = materialize(score.scored_from(comments, submissions, model, sample_fraction=sample_fraction), "scored")
+    reports = sentiment_reports(scored, stage=lambda agg: materialize(agg, "report-aggregate"))
     write_reports(reports, out_dir)
     return reports
