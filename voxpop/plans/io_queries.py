@@ -177,3 +177,16 @@ def json_file_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.array_join("bigrams", " ").alias("bigrams"),
         F.array_join("trigrams", " ").alias("trigrams"),
     )
+
+
+SQL_SUBMISSION_ROWS = """
+    SELECT CAST(conv_id AS VARCHAR) AS id, text AS title, CAST(length(text) AS BIGINT) AS score
+    FROM conversations WHERE turn = 0"""
+
+
+@register("json_submissions_scan", f"SELECT id, title, score FROM ({SQL_SUBMISSION_ROWS}) s")
+def json_submissions_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Submissions as bz2 JSON lines, scanned with the declared schema."""
+    path = _scratch(spark, "submissions-json-bz2")
+    DT.submissions(spark, sf_dir).write.mode("overwrite").option("compression", "bzip2").json(path)
+    return R.read_submissions(spark, path)
