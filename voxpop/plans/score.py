@@ -49,14 +49,22 @@ def scored_from(comments: DataFrame, submissions: DataFrame, model: PipelineMode
 
 def scored_comments(spark: SparkSession, sf_dir: str, model: PipelineModel | None = None,
                     sample_fraction: float | None = None, hot_key_fraction: float | None = None) -> DataFrame:
+    """Scored stand-in comments. Forum comments carry ``created_utc``; the
+    stand-in takes it from the events table, and attaches it after scoring
+    (narrow join on the comment id) so no text crosses a shuffle."""
+    from pyspark.sql import functions as F
+
     model = model or train.fitted_models(spark, sf_dir)
-    return scored_from(
-        DT.comments(spark, sf_dir, with_time=True),
+    scored = scored_from(
+        DT.comments(spark, sf_dir),
         DT.submissions(spark, sf_dir),
         model,
         sample_fraction=sample_fraction,
         hot_key_fraction=hot_key_fraction,
     )
+    timed = scored.join(DT.comment_times(spark, sf_dir), on="comment_id", how="left")
+    timed = timed.withColumn("ts", T.epoch_to_day("created_utc"))
+    return timed.select(*[F.col(c) for c in SCORED_COLUMNS])
 
 
 def top_titles(scored: DataFrame, which: str = "pos", k: int = 10) -> DataFrame:

@@ -54,6 +54,23 @@ def comments(spark: SparkSession, sf_dir: str, with_time: bool = False) -> DataF
     return joined.select(*cols, (F.col("_epoch") + F.col("turn")).alias("created_utc"))
 
 
+def comment_times(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Narrow (comment_id, created_utc) table of the stand-in comments.
+
+    Scoring plans attach it after scoring, so the event-time join of the
+    stand-in moves ids and times only, never comment text.
+    """
+    conv = table(spark, sf_dir, "conversations").filter(F.col("turn") > 0).select("conv_id", "turn")
+    events = table(spark, sf_dir, "events").select(
+        F.col("event_id"), T.timestamp_ntz_to_epoch("ts").alias("_epoch")
+    )
+    joined = conv.join(events, conv["conv_id"] * EVENTS_PER_CONVERSATION == events["event_id"], "left")
+    return joined.select(
+        (F.col("conv_id") * 1000 + F.col("turn")).cast("string").alias("comment_id"),
+        (F.col("_epoch") + F.col("turn")).alias("created_utc"),
+    )
+
+
 def submissions(spark: SparkSession, sf_dir: str) -> DataFrame:
     conv = table(spark, sf_dir, "conversations").filter(F.col("turn") == 0)
     return conv.select(
