@@ -38,10 +38,10 @@ def test_train_and_report_jobs(spark):
     from voxpop.sources import readers
 
     schema = Ty.StructType([Ty.StructField("title", Ty.StringType()), Ty.StructField("percentage", Ty.DoubleType())])
-    top = readers.read_aggregate_csv(spark, f"{out}/top_title_pos.csv", schema)
-    expected = {(r.title, r.percentage) for r in reports["top_title_pos"].collect()}
+    top = readers.read_aggregate_csv(spark, f"{out}/titles_positive.csv", schema)
+    expected = {(r.title, r.percentage) for r in reports["titles_positive"].collect()}
     assert 0 < top.count() <= 10
     assert {(r.title, r.percentage) for r in top.collect()} == expected
-    days = reports["time_data"].collect()
+    days = reports["daily"].collect()
     n_comments = spark.read.parquet(f"{out}/comments.parquet").count()
     assert days and n_comments > 0

@@ -159,10 +159,10 @@ def test_grouping_set_tables_equal_single_aggregates(spark):
     def as_set(d):
         return {tuple(r) for r in d.collect()}
 
-    assert as_set(t["title_pos"]) == as_set(G.share_by(df, "title", "pos"))
-    assert as_set(t["title_neg"]) == as_set(G.share_by(df, "title", "neg"))
-    assert as_set(t["time_data"]) == as_set(G.sentiment_by(df, "ts", "date"))
-    assert as_set(t["state_data"]) == as_set(G.sentiment_by_state(df))
-    assert as_set(t["submission_score"]) == as_set(G.sentiment_by_score(df, "s_score", "submission_score"))
-    assert as_set(t["comment_score"]) == as_set(G.sentiment_by_score(df, "c_score", "comment_score"))
+    assert as_set(t["title_positive"]) == as_set(G.share_by(df, "title", "pos"))
+    assert as_set(t["title_negative"]) == as_set(G.share_by(df, "title", "neg"))
+    assert as_set(t["daily"]) == as_set(G.sentiment_by(df, "ts", "date"))
+    assert as_set(t["by_region"]) == as_set(G.sentiment_by_state(df))
+    assert as_set(t["by_submission_score"]) == as_set(G.sentiment_by_score(df, "s_score", "submission_score"))
+    assert as_set(t["by_comment_score"]) == as_set(G.sentiment_by_score(df, "c_score", "comment_score"))
     assert as_set(t["overall"]) == as_set(G.sentiment_overall(df))

@@ -48,5 +48,5 @@ def test_scoring_shuffles_carry_no_text(spark):
 def test_report_tables_come_from_one_aggregate(spark):
     model = train.fitted_models(spark, SF_SMALL, folds=3)
     scored = score.scored_comments(spark, SF_SMALL, model=model)
-    plan = _formatted(G.sentiment_tables(scored)["time_data"])
+    plan = _formatted(G.sentiment_tables(scored)["daily"])
     assert "Expand" in plan

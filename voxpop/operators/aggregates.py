@@ -124,11 +124,11 @@ def sentiment_tables(scored: DataFrame, pos_col: str = "pos", neg_col: str = "ne
         return agg.filter(F.col("_gid") == _gid(*kept))
 
     return {
-        "title_pos": pick("title").select("title", (F.col("_ps") / F.col("_pc")).alias("percentage")),
-        "title_neg": pick("title").select("title", (F.col("_ns") / F.col("_nc")).alias("percentage")),
-        "time_data": pick("ts").select(F.col("ts").alias("date"), pos, neg),
-        "state_data": pick("state").select("state", pos, neg),
-        "submission_score": pick("s_score").select(F.col("s_score").alias("submission_score"), pos, neg),
-        "comment_score": pick("c_score").select(F.col("c_score").alias("comment_score"), pos, neg),
+        "title_positive": pick("title").select("title", (F.col("_ps") / F.col("_pc")).alias("percentage")),
+        "title_negative": pick("title").select("title", (F.col("_ns") / F.col("_nc")).alias("percentage")),
+        "daily": pick("ts").select(F.col("ts").alias("date"), pos, neg),
+        "by_region": pick("state").select("state", pos, neg),
+        "by_submission_score": pick("s_score").select(F.col("s_score").alias("submission_score"), pos, neg),
+        "by_comment_score": pick("c_score").select(F.col("c_score").alias("comment_score"), pos, neg),
         "overall": pick().select(pos, neg),
     }

@@ -229,22 +229,22 @@ def scored_top_titles_neg(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("scored_sentiment_by_day")
 def scored_sentiment_by_day(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _scored_report(spark, sf_dir, "time_data")
+    return _scored_report(spark, sf_dir, "daily")
 
 
 @register("scored_sentiment_by_state")
 def scored_sentiment_by_state(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _scored_report(spark, sf_dir, "state_data")
+    return _scored_report(spark, sf_dir, "by_region")
 
 
 @register("scored_sentiment_by_story_score")
 def scored_sentiment_by_story_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _scored_report(spark, sf_dir, "submission_score")
+    return _scored_report(spark, sf_dir, "by_submission_score")
 
 
 @register("scored_sentiment_by_comment_score")
 def scored_sentiment_by_comment_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _scored_report(spark, sf_dir, "comment_score")
+    return _scored_report(spark, sf_dir, "by_comment_score")
 
 
 @register("scored_sentiment_overall")

@@ -23,19 +23,19 @@ def sentiment_reports(scored: DataFrame, k: int = 10, stage=None) -> dict[str, D
     computed from a single grouping-sets aggregate (one scan of ``scored``)."""
     t = G.sentiment_tables(scored, stage=stage)
     return {
-        "top_title_pos": G.top_k(t["title_pos"], "percentage", k, tie_col="title"),
-        "top_title_neg": G.top_k(t["title_neg"], "percentage", k, tie_col="title"),
-        "top_title_pos_not_perfect": G.top_k_below_perfect(t["title_pos"], "percentage", k + 1, "title"),
-        "time_data": t["time_data"],
-        "state_data": t["state_data"],
-        "submission_score": t["submission_score"],
-        "comment_score": t["comment_score"],
+        "titles_positive": G.top_k(t["title_positive"], "percentage", k, tie_col="title"),
+        "titles_negative": G.top_k(t["title_negative"], "percentage", k, tie_col="title"),
+        "titles_positive_below_perfect": G.top_k_below_perfect(t["title_positive"], "percentage", k + 1, "title"),
+        "daily": t["daily"],
+        "by_region": t["by_region"],
+        "by_submission_score": t["by_submission_score"],
+        "by_comment_score": t["by_comment_score"],
         "overall": t["overall"],
     }
 
 
 # Reports whose size is bounded by k or by the number of days: one CSV file.
-BOUNDED = {"top_title_pos", "top_title_neg", "top_title_pos_not_perfect", "time_data", "overall"}
+BOUNDED = {"titles_positive", "titles_negative", "titles_positive_below_perfect", "daily", "overall"}
 
 
 def write_reports(reports: dict[str, DataFrame], out_dir: str) -> None:
