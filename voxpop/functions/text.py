@@ -144,9 +144,14 @@ def with_grams(
     with the mask shifted by two). The three gram lists are the non-NULL
     entries of mask, bigram runs and trigram runs.
     """
+    # Parsed text joins non-empty tokens with single blanks (the re-glue steps
+    # only remove blanks), so splitting yields no empty word unless the whole
+    # text is empty: a CASE replaces the per-word filter pass.
+    p = F.col(parsed_col)
+    words = F.when(p == "", F.array().cast("array<string>")).otherwise(F.split(p, " "))
     staged = (
         df.withColumn(parsed_col, parse_text(text_col))
-        .withColumn("_words", split_words(parsed_col))
+        .withColumn("_words", words)
         .withColumn("_mask", F.transform("_words", lambda w: F.when(~_is_bounding(w), w)))
     )
 
