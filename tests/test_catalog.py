@@ -33,3 +33,16 @@ def test_entry_runs(spark):
     rows = df.collect()
     assert df.columns == ["title", "percentage"]
     assert len(rows) <= 10
+
+
+def test_time_queries_ignore_the_session_zone(spark):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        rep = oracle_check.check(
+            spark, SF_SMALL, ["sentiment_by_day", "day_filter", "comment_submission_join", "daily_csv_roundtrip"]
+        )
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    for name, r in rep.items():
+        assert "error" not in r and r["round9"] and r["schema_ok"], (name, r)
