@@ -70,3 +70,16 @@ def test_fixed_seed_gives_equal_models(spark):
     pb = train.held_out_predictions(spark, SF_SMALL, model=b)
     assert pa.exceptAll(pb).count() == 0 and pb.exceptAll(pa).count() == 0
     assert a.stages[0].vocabulary == b.stages[0].vocabulary
+
+
+def test_ml_tfidf_vectors_agree_with_dataframe_form(spark):
+    from voxpop.operators import features as FE
+    from voxpop.plans import model_queries
+
+    stats = {r.id: (r.nnz, r.norm) for r in model_queries.tfidf_vectors_nnz(spark, SF_SMALL).collect()}
+    weights = FE.tfidf_weights(train.labelled_grams(spark, SF_SMALL))
+    counts = {r.id: r["count"] for r in weights.groupBy("id").count().collect()}
+    assert stats
+    for doc, (nnz, norm) in stats.items():
+        assert nnz == counts.get(doc, 0)
+        assert (nnz == 0 and norm == 0.0) or abs(norm - 1.0) < 1e-9
