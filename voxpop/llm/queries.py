@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from voxpop.llm import exact_dedup, fingerprints, line_dedup, mix_sources, sharding  # noqa: F401
+from voxpop.llm import exact_dedup, fingerprints, line_dedup, mix_sources, packing, sharding, simhash  # noqa: F401
 from voxpop.llm.registry import ORACLE, QUERIES, Query
 
 
