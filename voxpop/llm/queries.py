@@ -2,7 +2,18 @@
 
 from __future__ import annotations
 
-from voxpop.llm import exact_dedup, fingerprints, line_dedup, mix_sources, packing, sharding, simhash  # noqa: F401
+from voxpop.llm import (  # noqa: F401
+    exact_dedup,
+    fingerprints,
+    html_extract,
+    language,
+    line_dedup,
+    mix_sources,
+    packing,
+    quality,
+    sharding,
+    simhash,
+)
 from voxpop.llm.registry import ORACLE, QUERIES, Query
 
 

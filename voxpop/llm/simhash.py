@@ -57,17 +57,23 @@ def simhash(text: str | None, shingle: int = SHINGLE) -> int:
 
 
 def with_fingerprints(docs: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFrame:
-    """doc_id, fp (the fingerprint's 64 bits as a signed long)."""
+    """doc_id, key (a hash of the text), fp (the fingerprint's 64 bits as a signed long)."""
 
     def each(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             fps = np.array([simhash(t, shingle) for t in pdf["text"]], np.uint64).astype(np.int64)
-            yield pd.DataFrame({"doc_id": pdf["doc_id"], "fp": fps})
+            yield pd.DataFrame({"doc_id": pdf["doc_id"], "key": pdf["key"], "fp": fps})
 
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    text = F.col(text_col).cast("string")
     # Ids go round the workers as text: pandas has no null in its long type.
-    rows = rows.withColumn("doc_id", F.col("doc_id").cast("string"))
-    return rows.mapInPandas(each, "doc_id string, fp long").withColumn("doc_id", F.col("doc_id").cast("long"))
+    rows = docs.select(F.col(id_col).cast("long").cast("string").alias("doc_id"), text_key(text).alias("key"), text.alias("text"))
+    out = rows.mapInPandas(each, "doc_id string, key long, fp long")
+    return out.withColumn("doc_id", F.col("doc_id").cast("long"))
+
+
+def text_key(text: Column) -> Column:
+    """Tells rows apart that share an id."""
+    return F.xxhash64(F.coalesce(text, F.lit("")))
 
 
 def gray_rank(fp: Column) -> Column:
@@ -278,7 +284,7 @@ def near_dedup(
     shingle: int = SHINGLE,
     max_bits: int = MAX_BITS,
 ) -> DataFrame:
-    """One row a row of ``docs``: doc_id, fp (signed long), component_id (the
+    """One row a row of ``docs``: doc_id, key, fp (signed long), component_id (the
     smallest id reachable over fingerprints at most ``max_bits`` bits apart).
 
     A text without words, null or empty, has fingerprint 0, linked like any other;
@@ -294,7 +300,20 @@ def near_dedup(
     )
     ids = save(rooted.groupBy("root").agg(F.min("first").alias("component_id")), "op9-ids")
     named = save(rooted.join(ids, "root").select("fp", "component_id"), "op9-named")
-    return fps.join(named, "fp").select("doc_id", "fp", "component_id")
+    return fps.join(named, "fp").select("doc_id", "key", "fp", "component_id")
+
+
+def one_of_each_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """The rows of ``docs``, all columns, of which each component keeps one: that of
+    its smallest id; of rows that share that id, one. Components that have no id
+    at all keep one row a text."""
+    groups = near_dedup(docs, id_col, text_col, **options)
+    nobody = F.lit(-(2**63))
+    named = groups.where(F.col("doc_id") == F.col("component_id")).groupBy("doc_id").agg(F.min("key").alias("__key"))
+    nameless = groups.where("component_id is null").select(nobody.alias("__id"), F.col("key").alias("__key")).distinct()
+    stay = named.select(F.col("doc_id").alias("__id"), "__key").unionByName(nameless)
+    rows = docs.withColumn("__id", F.coalesce(F.col(id_col).cast("long"), nobody)).withColumn("__key", text_key(F.col(text_col)))
+    return rows.join(stay, ["__id", "__key"], "left_semi").dropDuplicates(["__id", "__key"]).select(*docs.columns)
 
 
 @register("op9_simhash_dedup")
