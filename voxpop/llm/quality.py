@@ -9,7 +9,6 @@ sample. As the score is linear in the average, a word's share of it is one numbe
 
 from __future__ import annotations
 
-import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -25,12 +24,17 @@ from voxpop.llm.samples import id_remainder, labelled_sample
 
 #: The sample: labelled documents, and their characters together.
 SAMPLE_ROWS, SAMPLE_CHARS = 3000, 12_000_000
-BUCKETS, DIM = 1 << 18, 16
+BITS, DIM = 18, 16
+BUCKETS = 1 << BITS
 SHORTEST, LONGEST = 3, 5
 EPOCHS, RATE = 6, 1.0
 THRESHOLD = 0.7
 #: Words whose numbers a worker keeps.
 CACHED = 200_000
+#: Characters of texts whose new words are hashed together.
+TOGETHER = 500_000
+#: An odd multiplier that spreads hashes.
+SPREAD = np.uint32(0x9E3779B1)
 #: Stands for the end of a text, so that an empty one has a vector too.
 END = "\n"
 #: Stands for a word that repeats the one before it.
@@ -43,21 +47,36 @@ def words_of(text: str | None) -> list[str]:
     return [w if w != last else AGAIN for w, last in zip(found, [END, *found])] + [END]
 
 
-def word_buckets(word: str) -> np.ndarray:
-    """Hash buckets of a word and its character n-grams; < and > are its borders."""
-    marked = f"<{word}>"
-    grams = [marked, *(marked[i : i + n] for n in range(SHORTEST, LONGEST + 1) for i in range(len(marked) - n + 1))]
-    return np.array([zlib.crc32(g.encode("utf-8", "replace")) % BUCKETS for g in grams])
+def word_buckets(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Hash buckets of words and of their character n-grams, as (place of the word,
+    bucket); < and > are a word's borders. All words are hashed at once."""
+    points = np.frombuffer("".join(f"<{w}>" for w in words).encode("utf-32-le", "replace"), "<u4").astype(np.uint32)
+    lengths = np.fromiter(map(len, words), np.int64, len(words)) + 2
+    starts = np.cumsum(lengths) - lengths
+    word = np.repeat(np.arange(len(words)), lengths)
+    at = np.arange(len(points)) - starts[word]
+    powers = np.multiply.accumulate(np.full(int(lengths.max()), SPREAD, np.uint32), dtype=np.uint32)
+    owners, hashes = [np.arange(len(words))], [np.add.reduceat(points * powers[at], starts, dtype=np.uint32)]
+    value = np.zeros(len(points), np.uint32)
+    for n in range(1, LONGEST + 1):
+        if len(points) < n:
+            break
+        value = (value[: len(points) - n + 1] ^ points[n - 1 :]) * SPREAD
+        value ^= value >> np.uint32(15)
+        if n >= SHORTEST:
+            inside = np.flatnonzero(at[: len(value)] + n <= lengths[word[: len(value)]])
+            owners.append(word[inside])
+            hashes.append(value[inside] + np.uint32(n))
+    return np.concatenate(owners), (np.concatenate(hashes) * SPREAD) >> np.uint32(32 - BITS)
 
 
 def document_weights(text: str) -> tuple[np.ndarray, np.ndarray]:
     """Buckets of a document and their parts of its average."""
     words = Counter(words_of(text))
-    total = sum(words.values())
-    found = [(word_buckets(w), n) for w, n in words.items()]
-    ids = np.concatenate([b for b, _ in found])
-    parts = np.concatenate([np.full(len(b), n / total / len(b)) for b, n in found])
-    own, at = np.unique(ids, return_inverse=True)
+    owner, bucket = word_buckets(list(words))
+    counts = np.fromiter(words.values(), np.float64, len(words))
+    parts = (counts / counts.sum() / np.bincount(owner))[owner]
+    own, at = np.unique(bucket, return_inverse=True)
     return own, np.bincount(at, weights=parts).astype(np.float32)
 
 
@@ -70,23 +89,34 @@ class SubwordModel:
     learned: bool = True
 
     def scorer(self):
-        numbers, bias = self.numbers, self.bias
-
-        class Words(dict):
-            def __missing__(self, word):
-                if len(self) >= CACHED:
-                    self.clear()
-                value = self[word] = float(numbers[word_buckets(word)].mean())
-                return value
-
-        words = Words()
-
-        def score(text: str | None) -> float:
-            found = words_of(text)
-            value = sum(map(words.__getitem__, found)) / len(found) + bias
-            return float(1 / (1 + np.exp(-np.clip(value, -50, 50))))
-
-        return score
+        """A function from texts to scores that keeps the numbers of words it has met."""
+        known: dict[str, float] = {}
+
+        def part_scores(lists: list[list[str]]) -> Iterator[float]:
+            new = list(set().union(*lists).difference(known))
+            if new:
+                if len(known) + len(new) > CACHED:
+                    known.clear()
+                    new = list(set().union(*lists))
+                owner, bucket = word_buckets(new)
+                sums = np.bincount(owner, weights=self.numbers[bucket]) / np.bincount(owner)
+                known.update(zip(new, sums.tolist()))
+            for words in lists:
+                value = sum(map(known.__getitem__, words)) / len(words) + self.bias
+                yield float(1 / (1 + np.exp(-np.clip(value, -50, 50))))
+
+        def scores(texts) -> Iterator[float]:
+            lists, chars = [], 0
+            for text in texts:
+                lists.append(words_of(text))
+                chars += len(text or "")
+                if chars > TOGETHER:
+                    yield from part_scores(lists)
+                    lists, chars = [], 0
+            if lists:
+                yield from part_scores(lists)
+
+        return scores
 
 
 def fit(labels: np.ndarray, texts: list[str], seed: int = 1) -> SubwordModel:
@@ -137,7 +167,7 @@ def score_texts(docs: DataFrame, model: SubwordModel, text_col: str = "text", ou
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         of = sent.value.scorer()
         for texts in batches:
-            yield pd.Series([of(t) for t in texts], dtype="float64")
+            yield pd.Series(list(of(texts)), dtype="float64")
 
     return docs.withColumn(out, score(F.col(text_col).cast("string")))
 
