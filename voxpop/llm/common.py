@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from voxpop.session import ensure_checkpoint_dir, materialize
+from voxpop.session import ensure_checkpoint_dir
 
 #: ASCII blanks, in the form that Spark's and DuckDB's regular expressions share.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -25,9 +25,11 @@ def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def save(df: DataFrame, name: str) -> DataFrame:
+def save(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     """Write ``df`` as Parquet under ``spark.checkpoint.dir`` and read it back."""
-    return materialize(df, name)
+    path = scratch_path(df.sparkSession, name)
+    df.write.option("compression", compression).parquet(path)
+    return df.sparkSession.read.parquet(path)
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

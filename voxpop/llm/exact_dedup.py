@@ -17,11 +17,11 @@ from voxpop.llm.common import LOWER, UPPER, cut_points, documents, range_of, sav
 from voxpop.llm.registry import register
 
 
-@F.pandas_udf("string")
+@F.pandas_udf("binary")
 def text_digest(text: pd.Series) -> pd.Series:
     """SHA-256 of the UTF-8 text after lower-casing A-Z (``bytes.lower`` changes
     no other byte); null counts as empty."""
-    return text.map(lambda t: hashlib.sha256((t or "").encode("utf-8", "replace").lower()).hexdigest())
+    return text.map(lambda t: hashlib.sha256((t or "").encode("utf-8", "replace").lower()).digest())
 
 
 class DigestIndex:
@@ -53,6 +53,7 @@ class DigestIndex:
             .bucketBy(self.buckets, "digest")
             .sortBy("digest")
             .option("path", self.path)
+            .option("compression", "none")
             .format("parquet")
             .saveAsTable(self.name)
         )
@@ -68,8 +69,11 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     table gives an empty result.
     """
     spark = docs.sparkSession
+    # Equal rows are counted here, so that one of them can be kept; digests don't
+    # compress, and doing without spares each writer its buffers outside the heap.
     rows = docs.select(F.col(id_col).cast("long").alias("id"), text_digest(F.col(text_col)).alias("digest"))
-    digests = save(rows, "op8-digests")
+    counted = rows.groupBy("id", "digest").agg(F.count(F.lit(1)).cast("int").alias("copies"))
+    digests = save(counted, "op8-digests", compression="none")
     cuts = cut_points(digests, "id", batches)
     falling = F.when(F.col("id").isNull(), F.lit(-1)).otherwise(range_of(F.col("id"), cuts))
     index = DigestIndex(spark)
@@ -77,17 +81,15 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         index.add(digests.where(falling == at))
     # Counts and index rows are one a digest; written, they can be joined to a
     # digest that a third of all rows share, which Spark then splits.
-    sizes = digests.groupBy("digest").agg(F.count(F.lit(1)).alias("group_size"))
-    groups = save(sizes.join(index.read(), "digest"), "op8-groups")
-    # Equal rows are counted, not numbered: only the first of them can be kept.
-    counted = digests.groupBy("id", "digest").agg(F.count(F.lit(1)).cast("int").alias("copies"))
-    copies = save(counted, "op8-rows").join(groups, "digest")
+    sizes = digests.groupBy("digest").agg(F.sum("copies").alias("group_size"))
+    groups = save(sizes.join(index.read(), "digest"), "op8-groups", compression="none")
+    copies = digests.join(groups, "digest")
     return copies.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(
         F.col("id").alias("doc_id"),
         "keep_id",
         "group_size",
         (F.col("id").eqNullSafe(F.col("keep_id")) & (F.col("copy") == 1)).alias("kept"),
-        F.col("digest").alias("text_sha256"),
+        F.lower(F.hex("digest")).alias("text_sha256"),
     )
 
 
