@@ -12,12 +12,13 @@ import hashlib
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType
 
 from voxpop.llm.common import LOWER, UPPER, cut_points, documents, range_of, save, scratch_path, shuffle_width
 from voxpop.llm.registry import register
 
 
-@F.pandas_udf("binary")
+@F.pandas_udf(BinaryType())
 def text_digest(text: pd.Series) -> pd.Series:
     """SHA-256 of the UTF-8 text after lower-casing A-Z (``bytes.lower`` changes
     no other byte); null counts as empty."""

@@ -82,7 +82,7 @@ class LineRuns:
         """All runs as plain files, so that a join with them shuffles both sides
         and Spark can split a line which very many documents hold."""
         files = [self.paths[r] for level in self.levels for r in level]
-        return self.spark.read.parquet(*files)
+        return self.spark.read.schema("h1 long, h2 long, owner long").parquet(*files)
 
 
 def line_key(line: Column) -> Column:
