@@ -21,7 +21,8 @@ from voxpop.llm.common import documents, hash128, join_few, number_within, save,
 from voxpop.llm.registry import register
 
 SHARDS = 16
-#: A group above this part of a shard is dealt into pieces no larger than it.
+#: A group above this part of a shard is dealt out to all of them: into as many
+#: pieces as there are shards, or a multiple, so that each can take its share.
 PIECE = 1 / 2
 #: A group above this part of a shard is placed before the blocks; there are at
 #: most 3 * SHARDS / HEAVY of them, whatever the table.
@@ -55,8 +56,8 @@ def shard_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """One row a row of ``docs``: doc_id, size, text_crc32, shard, slot.
 
     Size is the UTF-8 length plus 1, tokens are words. Rows of equal text share a
-    shard unless they outweigh half of one; then their rows are dealt by id into
-    pieces. Null texts are empty texts. Slots number a shard's rows from 0. Rows
+    shard unless they outweigh half of one; then their rows are dealt by id to all
+    shards. Null texts are empty texts. Slots number a shard's rows from 0. Rows
     equal in id and text may swap slots; other columns aren't read; an empty table
     gives an empty result.
     """
@@ -79,7 +80,8 @@ def shard_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     # Demands as parts of a shard, from here on.
     part = {c: F.col(c) * (shards / full[c]) for c in DIMS}
     groups = rows.groupBy("h1", "h2").agg(*sums)
-    pieces = F.least(F.ceil(F.greatest(*part.values()) / PIECE), F.col("rows")).cast("int")
+    largest = F.greatest(*part.values())
+    pieces = F.when(largest > PIECE, F.least(F.ceil(largest / shards) * shards, F.col("rows"))).otherwise(1).cast("int")
     # At most 3 * shards / PIECE groups are that large, so the table is small.
     large = save(
         groups.withColumn("pieces", pieces).where("pieces > 1").select(F.col("h1").alias("g1"), F.col("h2").alias("g2"), "pieces"),
