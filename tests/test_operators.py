@@ -166,3 +166,51 @@ def test_grouping_set_tables_equal_single_aggregates(spark):
     assert as_set(t["by_submission_score"]) == as_set(G.sentiment_by_score(df, "s_score", "submission_score"))
     assert as_set(t["by_comment_score"]) == as_set(G.sentiment_by_score(df, "c_score", "comment_score"))
     assert as_set(t["overall"]) == as_set(G.sentiment_overall(df))
+
+
+def test_sample_and_split_are_independent(spark):
+    df = spark.range(20000).select(F.col("id").cast("string").alias("id"))
+    rows = P.hash_split(P.hash_sample(df, "id", 0.2), "id").groupBy("split").count().collect()
+    counts = {r["split"]: r["count"] for r in rows}
+    assert 1700 < counts["train"] < 2300 and 1700 < counts["test"] < 2300
+    few = P.hash_sample(spark.range(200000).select(F.col("id").cast("string").alias("id")), "id", 0.00004).count()
+    assert 1 <= few <= 25
+
+
+def test_rank_statistics_of_odd_input(spark):
+    from voxpop.operators import evaluate as E
+
+    rows = [(0.1, 0), (0.9, 1), (None, 1), (float("nan"), 0), (0.5, None), (0.3, 0)]
+    df = spark.createDataFrame(rows, "s double, y int")
+    assert E.auc_rank(df, "s", "y").first()[0] == 1.0 == E.auc_trapezoid(df, "s", "y").first()[0]
+    for odd in (df.where("y = 1"), df.where("y = 0"), df.limit(0)):
+        assert E.auc_rank(odd, "s", "y").first()[0] is None
+        assert E.auc_trapezoid(odd, "s", "y").first()[0] is None
+        assert all(r.tpr is None or r.fpr is None for r in E.roc_points(odd, "s", "y").collect())
+
+
+def test_a_cut_vocabulary_raises(spark):
+    import pytest
+
+    from voxpop.operators import features as FE
+
+    df = spark.createDataFrame([(["a", "b", "c"],), (["a", "b", "d"],)], "grams array<string>")
+    assert len(FE.checked_vocabulary(FE.binary_vectorizer(min_df=1.0).fit(df)).vocabulary) == 4
+    with pytest.raises(ValueError, match="bound"):
+        FE.checked_vocabulary(FE.binary_vectorizer(min_df=1.0, vocab_size=3).fit(df))
+
+
+def test_tfidf_keeps_repeated_ids_apart(spark):
+    from voxpop.operators import features as FE
+
+    df = spark.createDataFrame([("1", ["a", "b"]), ("1", ["a"]), ("2", ["a", "c"])], "id string, grams array<string>")
+    rows = FE.tfidf_weights(df, min_df=1, max_df=None).collect()
+    assert sorted((r.id, r.gram) for r in rows) == [("1", "a"), ("1", "a"), ("1", "b"), ("2", "a"), ("2", "c")]
+    assert any(r.weight == 1.0 for r in rows)
+
+
+def test_single_csv_does_not_narrow_the_aggregate(spark, tmp_path):
+    from voxpop.sources import sinks as W
+
+    W.write_single_csv(spark.range(100).groupBy((F.col("id") % 7).alias("k")).count(), str(tmp_path / "t"))
+    assert len(list((tmp_path / "t").glob("part-*.csv"))) == 1

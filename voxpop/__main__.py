@@ -16,12 +16,16 @@ import argparse
 
 from pyspark.sql import SparkSession
 
+from voxpop.session import CLUSTER_SQL_CONF, apply_cluster_conf
+
 
 def _session() -> SparkSession:
     # No web UI: batch jobs report through logs / the event log instead.
     spark = SparkSession.builder.appName("voxpop").config("spark.ui.enabled", "false").getOrCreate()
-    spark.conf.set("spark.sql.adaptive.enabled", "true")
-    spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
+    if not spark.sparkContext.master.startswith("local"):
+        # What spark-submit sets itself is kept.
+        given = dict(spark.sparkContext.getConf().getAll())
+        apply_cluster_conf(spark, {k: given[k] for k in CLUSTER_SQL_CONF if k in given})
     return spark
 
 

@@ -89,47 +89,10 @@ def parse_text_stepwise(text: Column | str) -> Column:
     return reglue(join_lower(tokenize(squeeze_spaces(remove_urls(fold_tab_newline(text))))))
 
 
-def split_words(parsed: Column | str) -> Column:
-    """Blank-separated words of a parsed text, empty strings dropped."""
-    return F.filter(F.split(_col(parsed), " "), lambda w: w != "")
-
-
 def _is_bounding(word: Column) -> Column:
     return word.isin(*BOUNDING_PUNCTUATION)
 
 
-def unigrams_of(words: Column | str) -> Column:
-    """Words that are not bounding punctuation."""
-    return F.filter(_col(words), lambda w: ~_is_bounding(w))
-
-
-def ngrams_of(words: Column | str, n: int) -> Column:
-    """T7c/T7d: runs of ``n`` adjacent words without punctuation, joined by ``_``.
-
-    Built by zipping shifted slices of the word array (``zip_with``), so no
-    lambda reads the outer array by index: if the optimiser inlines the word
-    expression (e.g. into a pushed-down filter), the cost stays linear in the
-    text length.
-    """
-    if n < 2:
-        raise ValueError("n must be >= 2; use unigrams_of for n = 1")
-    arr = _col(words)
-    length = F.greatest(F.size(arr) - F.lit(n - 1), F.lit(0))
-
-    def shifted(j: int) -> Column:
-        return F.slice(arr, F.lit(j + 1), length)
-
-    # runs[i] is the run starting at word i, or NULL once it meets punctuation.
-    runs = F.transform(shifted(0), lambda w: F.when(~_is_bounding(w), w))
-    for j in range(1, n):
-        runs = F.zip_with(
-            runs,
-            shifted(j),
-            lambda run, w: F.when(run.isNotNull() & ~_is_bounding(w), F.concat(run, F.lit("_"), w)),
-        )
-    return F.filter(runs, lambda g: g.isNotNull())
-
-
 def with_grams(
     df: DataFrame,
     text_col: str = "body",
@@ -228,6 +191,8 @@ def timestamp_ntz_to_epoch(ts: Column | str) -> Column:
 
 
 def parse_bracketed_grams(text: Column | str) -> Column:
-    """``"[a b c]"`` -> ``["a","b","c"]`` (strip the brackets, split on one blank)."""
+    """``"[a b c]"`` -> ``["a","b","c"]`` (strip the brackets, split on one blank);
+    ``"[]"`` -> no gram."""
     t = _col(text)
-    return F.split(F.substring(t, F.lit(2), F.length(t) - 2), " ")
+    grams = F.split(F.substring(t, F.lit(2), F.length(t) - 2), " ")
+    return F.when(F.length(t) <= 2, F.array().cast("array<string>")).otherwise(grams)

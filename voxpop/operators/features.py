@@ -8,18 +8,22 @@ Two forms of each:
   large.
 * Spark ML form (``binary_vectorizer``, ``tfidf_vectors``): ``CountVectorizer`` /
   ``IDF`` / ``Normalizer`` stages producing sparse vectors for the models.
-  The fitted vocabulary is bounded by ``vocabSize`` (2^18 by default), which
-  bounds what is broadcast to the executors at transform time.
+  The binary vectorizer's vocabulary has an explicit bound and a fit that
+  reaches it fails (``checked_vocabulary``); TF-IDF vectors have no bound.
 """
 
 from __future__ import annotations
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import IDF, CountVectorizer, ElementwiseProduct, Normalizer
+from pyspark.ml.feature import IDF, CountVectorizer, CountVectorizerModel, ElementwiseProduct, Normalizer
 from pyspark.ml.linalg import DenseVector
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from voxpop.session import materialize
+
+# Grams that the binary vectorizer may keep, and a bound that no vocabulary meets.
+VOCAB_SIZE, UNBOUNDED = 1 << 18, 2**31 - 1
 # The feature settings of the reference models.
 MIN_DF = 5.0
 TFIDF_MAX_DF = 0.99
@@ -85,7 +89,10 @@ def tfidf_weights(df: DataFrame, id_col: str = "id", grams_col: str = "grams", m
     Per-document norms use a window partitioned by document: a group is one
     document's distinct grams, bounded by the document's length.
     """
-    counts = doc_gram_counts(df, id_col, grams_col)
+    # Keyed by row, as an id may repeat; written once, so that the text is cleaned
+    # once and frequencies and weights read the same narrow table.
+    rows = df.select(F.struct(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("id")).alias("id"), F.col(grams_col).alias("grams"))
+    counts = materialize(doc_gram_counts(rows), "tfidf-counts")
     n_docs = df.select(F.count(F.lit(1))).scalar()
     freq = counts.groupBy("gram").agg(F.count(F.lit(1)).alias("doc_freq"))
     lo, hi = _df_bounds(n_docs, min_df, max_df)
@@ -97,15 +104,23 @@ def tfidf_weights(df: DataFrame, id_col: str = "id", grams_col: str = "grams", m
     )
     raw = counts.join(idf, on="gram").select("id", "gram", (F.col("tf") * F.col("idf")).alias("w"))
     norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy("id")))
-    return raw.select("id", "gram", (F.col("w") / norm).alias("weight"))
+    return raw.select(F.col("id.id").alias("id"), "gram", (F.col("w") / norm).alias("weight"))
 
 
 # ---------------------------------------------------------------------------
 # Spark ML stages
 # ---------------------------------------------------------------------------
-def binary_vectorizer(input_col: str = "grams", output_col: str = "features", min_df: float = MIN_DF) -> CountVectorizer:
+def binary_vectorizer(input_col: str = "grams", output_col: str = "features", min_df: float = MIN_DF,
+                      vocab_size: int = VOCAB_SIZE) -> CountVectorizer:
     """M1: binary bag-of-grams, fitted on the labelled rows only."""
-    return CountVectorizer(inputCol=input_col, outputCol=output_col, binary=True, minDF=min_df)
+    return CountVectorizer(inputCol=input_col, outputCol=output_col, binary=True, minDF=min_df, vocabSize=vocab_size)
+
+
+def checked_vocabulary(fitted: CountVectorizerModel) -> CountVectorizerModel:
+    """The fitted vectorizer, unless its vocabulary was cut at ``vocabSize``."""
+    if len(fitted.vocabulary) >= fitted.getVocabSize():
+        raise ValueError(f"the vocabulary reached its bound of {fitted.getVocabSize()} grams; raise vocab_size")
+    return fitted
 
 
 def tfidf_vectors(df: DataFrame, input_col: str = "grams", output_col: str = "tfidf",
@@ -116,7 +131,7 @@ def tfidf_vectors(df: DataFrame, input_col: str = "grams", output_col: str = "tf
     Spark's IDF is ``ln((n + 1) / (df + 1))``; the smoothed form adds 1, done
     with an element-wise product by the (vocabulary-sized) vector idf + 1.
     """
-    counts = CountVectorizer(inputCol=input_col, outputCol="_tf", minDF=min_df, maxDF=max_df)
+    counts = CountVectorizer(inputCol=input_col, outputCol="_tf", minDF=min_df, maxDF=max_df, vocabSize=UNBOUNDED)
     idf = IDF(inputCol="_tf", outputCol="_idf_unused", minDocFreq=0)
     base = Pipeline(stages=[counts, idf]).fit(df)
     idf_model = base.stages[1]

@@ -7,15 +7,18 @@ from pyspark.sql import functions as F
 
 from voxpop.functions import text as T
 
-# Hash buckets for deterministic sampling / splitting: the first 8 hex digits
-# of md5(key) as an integer, modulo BUCKETS. The same rows are chosen in Spark
-# and in plain SQL engines, and on every recomputation (no RNG state).
-BUCKETS = 10000
+# Deterministic sampling / splitting compares the first 15 hex digits (60 bits) of
+# md5(salt:key) with the fraction of 2^60. The same rows are chosen in Spark and in
+# plain SQL engines, and on every recomputation (no RNG state). Every purpose has
+# a salt of its own, so that a sample holds rows of both halves of a split.
+HASH_RANGE = 2**60
+SAMPLE_SALT, SPLIT_SALT = "sample", "split"
 
 
-def key_bucket(key: Column | str) -> Column:
+def key_hash(key: Column | str, salt: str) -> Column:
     k = F.col(key) if isinstance(key, str) else key
-    return (F.conv(F.substring(F.md5(k.cast("string")), 1, 8), 16, 10).cast("bigint") % BUCKETS).cast("int")
+    digest = F.md5(F.concat(F.lit(f"{salt}:"), k.cast("string")))
+    return F.conv(F.substring(digest, 1, 15), 16, 10).cast("bigint")
 
 
 def label_targets(df: DataFrame, label_col: str = "djt") -> DataFrame:
@@ -34,14 +37,11 @@ def nonzero_label(df: DataFrame, label_col: str = "label") -> DataFrame:
 def quote_filter(df: DataFrame, body_col: str = "body", out_col: str = "body") -> DataFrame:
     """P5 + T9: drop quoted comments; the kept body has every ``/s`` removed.
 
-    Native expression: evaluated once, NULL bodies drop out, and the predicate
-    is visible to the optimiser.
+    The rows are chosen by the quote rule alone; only kept bodies are rewritten.
+    NULL bodies drop out.
     """
-    marked = df.withColumn("_marked", T.mark_quotes_and_sarcasm(body_col))
-    kept = marked.filter(F.col("_marked") != F.lit(T.QUOTE_MARKER))
-    if out_col == body_col:
-        return kept.drop(body_col).withColumnRenamed("_marked", out_col)
-    return kept.withColumnRenamed("_marked", out_col)
+    kept = df.filter(T.mark_quotes_and_sarcasm(body_col) != F.lit(T.QUOTE_MARKER))
+    return kept.withColumn(out_col, F.replace(F.col(body_col), F.lit(T.SARCASM_MARKER), F.lit("")))
 
 
 def exclude_values(df: DataFrame, col: str, values: list) -> DataFrame:
@@ -69,10 +69,10 @@ def null_perfect(df: DataFrame, col: str) -> DataFrame:
 
 def hash_sample(df: DataFrame, key: str, fraction: float) -> DataFrame:
     """Deterministic Bernoulli-like sample by key hash."""
-    return df.filter(key_bucket(key) < int(round(fraction * BUCKETS)))
+    return df.filter(key_hash(key, SAMPLE_SALT) < int(fraction * HASH_RANGE))
 
 
 def hash_split(df: DataFrame, key: str, train_fraction: float = 0.5, col: str = "split") -> DataFrame:
     """Deterministic train/test split by key hash (same rows every run)."""
-    cut = int(round(train_fraction * BUCKETS))
-    return df.withColumn(col, F.when(key_bucket(key) < cut, F.lit("train")).otherwise(F.lit("test")))
+    cut = int(train_fraction * HASH_RANGE)
+    return df.withColumn(col, F.when(key_hash(key, SPLIT_SALT) < cut, F.lit("train")).otherwise(F.lit("test")))

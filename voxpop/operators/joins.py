@@ -85,37 +85,36 @@ def comment_submission_join(
 
 def link_match_count(comments: DataFrame, submissions: DataFrame) -> DataFrame:
     """Number of comments whose link id matches a submission."""
-    c = comments.select(T.strip_link_prefix("link_id").alias("link"))
-    s = submissions.select(F.col("id").alias("link"))
-    return c.join(s, on="link").agg(F.count(F.lit(1)).alias("n_matches"))
+    # Counted per link before the join: one row a thread, however hot it is.
+    c = comments.groupBy(T.strip_link_prefix("link_id").alias("link")).agg(F.count(F.lit(1)).alias("_n"))
+    s = submissions.groupBy(F.col("id").alias("link")).agg(F.count(F.lit(1)).alias("_m"))
+    pairs = c.join(s, on="link").agg(F.sum(F.col("_n") * F.col("_m")).alias("n_matches"))
+    return pairs.select(F.coalesce("n_matches", F.lit(0)).cast("bigint").alias("n_matches"))
 
 
 def hot_key_join(
     fact: DataFrame, dim: DataFrame, key: str, hot_fraction: float = 0.01
 ) -> DataFrame:
-    """Inner join of a large, skewed ``fact`` to a ``dim`` with unique ``key``.
+    """Inner join of a large, skewed ``fact`` to a ``dim``.
 
     Keys holding more than ``hot_fraction`` of the fact rows are found with a
-    partial-aggregated count; there are at most ``1 / hot_fraction`` of them, a
-    proven bound, so they and their dim rows are broadcast. Hot fact rows join
-    map-side without a shuffle; the cold rest takes the normal shuffle join.
+    partial-aggregated count; there are at most ``1 / hot_fraction`` of them, which
+    come to the driver. Fact rows of a hot key are dealt to ``parts`` salts by their
+    content and its dim rows repeated for each, in one join over one fact scan.
     """
-    total = fact.count()
-    threshold = max(1, int(total * hot_fraction))
-    hot = (
-        fact.groupBy(key)
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .filter(F.col("_n") > threshold)
-        .select(key)
-    )
-    max_hot = int(1 / hot_fraction) + 1
-    hot_b = F.broadcast(hot)  # at most 1 / hot_fraction rows
-    # One dim row per hot key when the dim key is unique; checked, not assumed:
-    # a larger hot side stays a shuffle join.
-    hot_dim = sized_broadcast(dim.join(hot_b, on=key, how="left_semi"), max_rows=max_hot * 16)
-    hot_part = fact.join(hot_b, on=key, how="left_semi").join(hot_dim, on=key, how="inner")
-    cold_part = fact.join(hot_b, on=key, how="left_anti").join(dim, on=key, how="inner")
-    return hot_part.unionByName(cold_part)
+    counts = fact.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).persist()
+    try:
+        threshold = max(1, int((counts.agg(F.sum("_n")).first()[0] or 0) * hot_fraction))
+        hot = [r[0] for r in counts.filter((F.col("_n") > threshold) & F.col(key).isNotNull()).select(key).collect()]
+    finally:
+        counts.unpersist()
+    if not hot:
+        return fact.join(dim, on=key, how="inner")
+    parts = max(2, int(fact.sparkSession.conf.get("spark.sql.shuffle.partitions")) // 4)
+    salt = F.when(F.col(key).isin(hot), F.pmod(F.xxhash64(*fact.columns), F.lit(parts))).otherwise(F.lit(0)).cast("int")
+    salts = F.when(F.col(key).isin(hot), F.sequence(F.lit(0), F.lit(parts - 1))).otherwise(F.array(F.lit(0)))
+    salted = dim.withColumn("_salt", F.explode(salts))
+    return fact.withColumn("_salt", salt).join(salted, on=[key, "_salt"], how="inner").drop("_salt")
 
 
 def region_lookup(

@@ -65,7 +65,8 @@ def split_labelled(labelled: DataFrame, train_fraction: float = 0.5) -> tuple[Da
 
 
 def train_sentiment_models(labelled_grams: DataFrame, folds: int = NUM_FOLDS, seed: int = 7,
-                           train_fraction: float = 0.5, which: tuple[str, ...] = ("pos", "neg")) -> PipelineModel:
+                           train_fraction: float = 0.5, which: tuple[str, ...] = ("pos", "neg"),
+                           vocab_size: int = FE.VOCAB_SIZE) -> PipelineModel:
     """M1 + M3-M6: fit the vocabulary on all labelled rows, then cross-validate
     each regression on the training half.
 
@@ -73,13 +74,14 @@ def train_sentiment_models(labelled_grams: DataFrame, folds: int = NUM_FOLDS, se
     cleaned grams are persisted while the vocabulary is fitted and applied (so
     the text is cleaned once), then the training features are persisted for the
     fits (every fold and L-BFGS iteration re-reads them). The two
-    cross-validations are independent and run as concurrent Spark jobs.
+    cross-validations are independent and run as concurrent Spark jobs. Their mean
+    areas under ROC, one a grid point, are the result's ``cv_metrics``.
     """
     from concurrent.futures import ThreadPoolExecutor
 
     grams = labelled_grams.select("id", "grams", "positive", "negative").persist()
     try:
-        vectorizer = FE.binary_vectorizer().fit(grams)
+        vectorizer = FE.checked_vocabulary(FE.binary_vectorizer(vocab_size=vocab_size).fit(grams))
         feats = vectorizer.transform(grams).select("id", "features", "positive", "negative")
         train, _ = split_labelled(feats, train_fraction)
         train = train.persist()
@@ -91,14 +93,16 @@ def train_sentiment_models(labelled_grams: DataFrame, folds: int = NUM_FOLDS, se
     def fit_one(prefix: str):
         label_col, threshold = specs[prefix]
         lr = logistic(threshold, label_col, prefix)
-        return cross_validator(lr, label_col, f"{prefix}_raw", folds, seed).fit(train).bestModel
+        return cross_validator(lr, label_col, f"{prefix}_raw", folds, seed).fit(train)
 
     try:
         with ThreadPoolExecutor(max_workers=len(which)) as pool:
             fitted = list(pool.map(fit_one, which))
     finally:
         train.unpersist()
-    return PipelineModel(stages=[vectorizer, *fitted])
+    model = PipelineModel(stages=[vectorizer, *[cv.bestModel for cv in fitted]])
+    model.cv_metrics = {prefix: list(cv.avgMetrics) for prefix, cv in zip(which, fitted)}
+    return model
 
 
 def score(model: PipelineModel, df: DataFrame, keep_probability: bool = True) -> DataFrame:

@@ -101,22 +101,13 @@ def daily_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def gram_export_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S9 + T13: grams exported as a bracketed string column, read back and split."""
-    from pyspark.sql import types as Ty
-
     path = _scratch(spark, "gram-export-csv")
     grams = train.labelled_grams(spark, sf_dir)
     exported = grams.select(
         "id", F.concat(F.lit("["), F.array_join("grams", " "), F.lit("]")).alias("grams"), "positive", "negative"
     )
     exported.write.mode("overwrite").option("header", True).csv(path)
-    schema = Ty.StructType(
-        [Ty.StructField("id", Ty.StringType())] + list(schemas.GRAM_EXPORT_SCHEMA.fields)
-    )
-    back = spark.read.schema(schema).option("header", True).csv(path)
-    from voxpop.functions import text as T
-
-    parsed = back.withColumn("g", F.when(F.col("grams") == "[]", F.array().cast("array<string>"))
-                             .otherwise(T.parse_bracketed_grams("grams")))
+    parsed = R.read_gram_export(spark, path, key_columns=("id",)).withColumnRenamed("grams", "g")
     return parsed.select(
         "id", F.array_join("g", " ").alias("grams"), F.size("g").cast("bigint").alias("n_grams"),
         "positive", "negative",
@@ -139,7 +130,7 @@ def title_shares_null_perfect(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 SQL_COMMENT_ROWS = """
-    SELECT CAST(conv_id * 1000 + turn AS VARCHAR) AS id, text AS body, 't3_' || CAST(conv_id AS VARCHAR) AS link_id,
+    SELECT CAST(conv_id AS VARCHAR) || '_' || CAST(turn AS VARCHAR) AS id, text AS body, 't3_' || CAST(conv_id AS VARCHAR) AS link_id,
            role AS author_flair_text, CAST(length(text) AS BIGINT) AS score
     FROM conversations WHERE turn > 0"""
 

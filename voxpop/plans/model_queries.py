@@ -1,8 +1,8 @@
 """Feature, model and evaluation queries.
 
 Vocabulary, binary features, TF-IDF and the rank statistics have SQL twins.
-Queries that fit models are rows-only: their output depends on the optimiser's
-iterations, which SQL cannot restate.
+The output of fitted models depends on the optimiser's iterations, which SQL cannot
+restate; ``*_invariants`` queries hold what must be true of it against counts.
 """
 
 from __future__ import annotations
@@ -13,10 +13,11 @@ from pyspark.sql import functions as F
 from voxpop.operators import aggregates as G
 from voxpop.operators import evaluate as E
 from voxpop.operators import features as FE
+from voxpop.operators import filters as P
 from voxpop.operators import models as M
 from voxpop.plans import score, train
-from voxpop.plans.registry import SQL_LABELLED, labelled_targets, register
-from voxpop.plans.relational_queries import SQL_LABEL_JOIN
+from voxpop.plans.registry import ORACLE, SQL_LABELLED, labelled_targets, register
+from voxpop.plans.relational_queries import SQL_COMMENTS_RAW, SQL_IN_SAMPLE, SQL_LABEL_JOIN, SQL_SPLIT
 from voxpop.plans.text_queries import SQL_BI, SQL_TRI, SQL_UNI, sql_words
 from voxpop.session import cut_lineage
 
@@ -45,15 +46,16 @@ def binary_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register(
     "tfidf_features",
     f"""
-    WITH g AS (SELECT id, unnest(g) AS gram FROM ({SQL_LABELLED_GRAMS}) lg),
-         tf AS (SELECT id, gram, count(*) AS tf FROM g GROUP BY id, gram),
+    WITH g AS (SELECT r, id, unnest(g) AS gram
+               FROM (SELECT row_number() OVER () AS r, id, g FROM ({SQL_LABELLED_GRAMS}) lg) n),
+         tf AS (SELECT r, id, gram, count(*) AS tf FROM g GROUP BY r, id, gram),
          n AS (SELECT CAST(count(*) AS DOUBLE) AS n FROM ({SQL_LABEL_JOIN}) j),
          dfq AS (SELECT gram, count(*) AS doc_freq FROM tf GROUP BY gram),
          idf AS (SELECT gram, ln((CAST(1 AS DOUBLE) + n) / (CAST(1 AS DOUBLE) + doc_freq)) + CAST(1 AS DOUBLE) AS idf
                  FROM dfq, n
                  WHERE doc_freq >= {FE.MIN_DF} AND doc_freq <= CAST({FE.TFIDF_MAX_DF} AS DOUBLE) * n),
-         w AS (SELECT tf.id, tf.gram, tf.tf * idf.idf AS w FROM tf JOIN idf ON tf.gram = idf.gram)
-    SELECT id, gram, round(w / sqrt(sum(w * w) OVER (PARTITION BY id)), 6) AS weight FROM w""",
+         w AS (SELECT tf.r, tf.id, tf.gram, tf.tf * idf.idf AS w FROM tf JOIN idf ON tf.gram = idf.gram)
+    SELECT id, gram, round(w / sqrt(sum(w * w) OVER (PARTITION BY r)), 6) AS weight FROM w""",
 )
 def tfidf_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     w = FE.tfidf_weights(train.labelled_grams(spark, sf_dir))
@@ -169,7 +171,10 @@ def positive_rows_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return train.positive_label_listing(train.held_out_predictions(spark, sf_dir))
 
 
-@register("label_distribution_train")
+@register(
+    "label_distribution_train",
+    f"SELECT {SQL_SPLIT} AS split, positive AS label, count(*) AS count FROM ({SQL_LABELLED}) t GROUP BY 1, 2",
+)
 def label_distribution_train(spark: SparkSession, sf_dir: str) -> DataFrame:
     """G1 on the model's own training half (feature rows)."""
     tr, te = M.split_labelled(train.labelled_grams(spark, sf_dir))
@@ -204,11 +209,10 @@ def score_both(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("pos_neg_join")
 def pos_neg_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """J4 keyed on the comment id (1:1). The submission-id key would pair every
-    comment of a thread with every other one; that fan-out is not rebuilt."""
-    scored = score.scored_comments(spark, sf_dir)
-    p = scored.select("comment_id", "id", "title", "ts", "author_flair_text", "c_score", "s_score", "pos")
-    n = scored.select("comment_id", "neg")
-    return p.join(n, on="comment_id")
+    comment of a thread with every other one; that fan-out is not rebuilt. One pass
+    of scoring has both predictions in a row, so the join is a projection."""
+    cols = ["comment_id", "id", "title", "ts", "author_flair_text", "c_score", "s_score", "pos", "neg"]
+    return score.scored_comments(spark, sf_dir).select(*cols)
 
 
 def _scored_report(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -271,25 +275,21 @@ def model_persistence_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return train.held_out_predictions(spark, sf_dir, model=M.load_models(path))
 
 
-@register("tfidf_vectors_nnz")
+@register(
+    "tfidf_vectors_nnz",
+    f"""
+    SELECT j.id, CAST(count(w.gram) AS INTEGER) AS nnz,
+           CASE WHEN count(w.gram) > 0 THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END AS norm
+    FROM ({SQL_LABEL_JOIN}) j LEFT JOIN ({ORACLE['tfidf_features']}) w ON w.id = j.id GROUP BY j.id""",
+)
 def tfidf_vectors_nnz(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """M11 in ML form: non-zeros and L2 norm per labelled document.
-
-    Spark SQL has no accessor for sparse vectors, and ``vector_to_array`` would
-    expand every row to the vocabulary length; a small per-row helper reads the
-    stored non-zeros instead (O(nnz) per row).
-    """
-
-    @F.udf("struct<nnz:int,norm:double>")
-    def sparse_stats(v):
-        if v is None:
-            return None
-        vals = v.values
-        return (int(sum(1 for x in vals if x != 0)), float(sum(x * x for x in vals) ** 0.5))
-
+    """M11 in ML form: non-zeros and L2 norm per labelled document, from the stored
+    values of the sparse vectors."""
     _, out = FE.tfidf_vectors(train.labelled_grams(spark, sf_dir))
-    st = sparse_stats("tfidf")
-    return out.select("id", st.getField("nnz").alias("nnz"), F.round(st.getField("norm"), 9).alias("norm"))
+    stored = F.filter(F.unwrap_udt("tfidf")["values"], lambda x: x != 0)
+    out = out.select("id", stored.alias("v"))
+    squares = F.aggregate("v", F.lit(0.0), lambda total, x: total + x * x)
+    return out.select("id", F.size("v").alias("nnz"), F.round(F.sqrt(squares), 9).alias("norm"))
 
 
 @register("linear_svc_scores")
@@ -308,27 +308,141 @@ def linear_svc_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("lsi_projection")
 def lsi_projection(spark: SparkSession, sf_dir: str, k: int = 10) -> DataFrame:
-    """Rank-k LSI (truncated SVD) of the TF-IDF matrix; one row per document
-    with its k coordinates, then a logistic regression on them (M12)."""
+    """Rank-k LSI (truncated SVD) of the training half's TF-IDF matrix, then a
+    logistic regression on the coordinates (M12); the test half is predicted.
+
+    Coordinates are sums of weight times the gram's row of V, over (row, gram)
+    entries joined to V, which has one row a gram.
+    """
     from pyspark.ml.classification import LogisticRegression
-    from pyspark.mllib.linalg import Vectors as MLlibVectors
-    from pyspark.mllib.linalg.distributed import IndexedRow, IndexedRowMatrix
-
-    _, tfidf = FE.tfidf_vectors(train.labelled_grams(spark, sf_dir))
-    # Row ids are fixed by the checkpoint, so U's rows map back to documents.
-    tfidf = cut_lineage(tfidf.select("id", "tfidf", "positive").withColumn("row", F.monotonically_increasing_id()))
-    # Distributed SVD exists only on the RDD matrix API.
-    rows = tfidf.select("row", "tfidf").rdd.map(lambda r: IndexedRow(r["row"], MLlibVectors.fromML(r["tfidf"])))
-    mat = IndexedRowMatrix(rows)
-    n_cols = mat.numCols()
-    k = max(1, min(k, int(n_cols) - 1))
-    svd = mat.computeSVD(k, computeU=True)
-    coords = svd.U.rows.map(lambda r: (int(r.index), r.vector.asML())).toDF(["row", "lsi"])
-    joined = tfidf.select("row", "id", "positive").join(coords, on="row")
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.functions import vector_to_array
+    from pyspark.mllib.linalg.distributed import IndexedRowMatrix
+    from pyspark.mllib.util import MLUtils
+
+    grams = train.labelled_grams(spark, sf_dir)
+    fit_half, _ = M.split_labelled(grams)
+    tfidf_model, _ = FE.tfidf_vectors(fit_half)
+    # Row numbers are fixed by the checkpoint.
+    numbered = P.hash_split(grams, "id", 0.5).withColumn("row", F.monotonically_increasing_id())
+    rows = cut_lineage(tfidf_model.transform(numbered).select("row", "id", "split", "positive", "tfidf"))
+    fitted_on = MLUtils.convertVectorColumnsFromML(rows.filter("split = 'train'").select(F.col("row").alias("index"), F.col("tfidf").alias("vector")), "vector")
+    matrix = IndexedRowMatrix(fitted_on)
+    if k >= matrix.numCols():
+        raise ValueError(f"rank {k} needs more than {matrix.numCols()} grams")
+    v = matrix.computeSVD(k, computeU=False).V.toArray()
+    basis = spark.createDataFrame([(i, [float(x) for x in row]) for i, row in enumerate(v)], "gram int, axes array<double>")
+    stored = F.unwrap_udt("tfidf")
+    entries = rows.select("row", F.explode(F.arrays_zip(stored["indices"].alias("gram"), stored["values"].alias("w"))).alias("e"))
+    axes = entries.select("row", "e.gram", "e.w").join(basis, "gram")
+    sums = axes.groupBy("row").agg(*[F.sum(F.col("w") * F.col("axes")[i]).alias(f"x{i}") for i in range(k)])
+    names = [f"x{i}" for i in range(k)]
+    placed = rows.drop("tfidf").join(sums, "row", "left").fillna(0.0, names)
+    vectors = VectorAssembler(inputCols=names, outputCol="lsi").transform(placed)
     lr = LogisticRegression(featuresCol="lsi", labelCol="positive", maxIter=M.MAX_ITER,
                             probabilityCol="p", rawPredictionCol="raw", predictionCol="prediction")
-    fitted = lr.fit(joined)
-    from pyspark.ml.functions import vector_to_array
+    scored = lr.fit(vectors.filter("split = 'train'")).transform(vectors.filter("split = 'test'"))
+    return scored.select("id", F.col("positive").alias("label"), "prediction", vector_to_array("p")[1].alias("probability"))
+
+
+# ---------------------------------------------------------------------------
+# Invariants of fitted models
+# ---------------------------------------------------------------------------
+SQL_TEST_HALF = f"SELECT * FROM (SELECT *, {SQL_SPLIT} AS split FROM ({SQL_LABELLED}) t) s WHERE split = 'test' AND body IS NOT NULL"
 
-    return fitted.transform(joined).select("id", F.col("positive").alias("label"), "prediction",
-                                           vector_to_array("p")[1].alias("probability"))
+
+def _violations(df: DataFrame) -> DataFrame:
+    """Rows, missing predictions, and predictions that aren't probability > threshold."""
+    wrong = lambda prefix, threshold: (F.col(prefix) == 1.0) != (F.col(f"{prefix}_p1") > threshold)
+    return df.agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count_if(F.col("pos").isNull() | F.col("neg").isNull() | F.col("pos_p1").isNull() | F.col("neg_p1").isNull()).alias("n_missing"),
+        F.count_if(wrong("pos", M.POSITIVE_THRESHOLD) | wrong("neg", M.NEGATIVE_THRESHOLD)).alias("n_wrong"),
+    )
+
+
+_NO_VIOLATION = "CAST(0 AS BIGINT) AS n_missing, CAST(0 AS BIGINT) AS n_wrong"
+
+
+@register("train_invariants", f"SELECT count(*) AS n_rows, {_NO_VIOLATION} FROM ({SQL_TEST_HALF}) h")
+def train_invariants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M1-M7 on the held-out half."""
+    return _violations(train.held_out_predictions(spark, sf_dir))
+
+
+@register("positive_rows_ids", f"SELECT id, positive FROM ({SQL_TEST_HALF}) h WHERE positive <> 0")
+def positive_rows_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The held-out rows with a non-zero label, whatever is predicted for them."""
+    return train.positive_label_listing(train.held_out_predictions(spark, sf_dir)).select("id", "positive")
+
+
+SQL_KEPT_COMMENTS = f"""
+    SELECT c.id FROM ({SQL_COMMENTS_RAW}) c
+    WHERE c.body IS NOT NULL AND NOT starts_with(replace(trim(c.body, ' ' || chr(9) || chr(10) || chr(13)), '/s', ''), '&gt')
+      AND EXISTS (SELECT 1 FROM conversations s WHERE s.turn = 0 AND 't3_' || CAST(s.conv_id AS VARCHAR) = c.link_id)"""
+
+
+@register("score_invariants", f"SELECT count(*) AS n_rows, {_NO_VIOLATION} FROM ({SQL_KEPT_COMMENTS}) k")
+def score_invariants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M2 + M7 + P8: every kept comment of a known thread has both predictions."""
+    return _violations(score.scored_comments(spark, sf_dir))
+
+
+@register("sample_score_invariants", f"SELECT count(*) AS n_rows, {_NO_VIOLATION} FROM ({SQL_KEPT_COMMENTS} AND {SQL_IN_SAMPLE.replace('CAST(id', 'CAST(c.id')}) k")
+def sample_score_invariants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P15 in the scoring path."""
+    return _violations(score.scored_comments(spark, sf_dir, sample_fraction=0.2))
+
+
+@register(
+    "persistence_invariants",
+    f"SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS n_different FROM ({SQL_TEST_HALF}) h",
+)
+def persistence_invariants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Loaded models predict what the saved ones do."""
+    cols = ["id", "pos", "neg", "pos_p1", "neg_p1"]
+    before = train.held_out_predictions(spark, sf_dir).select(cols)
+    after = model_persistence_roundtrip(spark, sf_dir).select(cols)
+    different = before.exceptAll(after).agg(F.count(F.lit(1))).scalar()
+    return after.agg(F.count(F.lit(1)).alias("n_rows"), F.max(different).alias("n_different"))
+
+
+@register("auc_invariants", "SELECT unnest(['neg', 'pos']) AS model, true AS same, true AS within")
+def auc_invariants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M8: the rank statistic equals Spark ML's evaluator and lies in [0, 1]."""
+    from pyspark.ml.functions import array_to_vector
+
+    held = train.held_out_predictions(spark, sf_dir)
+    parts = []
+    for prefix, label in (("neg", "negative"), ("pos", "positive")):
+        raw = held.select(F.col(label).cast("double").alias("label"), array_to_vector(F.array(1 - F.col(f"{prefix}_p1"), F.col(f"{prefix}_p1"))).alias("rawPrediction"))
+        area = E.evaluator_auc(raw)
+        auc = E.auc_rank(held, f"{prefix}_p1", label)
+        parts.append(auc.select(F.lit(prefix).alias("model"), (F.abs(F.col("auc") - area) < 1e-9).alias("same"), F.col("auc").between(0, 1).alias("within")))
+    return parts[0].unionByName(parts[1])
+
+
+@register("cv_invariants", "SELECT unnest(['neg', 'pos']) AS model, CAST(1 AS BIGINT) AS n_points, true AS within")
+def cv_invariants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M5/M6: one mean area under ROC a grid point, in [0, 1]."""
+    metrics = train.fitted_models(spark, sf_dir).cv_metrics
+    rows = labelled_targets(spark, sf_dir).agg(F.count(F.lit(1)).alias("n"))
+    listed = rows.select(F.explode(F.array(*[F.struct(F.lit(p).alias("model"), F.array(*map(F.lit, m)).alias("m")) for p, m in sorted(metrics.items())])).alias("x"))
+    return listed.select("x.model", F.size("x.m").cast("bigint").alias("n_points"), F.forall("x.m", lambda v: v.between(0, 1)).alias("within"))
+
+
+@register("lsi_invariants", f"SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS n_wrong FROM ({SQL_TEST_HALF}) h")
+def lsi_invariants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M12 + M13: every held-out row is predicted, by its probability."""
+    p = lsi_projection(spark, sf_dir)
+    wrong = (F.col("prediction") == 1.0) != (F.col("probability") > 0.5)
+    return p.agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(F.coalesce(wrong, F.lit(True))).alias("n_wrong"))
+
+
+@register("svc_invariants", f"SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS n_wrong FROM ({SQL_TEST_HALF}) h")
+def svc_invariants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every held-out row has the class of its margin's sign."""
+    wrong = (F.col("svc") == 1.0) != (F.col("margin") > 0)
+    return linear_svc_scores(spark, sf_dir).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_if(F.coalesce(wrong, F.lit(True))).alias("n_wrong")
+    )

@@ -94,8 +94,11 @@ def label_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return labelled_targets(spark, sf_dir).select("id", "positive", "negative")
 
 
-SQL_BUCKET = "((('0x' || substr(md5(CAST({k} AS VARCHAR)), 1, 8))::BIGINT) % 10000)"
-SQL_SPLIT = f"CASE WHEN {SQL_BUCKET.format(k='id')} < 5000 THEN 'train' ELSE 'test' END"
+SQL_HASH = "(('0x' || substr(md5('{salt}:' || CAST({k} AS VARCHAR)), 1, 15))::BIGINT)"
+SQL_SPLIT = (
+    f"CASE WHEN {SQL_HASH.format(salt=P.SPLIT_SALT, k='id')} < {int(0.5 * P.HASH_RANGE)} THEN 'train' ELSE 'test' END"
+)
+SQL_IN_SAMPLE = f"{SQL_HASH.format(salt=P.SAMPLE_SALT, k='id')} < {int(0.2 * P.HASH_RANGE)}"
 
 
 @register("hash_split", f"SELECT id, {SQL_SPLIT} AS split FROM ({SQL_LABELLED}) t")
@@ -118,12 +121,25 @@ def label_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
     "hash_sample",
     f"""
     SELECT id, link_id FROM ({SQL_COMMENTS_RAW}) c
-    WHERE {SQL_BUCKET.format(k='id')} < 2000""",
+    WHERE {SQL_IN_SAMPLE}""",
 )
 def hash_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     return P.hash_sample(DT.comments(spark, sf_dir), "id", 0.2).select("id", "link_id")
 
 
+@register(
+    "sample_split_counts",
+    f"""
+    SELECT split, count(*) AS count FROM (
+        SELECT {SQL_SPLIT} AS split FROM ({SQL_COMMENTS_RAW}) c WHERE {SQL_IN_SAMPLE}) s
+    GROUP BY split""",
+)
+def sample_split_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P15 with P16: a sample holds rows of both halves."""
+    sample = P.hash_sample(DT.comments(spark, sf_dir), "id", 0.2)
+    return P.hash_split(sample, "id", 0.5).groupBy("split").agg(F.count(F.lit(1)).alias("count"))
+
+
 @register(
     "prediction_having",
     f"""
@@ -166,7 +182,7 @@ def _sql_day(ep: str) -> str:
 
 
 SQL_COMMENTS = f"""
-    SELECT CAST(c.conv_id * 1000 + c.turn AS VARCHAR) AS id, c.text AS body,
+    SELECT CAST(c.conv_id AS VARCHAR) || '_' || CAST(c.turn AS VARCHAR) AS id, c.text AS body,
            't3_' || CAST(c.conv_id AS VARCHAR) AS link_id, c.role AS author_flair_text,
            CAST(length(c.text) AS BIGINT) AS score, e.ep + c.turn AS created_utc
     FROM conversations c

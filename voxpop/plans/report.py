@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from voxpop.operators import aggregates as G
 from voxpop.plans import score
-from voxpop.session import materialize
+from voxpop.session import ensure_checkpoint_dir, materialize
 from voxpop.sources import readers as R
 from voxpop.sources import sinks as W
 
@@ -26,6 +26,7 @@ def sentiment_reports(scored: DataFrame, k: int = 10, stage=None) -> dict[str, D
         "titles_positive": G.top_k(t["title_positive"], "percentage", k, tie_col="title"),
         "titles_negative": G.top_k(t["title_negative"], "percentage", k, tie_col="title"),
         "titles_positive_below_perfect": G.top_k_below_perfect(t["title_positive"], "percentage", k + 1, "title"),
+        "titles_negative_below_perfect": G.top_k_below_perfect(t["title_negative"], "percentage", k + 1, "title"),
         "daily": t["daily"],
         "by_region": t["by_region"],
         "by_submission_score": t["by_submission_score"],
@@ -35,7 +36,7 @@ def sentiment_reports(scored: DataFrame, k: int = 10, stage=None) -> dict[str, D
 
 
 # Reports whose size is bounded by k or by the number of days: one CSV file.
-BOUNDED = {"titles_positive", "titles_negative", "titles_positive_below_perfect", "daily", "overall"}
+BOUNDED = {"titles_positive", "titles_negative", "titles_positive_below_perfect", "titles_negative_below_perfect", "daily", "overall"}
 
 
 def write_reports(reports: dict[str, DataFrame], out_dir: str) -> None:
@@ -52,6 +53,7 @@ def run(spark: SparkSession, comments_path: str, submissions_path: str, model_pa
     """Full scoring + reporting on the forum inputs."""
     from voxpop.operators import models as M
 
+    ensure_checkpoint_dir(spark)  # fails before any work where a cluster names none
     comments = R.read_comments(spark, comments_path)
     submissions = R.read_submissions(spark, submissions_path)
     W.write_parquet(comments, f"{out_dir}/comments.parquet")

@@ -123,7 +123,7 @@ def gram_union(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 SQL_COMMENTS_RAW = """
-    SELECT CAST(conv_id * 1000 + turn AS VARCHAR) AS id, text AS body,
+    SELECT CAST(conv_id AS VARCHAR) || '_' || CAST(turn AS VARCHAR) AS id, text AS body,
            't3_' || CAST(conv_id AS VARCHAR) AS link_id
     FROM conversations WHERE turn > 0"""
 

@@ -9,22 +9,26 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from voxpop.functions import text as T
 from voxpop.operators import filters as P
+from voxpop.operators import evaluate as E
 from voxpop.operators import joins as J
 from voxpop.operators import models as M
 from voxpop.sources import driver_tables as DT
+from voxpop.sources import sinks as W
 
 _FITTED: dict[tuple, PipelineModel] = {}
 
 
 def labelled_grams_from(labels: DataFrame, comments: DataFrame) -> DataFrame:
     """(id, grams, dem, gop, djt, positive, negative) for labelled comments."""
-    joined = J.label_join(labels, comments)
+    joined = J.label_join(labels, comments).filter(F.col("body").isNotNull())
     grams = T.with_gram_list(joined.select("id", "body", "dem", "gop", "djt"), "body").drop("body")
     return P.label_targets(grams)
 
@@ -62,9 +66,30 @@ def run(spark: SparkSession, labels_path: str, comments_path: str, model_path: s
     grams = labelled_grams_from(labels, comments)
     model = M.train_sentiment_models(grams, folds=folds, seed=seed)
     M.save_models(model, model_path)
+    W.write_single_csv(evaluation(grams, model), f"{model_path.rstrip('/')}_evaluation.csv")
     return model
 
 
+def evaluation(grams: DataFrame, model: PipelineModel) -> DataFrame:
+    """(model, metric, value): label counts of both halves, mean cross-validated and
+    held-out area under ROC, and held-out rows with the label."""
+    split = P.hash_split(grams, "id", 0.5).select("id", "split", "positive", "negative")
+    _, test = M.split_labelled(grams)
+    held = M.score(model, test)
+    parts = []
+    for prefix, label in (("pos", "positive"), ("neg", "negative")):
+        rows = lambda metric, value: (F.lit(prefix).alias("model"), metric.alias("metric"), value.cast("double").alias("value"))  # noqa: E731,B023
+        named = F.concat(F.lit("label "), F.col(label).cast("string"), F.lit(" in "), F.col("split"))
+        parts.append(split.groupBy(named.alias("name")).count().select(*rows(F.col("name"), F.col("count"))))
+        parts.append(E.auc_rank(held, f"{prefix}_p1", label).select(*rows(F.lit("held-out area under ROC"), F.col("auc"))))
+        listed = held.filter(F.col(label) != 0).agg(F.count(F.lit(1)).alias("n"))
+        parts.append(listed.select(*rows(F.lit("held-out rows with the label"), F.col("n"))))
+        mean = getattr(model, "cv_metrics", {}).get(prefix, [None])[0]
+        if mean is not None:
+            parts.append(listed.select(*rows(F.lit("cross-validated area under ROC"), F.lit(mean))))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def positive_label_listing(predictions: DataFrame) -> DataFrame:
     """Held-out rows whose positive label is not 0."""
-    return predictions.filter(F.col("positive") != 0)
+    return P.nonzero_label(predictions, "positive")

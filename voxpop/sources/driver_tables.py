@@ -17,7 +17,7 @@ given tables, so the work of every query grows with the data.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from voxpop.functions import text as T
@@ -32,11 +32,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def comment_id() -> Column:
+    """Unique for threads of any length."""
+    return F.concat(F.col("conv_id").cast("string"), F.lit("_"), F.col("turn").cast("string"))
+
+
 def comments(spark: SparkSession, sf_dir: str, with_time: bool = False) -> DataFrame:
     """Comments with the forum schema: id, body, link_id, created_utc?, author_flair_text, score."""
     conv = table(spark, sf_dir, "conversations").filter(F.col("turn") > 0)
     cols = [
-        (F.col("conv_id") * 1000 + F.col("turn")).cast("string").alias("id"),
+        comment_id().alias("id"),
         F.col("text").alias("body"),
         F.concat(F.lit(T.LINK_PREFIX), F.col("conv_id").cast("string")).alias("link_id"),
         F.col("role").alias("author_flair_text"),
@@ -66,7 +71,7 @@ def comment_times(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     joined = conv.join(events, conv["conv_id"] * EVENTS_PER_CONVERSATION == events["event_id"], "left")
     return joined.select(
-        (F.col("conv_id") * 1000 + F.col("turn")).cast("string").alias("comment_id"),
+        comment_id().alias("comment_id"),
         (F.col("_epoch") + F.col("turn")).alias("created_utc"),
     )
 

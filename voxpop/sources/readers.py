@@ -9,7 +9,7 @@ extension by Hadoop.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from voxpop.functions import text as T
 from voxpop.sources import schemas
@@ -49,9 +49,11 @@ def read_aggregate_csv(spark: SparkSession, path: str, schema: StructType) -> Da
     return spark.read.schema(schema).option("header", True).option("multiLine", True).csv(path)
 
 
-def read_gram_export(spark: SparkSession, path: str) -> DataFrame:
-    """Gram export ``grams,"[a b c]",label,label`` -> array column ``grams``."""
-    df = spark.read.schema(schemas.GRAM_EXPORT_SCHEMA).option("header", True).csv(path)
+def read_gram_export(spark: SparkSession, path: str, key_columns: tuple[str, ...] = ()) -> DataFrame:
+    """Gram export ``grams,"[a b c]",label,label`` -> array column ``grams``;
+    ``key_columns`` names text columns that stand before these."""
+    keys = [StructField(k, StringType()) for k in key_columns]
+    df = spark.read.schema(StructType(keys + list(schemas.GRAM_EXPORT_SCHEMA.fields))).option("header", True).csv(path)
     return df.withColumn("grams", T.parse_bracketed_grams("grams"))
 
 

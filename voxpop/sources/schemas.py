@@ -41,26 +41,6 @@ DAILY_SCHEMA = T.StructType(
     ]
 )
 
-STATE_SCHEMA = T.StructType(
-    [
-        T.StructField("state", T.StringType()),
-        T.StructField("Positive", T.DoubleType()),
-        T.StructField("Negative", T.DoubleType()),
-    ]
-)
-
-
-def score_table_schema(key: str) -> T.StructType:
-    """``submission_score`` / ``comment_score`` aggregate files."""
-    return T.StructType(
-        [
-            T.StructField(key, T.LongType()),
-            T.StructField("Positive", T.DoubleType()),
-            T.StructField("Negative", T.DoubleType()),
-        ]
-    )
-
-
 GRAM_EXPORT_SCHEMA = T.StructType(
     [
         T.StructField("grams", T.StringType()),

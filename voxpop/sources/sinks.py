@@ -6,25 +6,22 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def write_parquet(df: DataFrame, path: str, mode: str = "overwrite", partition_by: list[str] | None = None) -> None:
+def write_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Materialise a row-format input once as columnar Parquet.
 
     ``overwrite`` keeps reruns idempotent (and a retried job after a lost
     executor rewrites the same files through the output committer).
     """
-    writer = df.write.mode(mode)
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
+    df.write.mode(mode).parquet(path)
 
 
 def write_single_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """One CSV file with a header, for small final reports only.
 
-    ``coalesce(1)`` avoids the extra shuffle of ``repartition(1)``; callers pass
-    already-aggregated (bounded) frames such as top-k lists.
+    ``repartition(1)`` moves the finished rows to one writer; ``coalesce(1)`` would
+    pull the stage above it, such as the last step of an aggregate, into one task.
     """
-    df.coalesce(1).write.mode(mode).option("header", True).csv(path)
+    df.repartition(1).write.mode(mode).option("header", True).csv(path)
 
 
 def top_slice(df: DataFrame, order_col: str, n: int, tie_col: str | None = None) -> DataFrame:

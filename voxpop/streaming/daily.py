@@ -6,11 +6,11 @@ Comments arrive as files (JSON lines or Parquet). Each micro-batch:
 * drops quoted comments,
 * cleans and scores them with the fitted model.
 
-The daily shares are a windowed aggregate with a watermark on the comment
-time. It runs in ``update`` mode and ``foreachBatch`` writes each batch's
-updated day rows to its own ``batch_id=`` folder of a Parquet table. Readers take
-the newest row per day (``latest_daily``), so the last days are never held
-back waiting for the watermark. Checkpoints live under
+The daily shares are an aggregate keyed by the day of the comment, without a
+watermark: the state is one row per day, and comments may arrive in any order. It
+runs in ``update`` mode and ``foreachBatch`` writes each batch's updated day rows
+to its own ``batch_id=`` folder of a Parquet table. Readers take the newest row
+per day (``latest_daily``). Checkpoints live under
 ``spark.checkpoint.dir`` (a shared folder on a cluster), so a restarted query
 resumes where it stopped.
 """
@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
+from voxpop.functions import text as T
 from voxpop.plans import score
 from voxpop.sources import schemas
 
@@ -41,15 +42,14 @@ def scored_stream(comments: DataFrame, submissions: DataFrame, model: PipelineMo
     return score.scored_from(comments, submissions, model)
 
 
-def daily_shares(scored: DataFrame, watermark: str = "2 days") -> DataFrame:
-    """G6 over a stream: one-day event-time windows (UTC-aligned) with a watermark."""
-    timed = scored.withColumn("event_time", F.timestamp_seconds("created_utc")).withWatermark("event_time", watermark)
-    return timed.groupBy(F.window("event_time", "1 day").alias("w")).agg(
+def daily_shares(scored: DataFrame) -> DataFrame:
+    """G6 over a stream: sums per day key; comments without a time are a group too."""
+    return scored.groupBy(T.epoch_to_day("created_utc").alias("date")).agg(
         F.sum("pos").alias("pos_sum"), F.sum("neg").alias("neg_sum"), F.count(F.lit(1)).alias("n")
     )
 
 
-def start_daily_report(scored: DataFrame, out_path: str, checkpoint_path: str, watermark: str = "2 days",
+def start_daily_report(scored: DataFrame, out_path: str, checkpoint_path: str,
                        available_now: bool = True) -> StreamingQuery:
     """Run the daily aggregate; every micro-batch appends its updated days to ``out_path``."""
 
@@ -58,7 +58,7 @@ def start_daily_report(scored: DataFrame, out_path: str, checkpoint_path: str, w
         batch.write.mode("overwrite").parquet(f"{out_path.rstrip('/')}/batch_id={batch_id}")
 
     writer = (
-        daily_shares(scored, watermark)
+        daily_shares(scored)
         .writeStream.outputMode("update")
         .option("checkpointLocation", checkpoint_path)
         .foreachBatch(write_batch)
@@ -70,11 +70,9 @@ def start_daily_report(scored: DataFrame, out_path: str, checkpoint_path: str, w
 def latest_daily(spark: SparkSession, out_path: str) -> DataFrame:
     """Current daily table: the newest update of every day, as (date, Positive, Negative)."""
     rows = spark.read.parquet(out_path)
-    latest = rows.groupBy("w").agg(F.max_by(F.struct("pos_sum", "neg_sum", "n"), "batch_id").alias("v"))
-    # The window start is a UTC-aligned instant; day arithmetic keeps the key in UTC.
-    day = F.date_from_unix_date(F.floor(F.unix_seconds(F.col("w.start")) / F.lit(86400)).cast("int"))
+    latest = rows.groupBy("date").agg(F.max_by(F.struct("pos_sum", "neg_sum", "n"), "batch_id").alias("v"))
     return latest.select(
-        (F.year(day) * 10000 + F.month(day) * 100 + F.dayofmonth(day)).cast("int").alias("date"),
+        "date",
         (F.col("v.pos_sum") / F.col("v.n")).alias("Positive"),
         (F.col("v.neg_sum") / F.col("v.n")).alias("Negative"),
     )
