@@ -15,8 +15,9 @@ def test_train_and_report_jobs(spark):
     base = tempfile.mkdtemp(prefix="vp-job-", dir="/tmp")
     DT.comments(spark, SF_SMALL, with_time=True).write.option("compression", "bzip2").json(f"{base}/comments")
     # labelled comments travel with the comment dump, as in the forum data
+    bodies = F.when(F.col("id") != "0", F.col("body")).alias("body")  # one labelled comment has none
     DT.labelled_comment_texts(spark, SF_SMALL).select(
-        "id", "body", F.lit(None).cast("string").alias("link_id"), F.lit(0).cast("bigint").alias("created_utc"),
+        "id", bodies, F.lit(None).cast("string").alias("link_id"), F.lit(0).cast("bigint").alias("created_utc"),
         "author_flair_text", F.lit(0).cast("bigint").alias("score"),
     ).write.json(f"{base}/labelled_comments")
     DT.submissions(spark, SF_SMALL).write.json(f"{base}/submissions")
@@ -27,6 +28,11 @@ def test_train_and_report_jobs(spark):
 
     model = train.run(spark, f"{base}/labels", f"{base}/labelled_comments", f"{base}/model", folds=3)
     assert os.path.isdir(f"{base}/model/stages")
+    metrics = {(r.model, r.metric): float(r.value) for r in spark.read.option("header", True).csv(f"{base}/model_evaluation.csv").collect()}
+    for prefix in ("pos", "neg"):
+        assert 0 <= metrics[prefix, "held-out area under ROC"] <= 1
+        assert 0 <= metrics[prefix, "cross-validated area under ROC"] <= 1
+        assert metrics[prefix, "label 1 in test"] == metrics[prefix, "held-out rows with the label"]
     assert len(model.stages) == 3
 
     out = f"{base}/reports"

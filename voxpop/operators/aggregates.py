@@ -50,6 +50,16 @@ def sentiment_by_state(df: DataFrame, flair_col: str = "author_flair_text", pos_
     return sentiment_by(df, F.trim(F.col(flair_col)), "state", pos_col, neg_col)
 
 
+def sentiment_by_state_totals(totals: DataFrame, flair_col: str = "author_flair_text") -> DataFrame:
+    """G7 and G10 from partial sums (pos, pos_n, neg, neg_n): one row per trimmed
+    flair with its shares and the overall ones, from one aggregate."""
+    sums = totals.groupBy(F.trim(F.col(flair_col)).alias("state")).agg(
+        *[F.sum(c).alias(c) for c in ("pos", "pos_n", "neg", "neg_n")]
+    )
+    share = lambda a, b: F.col(a) / F.nullif(F.col(b), F.lit(0))
+    return sums.select("state", share("pos", "pos_n").alias("Positive"), share("neg", "neg_n").alias("Negative"), "pos", "pos_n", "neg", "neg_n")
+
+
 def sentiment_by_score(df: DataFrame, score_col: str, out_key: str, pos_col: str = "pos",
                        neg_col: str = "neg") -> DataFrame:
     """Shares per submission or comment score."""

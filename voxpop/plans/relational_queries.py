@@ -18,6 +18,7 @@ from voxpop.plans.registry import (
     register,
 )
 from voxpop.plans.text_queries import SQL_BI, SQL_COMMENTS_RAW, SQL_TRI, SQL_UNI, sql_words
+from voxpop.session import materialize
 from voxpop.sources import driver_tables as DT
 
 
@@ -331,7 +332,8 @@ def _sql_intensity(expr: str, vmin: float, vmax: float) -> str:
 
 
 def regional_sentiment(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return G.sentiment_by_state(DT.regional_activity(spark, sf_dir))
+    totals = DT.regional_totals(spark, sf_dir)
+    return G.sentiment_by_state_totals(totals).select("state", "Positive", "Negative")
 
 
 def region_table(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -393,10 +395,13 @@ SQL_APPROVAL = f"""
 
 
 def _approval(spark: SparkSession, sf_dir: str) -> DataFrame:
-    overall = G.sentiment_overall(DT.regional_activity(spark, sf_dir))
-    # One value from a global aggregate, planned as a scalar subquery.
-    scale = overall.select(F.col("Negative") / F.col("Positive")).scalar()
-    t = P.override_values(region_table(spark, sf_dir), "state", "Positive", APPROVAL_OVERRIDE)
+    # One row a region, written once: the table and the overall ratio (a scalar
+    # subquery, NULL without a positive row) come from the same sums.
+    regions = materialize(G.sentiment_by_state_totals(DT.regional_totals(spark, sf_dir)), "regions")
+    positive, negative = (F.sum(c) / F.nullif(F.sum(f"{c}_n"), F.lit(0)) for c in ("pos", "neg"))
+    scale = regions.agg((negative / F.nullif(positive, F.lit(0.0))).alias("scale")).scalar()
+    looked_up = J.region_lookup(DT.region_names(spark, sf_dir), regions.select("state", "Positive", "Negative"), exclude=REGION_EXCLUDE)
+    t = P.override_values(looked_up, "state", "Positive", APPROVAL_OVERRIDE)
     return t.select("state", S.approval_ratio("Positive", "Negative", scale).alias("ratio"))
 
 

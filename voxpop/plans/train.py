@@ -43,7 +43,15 @@ def fitted_models(spark: SparkSession, sf_dir: str, folds: int = M.NUM_FOLDS, se
     The fitted model is small (vocabulary bounded by vocabSize, two coefficient
     vectors), so keeping it on the driver is safe.
     """
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), folds, seed)
+    # The key holds the tables' content, so that rewritten tables are trained anew.
+    content = [
+        tuple(df.agg(F.count(F.lit(1)), F.sum(F.xxhash64(*cols).cast("decimal(20,0)"))).first())
+        for df, cols in (
+            (DT.labels(spark, sf_dir), ["id", "dem", "gop", "djt"]),
+            (DT.labelled_comment_texts(spark, sf_dir), ["id", "body"]),
+        )
+    ]
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), folds, seed, *content)
     if key not in _FITTED:
         _FITTED[key] = M.train_sentiment_models(labelled_grams(spark, sf_dir), folds=folds, seed=seed)
     return _FITTED[key]

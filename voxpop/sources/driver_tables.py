@@ -151,6 +151,24 @@ def regional_activity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def regional_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``regional_activity`` summed per user before the join, so that a hot user (or
+    the NULL one) is one row: (author_flair_text, pos, pos_n, neg, neg_n)."""
+    ev = table(spark, sf_dir, "events").select(
+        "user_id",
+        (F.col("event_type") == "purchase").cast("int").alias("pos"),
+        (F.col("event_type") == "error").cast("int").alias("neg"),
+    )
+    per_user = ev.groupBy("user_id").agg(
+        F.sum("pos").alias("pos"), F.count("pos").alias("pos_n"), F.sum("neg").alias("neg"), F.count("neg").alias("neg_n")
+    )
+    cust = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+    nat = table(spark, sf_dir, "nation").select("n_nationkey", F.col("n_name").alias("author_flair_text"))
+    users = cust.join(nat, cust["c_nationkey"] == nat["n_nationkey"])
+    joined = per_user.join(users, per_user["user_id"] == users["c_custkey"], "left")
+    return joined.select("author_flair_text", "pos", "pos_n", "neg", "neg_n")
+
+
 def daily_activity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as scored rows: (created_utc, pos, neg, c_score, s_score).
 
