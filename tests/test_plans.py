@@ -7,7 +7,9 @@ from voxpop.operators import aggregates as G
 from voxpop.operators import filters as P
 from voxpop.operators import joins as J
 from voxpop.plans import score, train
+from voxpop.session import materialize
 from voxpop.sources import driver_tables as DT
+from voxpop.sources import sinks as W
 
 
 def _formatted(df) -> str:
@@ -50,3 +52,20 @@ def test_report_tables_come_from_one_aggregate(spark):
     scored = score.scored_comments(spark, SF_SMALL, model=model)
     plan = _formatted(G.sentiment_tables(scored)["daily"])
     assert "Expand" in plan
+
+
+def test_staged_report_reads_its_own_rows(spark):
+    rows = [("t", 20190101, "a", 1, 2, 1.0, 0.0), ("u", 20190102, None, 1, 3, 0.0, 1.0)]
+    scored = spark.createDataFrame(rows, "title string, ts int, author_flair_text string, s_score long, c_score long, pos double, neg double")
+    staged = G.sentiment_tables(scored, stage=lambda agg: materialize(agg, "staged", ("_gid",)))
+    plain = G.sentiment_tables(scored)
+    for name, df in plain.items():
+        assert df.exceptAll(staged[name]).isEmpty() and staged[name].exceptAll(df).isEmpty(), name
+        scan = staged[name]._jdf.queryExecution().executedPlan().toString()
+        assert "_gid" in scan.split("PartitionFilters: [", 1)[1].split("]", 1)[0], name
+
+
+def test_single_file_keeps_the_aggregate_parallel(spark):
+    shares = G.share_by(spark.range(100).selectExpr("id % 7 AS k", "id % 2 AS v"), "k", "v")
+    plan = W.single_file(shares)._jdf.queryExecution().executedPlan().toString()
+    assert "Coalesce" not in plan and plan.index("SinglePartition") < plan.index("HashAggregate")

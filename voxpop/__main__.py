@@ -3,7 +3,8 @@
     python -m voxpop clean  <file.json|file.bz2> <out_dir>
     python -m voxpop train  --labels L.csv --comments C.json.bz2 --model DIR [--folds 5]
     python -m voxpop report --comments C.json.bz2 --submissions S.json.bz2 --model DIR --out DIR
-                            [--sample 0.2]
+                            [--sample 0.2] [--exclude-day 20181231] [--regions R.txt [--exclude-region NAME]
+                            [--map-value NAME=0.3] [--approval-value NAME=0.31]]
 
 On a cluster submit it with ``spark-submit -m voxpop ...`` or wrap it in a job;
 the session comes from ``SparkSession.builder.getOrCreate()`` so cluster
@@ -29,6 +30,11 @@ def _session() -> SparkSession:
     return spark
 
 
+def _named(given: str) -> tuple[str, float]:
+    name, _, value = given.rpartition("=")
+    return name, float(value)
+
+
 def main(argv: list[str] | None = None) -> None:
     ap = argparse.ArgumentParser(prog="voxpop")
     sub = ap.add_subparsers(dest="cmd", required=True)
@@ -46,6 +52,11 @@ def main(argv: list[str] | None = None) -> None:
     r.add_argument("--model", required=True)
     r.add_argument("--out", required=True)
     r.add_argument("--sample", type=float, default=None)
+    r.add_argument("--exclude-day", type=int, action="append", help="a day (yyyyMMdd) left out of the dated series")
+    r.add_argument("--regions", help="text file of region names, one a line, for the map tables")
+    r.add_argument("--exclude-region", action="append", help="a region left off the maps")
+    r.add_argument("--map-value", type=_named, action="append", default=[], help="NAME=SHARE set by hand on the positive map")
+    r.add_argument("--approval-value", type=_named, action="append", default=[], help="NAME=SHARE set by hand in the approval ratio")
     args = ap.parse_args(argv)
 
     spark = _session()
@@ -60,7 +71,11 @@ def main(argv: list[str] | None = None) -> None:
     else:
         from voxpop.plans import report
 
-        report.run(spark, args.comments, args.submissions, args.model, args.out, sample_fraction=args.sample)
+        report.run(
+            spark, args.comments, args.submissions, args.model, args.out, sample_fraction=args.sample,
+            exclude_days=args.exclude_day, regions_path=args.regions, exclude_regions=args.exclude_region,
+            map_overrides=dict(args.map_value), approval_overrides=dict(args.approval_value),
+        )
 
 
 if __name__ == "__main__":

@@ -15,13 +15,15 @@ def write_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).parquet(path)
 
 
-def write_single_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """One CSV file with a header, for small final reports only.
+def single_file(df: DataFrame) -> DataFrame:
+    """``repartition(1)`` moves the finished rows to one writer; ``coalesce(1)`` would
+    pull the stage above it, such as the last step of an aggregate, into one task."""
+    return df.repartition(1)
 
-    ``repartition(1)`` moves the finished rows to one writer; ``coalesce(1)`` would
-    pull the stage above it, such as the last step of an aggregate, into one task.
-    """
-    df.repartition(1).write.mode(mode).option("header", True).csv(path)
+
+def write_single_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """One CSV file with a header, for small final reports only."""
+    single_file(df).write.mode(mode).option("header", True).csv(path)
 
 
 def top_slice(df: DataFrame, order_col: str, n: int, tie_col: str | None = None) -> DataFrame:
