@@ -195,9 +195,9 @@ def test_a_cut_vocabulary_raises(spark):
     from voxpop.operators import features as FE
 
     df = spark.createDataFrame([(["a", "b", "c"],), (["a", "b", "d"],)], "grams array<string>")
-    assert len(FE.checked_vocabulary(FE.binary_vectorizer(min_df=1.0).fit(df)).vocabulary) == 4
+    assert len(FE.binary_vectorizer(df, min_df=1.0).vocabulary) == 4
     with pytest.raises(ValueError, match="bound"):
-        FE.checked_vocabulary(FE.binary_vectorizer(min_df=1.0, vocab_size=3).fit(df))
+        FE.binary_vectorizer(df, min_df=1.0, vocab_size=3)
 
 
 def test_tfidf_keeps_repeated_ids_apart(spark):

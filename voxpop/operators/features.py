@@ -9,7 +9,7 @@ Two forms of each:
 * Spark ML form (``binary_vectorizer``, ``tfidf_vectors``): ``CountVectorizer`` /
   ``IDF`` / ``Normalizer`` stages producing sparse vectors for the models.
   The binary vectorizer's vocabulary has an explicit bound and a fit that
-  reaches it fails (``checked_vocabulary``); TF-IDF vectors have no bound.
+  reaches it fails; TF-IDF vectors have no bound.
 """
 
 from __future__ import annotations
@@ -110,17 +110,22 @@ def tfidf_weights(df: DataFrame, id_col: str = "id", grams_col: str = "grams", m
 # ---------------------------------------------------------------------------
 # Spark ML stages
 # ---------------------------------------------------------------------------
-def binary_vectorizer(input_col: str = "grams", output_col: str = "features", min_df: float = MIN_DF,
-                      vocab_size: int = VOCAB_SIZE) -> CountVectorizer:
-    """M1: binary bag-of-grams, fitted on the labelled rows only."""
-    return CountVectorizer(inputCol=input_col, outputCol=output_col, binary=True, minDF=min_df, vocabSize=vocab_size)
-
-
-def checked_vocabulary(fitted: CountVectorizerModel) -> CountVectorizerModel:
-    """The fitted vectorizer, unless its vocabulary was cut at ``vocabSize``."""
-    if len(fitted.vocabulary) >= fitted.getVocabSize():
-        raise ValueError(f"the vocabulary reached its bound of {fitted.getVocabSize()} grams; raise vocab_size")
-    return fitted
+def binary_vectorizer(df: DataFrame, input_col: str = "grams", output_col: str = "features", min_df: float = MIN_DF,
+                      vocab_size: int = VOCAB_SIZE) -> CountVectorizerModel:
+    """M1: binary bag-of-grams, fitted on the labelled rows only.
+
+    The vocabulary is the DataFrame aggregate's, commonest grams first and equal
+    counts by gram, so that the features don't depend on how the rows are dealt. At
+    most ``vocab_size`` grams come to the driver; a vocabulary that reaches this
+    bound would be cut, so the fit fails.
+    """
+    found = vocabulary(df.select(F.lit(0).alias("id"), F.col(input_col).alias("grams")), min_df=min_df)
+    grams = [r["gram"] for r in found.orderBy(F.desc("doc_freq"), "gram").limit(vocab_size).collect()]
+    if len(grams) >= vocab_size:
+        raise ValueError(f"the vocabulary reached its bound of {vocab_size} grams; raise vocab_size")
+    if not grams:
+        raise ValueError(f"no gram is in {min_df:g} labelled rows")
+    return CountVectorizerModel.from_vocabulary(grams, input_col, output_col, binary=True)
 
 
 def tfidf_vectors(df: DataFrame, input_col: str = "grams", output_col: str = "tfidf",

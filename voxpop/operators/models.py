@@ -81,7 +81,7 @@ def train_sentiment_models(labelled_grams: DataFrame, folds: int = NUM_FOLDS, se
 
     grams = labelled_grams.select("id", "grams", "positive", "negative").persist()
     try:
-        vectorizer = FE.checked_vocabulary(FE.binary_vectorizer(vocab_size=vocab_size).fit(grams))
+        vectorizer = FE.binary_vectorizer(grams, vocab_size=vocab_size)
         feats = vectorizer.transform(grams).select("id", "features", "positive", "negative")
         train, _ = split_labelled(feats, train_fraction)
         train = train.persist()

@@ -296,8 +296,7 @@ def tfidf_vectors_nnz(spark: SparkSession, sf_dir: str) -> DataFrame:
 def linear_svc_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Linear SVM on the binary features, held-out margins."""
     grams = train.labelled_grams(spark, sf_dir)
-    vec = FE.binary_vectorizer().fit(grams)
-    feats = vec.transform(grams)
+    feats = FE.binary_vectorizer(grams).transform(grams)
     tr, te = M.split_labelled(feats)
     model = M.linear_svc("positive", "svc").fit(tr)
     out = model.transform(te)

@@ -26,10 +26,17 @@ from voxpop.sources import sinks as W
 _FITTED: dict[tuple, PipelineModel] = {}
 
 
-def labelled_grams_from(labels: DataFrame, comments: DataFrame) -> DataFrame:
-    """(id, grams, dem, gop, djt, positive, negative) for labelled comments."""
+#: Tasks that clean the labelled rows and train on them. These are hand-made and few, but
+#: may lie in one file; raise it for label sets of millions.
+LABELLED_PARTS = 8
+
+
+def labelled_grams_from(labels: DataFrame, comments: DataFrame, parts: int = LABELLED_PARTS) -> DataFrame:
+    """(id, grams, dem, gop, djt, positive, negative) for labelled comments, dealt by
+    id and sorted, so that folds and fits are the same on every run."""
     joined = J.label_join(labels, comments).filter(F.col("body").isNotNull())
-    grams = T.with_gram_list(joined.select("id", "body", "dem", "gop", "djt"), "body").drop("body")
+    dealt = joined.select("id", "body", "dem", "gop", "djt").repartition(parts, "id")
+    grams = T.with_gram_list(dealt.sortWithinPartitions("id", "dem", "gop", "djt", "body"), "body").drop("body")
     return P.label_targets(grams)
 
 
