@@ -83,3 +83,17 @@ def test_ml_tfidf_vectors_agree_with_dataframe_form(spark):
     for doc, (nnz, norm) in stats.items():
         assert nnz == counts.get(doc, 0)
         assert (nnz == 0 and norm == 0.0) or abs(norm - 1.0) < 1e-9
+
+
+def test_binary_model_equals_from_vocabulary(spark):
+    from pyspark.ml.feature import CountVectorizerModel
+
+    from voxpop.operators import features as FE
+
+    df = spark.createDataFrame([(["b", "b", "é_x", "z", "c d"],), ([],)], "g array<string>")
+    for grams in (["b", "é_x", "c d"], ["z", "with\nbreak", "b"]):
+        plain = CountVectorizerModel.from_vocabulary(grams, "g", "f", binary=True)
+        quick = FE._binary_model(grams, "g", "f")
+        values = lambda m: {p.name: m.getOrDefault(p) for p in m.params if m.isDefined(p)}
+        assert quick.vocabulary == plain.vocabulary and values(quick) == values(plain)
+        assert quick.transform(df).collect() == plain.transform(df).collect()

@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import IDF, CountVectorizer, CountVectorizerModel, ElementwiseProduct, Normalizer
 from pyspark.ml.linalg import DenseVector
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from voxpop.session import materialize
@@ -125,7 +125,17 @@ def binary_vectorizer(df: DataFrame, input_col: str = "grams", output_col: str =
         raise ValueError(f"the vocabulary reached its bound of {vocab_size} grams; raise vocab_size")
     if not grams:
         raise ValueError(f"no gram is in {min_df:g} labelled rows")
-    return CountVectorizerModel.from_vocabulary(grams, input_col, output_col, binary=True)
+    return _binary_model(grams, input_col, output_col)
+
+
+def _binary_model(grams: list[str], input_col: str, output_col: str) -> CountVectorizerModel:
+    """``from_vocabulary``, which sends the grams one call each; here they go to the
+    JVM in one string. A gram that holds the separator takes the plain way."""
+    if any("\n" in g for g in grams):
+        return CountVectorizerModel.from_vocabulary(grams, input_col, output_col, binary=True)
+    lines = SparkSession.getActiveSession()._jvm.java.util.regex.Pattern.compile("\n").split("\n".join(grams))
+    model = CountVectorizerModel._create_from_java_class("org.apache.spark.ml.feature.CountVectorizerModel", lines)
+    return model.setInputCol(input_col).setOutputCol(output_col)._set(binary=True, vocabSize=len(grams))
 
 
 def tfidf_vectors(df: DataFrame, input_col: str = "grams", output_col: str = "tfidf",

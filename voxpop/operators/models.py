@@ -26,6 +26,8 @@ REG_PARAMS = [1.0]
 POSITIVE_THRESHOLD = 0.2
 NEGATIVE_THRESHOLD = 0.25
 NUM_FOLDS = 5
+# Training rows a task; a fit is many short jobs, each with a dense gradient a task.
+TRAIN_ROWS = 1024
 
 
 def logistic(threshold: float, label_col: str, prefix: str, features_col: str = "features") -> LogisticRegression:
@@ -72,19 +74,22 @@ def train_sentiment_models(labelled_grams: DataFrame, folds: int = NUM_FOLDS, se
 
     ``labelled_grams`` has ``id``, ``grams``, ``positive``, ``negative``. The
     cleaned grams are persisted while the vocabulary is fitted and applied (so
-    the text is cleaned once), then the training features are persisted for the
+    the text is cleaned once), then the training features are dealt to a task per
+    ``TRAIN_ROWS`` rows, in the order of the grams' rows, and persisted for the
     fits (every fold and L-BFGS iteration re-reads them). The two
     cross-validations are independent and run as concurrent Spark jobs. Their mean
     areas under ROC, one a grid point, are the result's ``cv_metrics``.
     """
     from concurrent.futures import ThreadPoolExecutor
 
-    grams = labelled_grams.select("id", "grams", "positive", "negative").persist()
+    row = F.monotonically_increasing_id().alias("row")
+    grams = labelled_grams.select("id", "grams", "positive", "negative", row).persist()
     try:
         vectorizer = FE.binary_vectorizer(grams, vocab_size=vocab_size)
-        feats = vectorizer.transform(grams).select("id", "features", "positive", "negative")
+        feats = vectorizer.transform(grams).select("id", "features", "positive", "negative", "row")
         train, _ = split_labelled(feats, train_fraction)
-        train = train.persist()
+        parts = max(1, -(-train.count() // TRAIN_ROWS))
+        train = train.repartition(parts, "id").sortWithinPartitions("row").drop("row").persist()
         train.count()
     finally:
         grams.unpersist()
