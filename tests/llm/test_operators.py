@@ -261,6 +261,31 @@ def test_extract(html, text):
     assert extract(html) == text
 
 
+A = f"<article><h1>T</h1><p>{P}</p><p>{P}</p></article>"
+A_TEXT = f"T {P}{P}".strip()
+
+
+@pytest.mark.parametrize(
+    "html,text",
+    [
+        (f"<div class='overflow-hidden'>{A}</div>", A_TEXT),
+        (f"<div aria-hidden='false' title='hidden gems'>{A}</div>", A_TEXT),
+        (f"<div class='layout-sidebar-right'>{A}</div>", A_TEXT),
+        (f"<form id='aspnetForm'>{A}</form>", A_TEXT),
+        (f"<nav><ul><li><a href=/x>x</a></li></ul>{A}", A_TEXT),
+        (f"<div class=ad><a href=/x>buy</a>{A}", A_TEXT),
+        (f"<div data-id='sidebar' data-role='navigation'>{A}</div>", A_TEXT),
+        (f"<div class='layout-sidebar-right'><p>{P}</p><p>{P}</p></div>", (P + P).strip()),
+        (f"<article><p>{P}</p><section id='discussion'><p>{P}</p></section><p id='notice'>x</p></article>", (P + P + "x").strip()),
+        (f"{A}<div id='comments'><p>{P}</p><p>{P}</p><p>{P}</p><p>{P}</p></div>", A_TEXT),
+        (f"{A}<p hidden>{P}</p><p aria-hidden=true>{P}</p><p style='display: none'>{P}</p>", A_TEXT),
+        (f"<article><p>{P}</p><div class='share-buttons'><p>share</p></div><p hidden>{P}</p><p>{P}</p></article>", (P + P).strip()),
+    ],
+)
+def test_extract_keeps_what_holds_the_article(html, text):
+    assert extract(html) == text
+
+
 def test_extract_deep_and_broken_pages():
     assert extract("<div>" * 20000 + "deep") == "deep"
     for junk in ("<" * 5000, "<a " * 5000, "<a b='" * 5000, "</p>" * 5000, "<!--" * 5000, "&" * 5000):

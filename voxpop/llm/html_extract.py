@@ -25,8 +25,10 @@ _MARKUP = re.compile(
     r"((?:(?:[^>\"']++|\"[^\"]{0,20000}+\"|'[^']{0,20000}+'){0,400}+(?=>|\Z))|[^>]*+)(?:>|\Z)",
     re.S,
 )
-_HINTS = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
-_HIDDEN = re.compile(r"\bhidden\b(?!\s*=\s*[\"']?until)|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", re.I)
+#: Name and value of each attribute; of a name that comes twice, the first counts.
+_ATTRS = re.compile(r"([^\s\"'>/=][^\s/>=]*+)(?:\s*+=\s*+(?:\"([^\"]*+)\"|'([^']*+)'|([^\s>]++)))?")
+_TOLD = re.compile(r"class|id|role|hidden|style", re.I)
+_NONE = re.compile(r"display\s*:\s*none", re.I)
 _WORDS = re.compile(r"[a-z]+")
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
@@ -34,9 +36,10 @@ _VOID = frozenset("area base br col embed hr img input link meta param source tr
 _RAW = {t: re.compile(rf"</{t}\s*>", re.I) for t in ("script", "style", "textarea", "title", "noscript", "iframe", "template", "xmp")}
 #: Elements that never hold article text.
 _DROPPED = frozenset(
-    "head script style noscript template iframe object svg math canvas audio video nav header footer aside form button "
-    "select option textarea input label fieldset menu dialog title xmp".split()
+    "head script style noscript template iframe object svg math canvas audio video button select option textarea input title xmp".split()
 )
+#: Elements that surround an article, unless a page has its article in them.
+_SURROUNDS = frozenset("nav header footer aside form label fieldset menu dialog".split())
 _INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd mark q rp rt ruby s samp small span strike "
     "strong sub sup time tt u var wbr".split()
@@ -49,6 +52,15 @@ _AROUND = frozenset(
     "sharing social related recommended recommendations widget toolbar pagination pager copyright legal disclaimer "
     "complementary contentinfo outbrain taboola skip respond feedback".split()
 )
+#: Of these, words that tell the same inside an article, as a class of nothing else.
+_APART = frozenset(
+    "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion sidebar menu nav navbar navigation "
+    "breadcrumb breadcrumbs masthead comments disqus newsletter subscribe subscription signup login share sharing social related "
+    "recommended recommendations toolbar pagination pager outbrain taboola".split()
+)
+#: Words that add nothing to such a name.
+_FILLERS = frozenset("area bar block bottom box buttons container content inner left links list main outer right row section top wrap wrapper".split())
+_ROLES = frozenset("navigation banner complementary contentinfo search menu menubar toolbar".split())
 #: A name that begins so tells of something else's surroundings.
 _ABOUT = frozenset("no has have with without not".split())
 #: Blocks that may be lists of links.
@@ -75,30 +87,67 @@ _P = (frozenset(["p"]), frozenset("td th button object table".split()) | {"body"
 _SCOPES = frozenset("table td th article section aside nav header footer main body html".split())
 
 
+#: What speaks for an element being around the article: one word of a name, a name as
+#: a whole, a form, and a sign that counts inside an article too.
+ONE_WORD, WHOLE_NAME, FORM, SURE = 1, 2, 3, 4
+
+
 class Node:
-    __slots__ = ("tag", "above", "kids", "dropped", "chars", "tags", "link_chars", "link_tags", "density", "total")
+    __slots__ = (
+        "tag", "above", "kids", "dropped", "sign", "closed", "spared", "plain",
+        "chars", "tags", "link_chars", "link_tags", "density", "total",
+    )
 
-    def __init__(self, tag: str, dropped: bool, above: Node | None = None):
+    def __init__(self, tag: str, dropped: bool, above: Node | None = None, sign: int = 0):
         self.tag, self.dropped, self.above, self.kids = tag, dropped, above, []
+        self.sign, self.closed, self.spared = sign, False, False
 
     def elements(self) -> list[Node]:
         return [k for k in self.kids if isinstance(k, Node) and not k.dropped]
 
 
-def _around(tag: str, attrs: str) -> bool:
-    """Whether an element surrounds the article, by its tag or its hints."""
-    if tag in _DROPPED:
-        return True
-    if tag in _CORE or "=" not in attrs and "hidden" not in attrs:
-        return False
-    if _HIDDEN.search(attrs):
-        return True
-    for quoted, single, bare in _HINTS.findall(attrs):
-        for name in (quoted or single or bare).split():
+def _attributes(text: str) -> dict[str, str]:
+    found: dict[str, str] = {}
+    for name, quoted, single, bare in _ATTRS.findall(text):
+        found.setdefault(name.lower(), quoted or single or bare)
+    return found
+
+
+def _hidden(attrs: dict[str, str]) -> bool:
+    return (
+        attrs.get("hidden", "until-found").strip().lower() != "until-found"
+        or attrs.get("aria-hidden", "").strip().lower() == "true"
+        or bool(_NONE.search(attrs.get("style", "")))
+    )
+
+
+def _sign(tag: str, attrs: dict[str, str]) -> int:
+    """The strongest sign that an element surrounds the article; 0 for none."""
+    if tag in _SURROUNDS:
+        return FORM if tag == "form" else SURE
+    best = 0
+    for key in ("class", "id", "role"):
+        for name in attrs.get(key, "").split():
+            if key == "role" and name.lower() in _ROLES:
+                return SURE
             words = _WORDS.findall(_CAMEL.sub(" ", name).lower())
-            if not _AROUND.isdisjoint(words) and words[0] not in _ABOUT:
-                return True
-    return False
+            if _AROUND.isdisjoint(words) or words[0] in _ABOUT:
+                continue
+            whole = all(w in _AROUND or w in _FILLERS for w in words)
+            if whole and key == "class" and not _APART.isdisjoint(words):
+                return SURE
+            best = max(best, WHOLE_NAME if whole else ONE_WORD)
+    return best
+
+
+def _judge(tag: str, text: str) -> tuple[bool, int]:
+    """Whether an element goes whatever it holds, and its sign."""
+    if tag in _DROPPED:
+        return True, 0
+    if tag in _CORE:
+        return False, 0
+    attrs = _attributes(text) if _TOLD.search(text) else {}
+    return _hidden(attrs), _sign(tag, attrs)
 
 
 def parse(html: str) -> Node:
@@ -109,6 +158,7 @@ def parse(html: str) -> Node:
     def close(tags, stops) -> None:
         for i in range(len(stack) - 1, 0, -1):
             if stack[i].tag in tags:
+                stack[i].closed = True
                 del stack[i:]
                 return
             if stack[i].tag in stops:
@@ -138,16 +188,67 @@ def parse(html: str) -> Node:
             close(*_P)
         if tag in _CLOSES:
             close(*_CLOSES[tag])
-        node = Node(tag, _around(tag, m[3]), stack[-1])
+        dropped, sign = _judge(tag, m[3])
+        node = Node(tag, dropped, stack[-1], sign)
         stack[-1].kids.append(node)
         if tag in _RAW:
             stop = _RAW[tag].search(html, at)
             at = stop.end() if stop else end
         elif tag not in _VOID:
             stack.append(node)
+    _drop_surroundings(root)
     return root
 
 
+def _drop_surroundings(root: Node) -> None:
+    """Drop what surrounds the article by its signs, but never what holds it.
+
+    Spared are elements around the article or main element of the most unlinked
+    text, and those of over half of the page's unlinked text, unless an article stands
+    outside and a whole name or sure sign of a closed element speaks against it.
+    Inside an article only forms and sure signs count. Blocks of links beside the
+    article in a spared element go.
+    """
+    order, todo = [], [(root, False, False, False)]
+    while todo:
+        node, linked, inside, within = todo.pop()
+        if inside and node.sign < FORM:
+            node.sign = 0
+        order.append((node, linked, within))
+        inner = inside or node.tag == "article"
+        todo.extend((k, linked or k.tag == "a", inner, within or node.sign > 0) for k in node.elements())
+    if not any(node.sign for node, _, _ in order):
+        return
+    for node, linked, _ in reversed(order):
+        node.plain = node.chars = 0
+        for kid in node.kids:
+            if isinstance(kid, str):
+                n = len("".join(kid.split()))
+                node.chars += n
+                node.plain += 0 if linked else n
+            elif not kid.dropped:
+                node.chars += kid.chars
+                node.plain += kid.plain
+    cores = [(node, within) for node, _, within in order if node.tag in ("article", "main") and node.plain]
+    free = [node for node, within in cores if not within]
+    core = max(free or [node for node, _ in cores], key=lambda n: n.plain, default=None)
+    holds, node = set(), core
+    while node is not None:
+        holds.add(id(node))
+        node = node.above
+    for node, _, _ in order:
+        if not node.sign:
+            continue
+        most = 2 * node.plain > root.plain and (not free or not node.closed or node.sign in (ONE_WORD, FORM))
+        if id(node) not in holds and not most:
+            node.dropped = True
+            continue
+        node.spared = True
+        for kid in node.elements() if id(node) in holds or node.sign == SURE else ():
+            if id(kid) not in holds and kid.chars and 2 * kid.plain <= kid.chars:
+                kid.dropped = True
+
+
 def _measure(root: Node) -> list[Node]:
     """Count characters, tags and links of every kept node, then its density;
     returns the kept nodes, each after the one above it."""
