@@ -286,6 +286,30 @@ def test_extract_keeps_what_holds_the_article(html, text):
     assert extract(html) == text
 
 
+TEASER = "<div class=box><p><a href=/a>One more story</a> today</p><p><a href=/b>Another one of these</a> soon</p></div>"
+
+
+@pytest.mark.parametrize(
+    "html,text",
+    [
+        # An article in two parts, the second shorter, and teasers in articles of their own.
+        (f"{A}<article><p>{P}</p></article><article>{TEASER}</article>", f"{A_TEXT} {P}".strip()),
+        (f"<main>{A}<article><p>{P}</p></article></main>", f"{A_TEXT} {P}".strip()),
+        # Dense blocks beside the article, teasers beside both.
+        (f"{TEASER}{A}<div><p>{P * 3}</p><p>{P * 3}</p></div>{TEASER}", f"{A_TEXT} {P * 6}".strip()),
+        ("<article>" + f"<p>{P}</p>" * 30 + f"</article><div><p>{P * 9}</p></div>{TEASER}", (P * 39).strip()),
+        # Teasers and notices in a page-wide main, with its own paragraphs or a block of them.
+        (f"<main><h1>T</h1><p>{P * 3}</p><p>{P * 3}</p><p>End.</p>{TEASER}<div>We like you</div></main>", f"T {P * 6}End."),
+        (f"<main><h1>T</h1><div><p>{P * 3}</p><p>{P * 3}</p></div>{TEASER}<div>We like you</div></main>", f"T {P * 6}".strip()),
+        (f"<main><h1>T</h1>{A}<ul><li>{P}</li></ul>{TEASER}</main>", f"T {A_TEXT} {P}".strip()),
+        # Sections alike stay, however many.
+        ("<main>" + f"<section><h2>S</h2><p>{P}</p></section>" * 200 + "</main>", (f"S {P}" * 200).strip()),
+    ],
+)
+def test_extract_threshold_beside_article_and_in_main(html, text):
+    assert extract(html) == text
+
+
 def test_extract_deep_and_broken_pages():
     assert extract("<div>" * 20000 + "deep") == "deep"
     for junk in ("<" * 5000, "<a " * 5000, "<a b='" * 5000, "</p>" * 5000, "<!--" * 5000, "&" * 5000):

@@ -63,8 +63,13 @@ _FILLERS = frozenset("area bar block bottom box buttons container content inner
 _ROLES = frozenset("navigation banner complementary contentinfo search menu menubar toolbar".split())
 #: A name that begins so tells of something else's surroundings.
 _ABOUT = frozenset("no has have with without not".split())
+#: Blocks of running text, and what stands in them.
+_TEXT_BLOCKS = _INLINE | frozenset("p h1 h2 h3 h4 h5 h6 hgroup pre blockquote figure figcaption address details hr".split())
+#: A block is a part of the text if it's so many times less dense than another at most.
+_PEERS = 4
 #: Blocks that may be lists of links.
-_LISTS = frozenset("ul ol dl div section table p".split())
+_LINK_LISTS = frozenset("ul ol dl div section table p".split())
+_LISTS = frozenset("ul ol dl table".split())
 #: An element of these is never dropped by such a word.
 _CORE = frozenset("html body main article".split())
 #: Opening one of these closes an open paragraph.
@@ -284,7 +289,7 @@ def _measure(root: Node) -> list[Node]:
 
 def _link_list(node: Node) -> bool:
     """A block of several links and next to nothing else."""
-    return node.tag in _LISTS and node.link_tags > 1 and node.link_chars * 5 >= node.chars * 4
+    return node.tag in _LINK_LISTS and node.link_tags > 1 and node.link_chars * 5 >= node.chars * 4
 
 
 def _texts(node: Node) -> Iterator[str]:
@@ -299,36 +304,59 @@ def _texts(node: Node) -> Iterator[str]:
             todo.extend([" "] * border + x.kids[::-1] + [" "] * border)
 
 
-def _joined(nodes: list[Node]) -> str:
+def _joined(nodes: list[Node | str]) -> str:
     return " ".join("".join(t for n in nodes for t in _texts(n)).split())
 
 
 def extract(html: str | None) -> str:
     """Main text of a page; empty for an empty or null page.
 
-    The node of the largest density sum counts whole, from the article or main
-    element that holds it, if one does. So does every other topmost element whose
-    density reaches the least on the path from the body to that node, provided it
-    holds running text (most of it outside links).
+    The node of the largest density sum counts whole, from the outermost article
+    that holds it, if one does. So does every other topmost element whose density
+    reaches the least on the path from the body to that node, provided it holds
+    running text (most of it outside links).
+
+    The tags article and main only lower that threshold: beside a chosen article,
+    others need a quarter of its density. Of the elements on the path that are or
+    lie in a main (the chosen one too if it's the main itself), text, paragraphs,
+    headings and lists of running text count as they are, and other blocks need a
+    quarter of the density of the densest beside them.
     """
     root = parse(html or "")
     best = max(_measure(root), key=lambda n: n.total)
     path = [best]
     while path[-1].above is not None:
         path.append(path[-1].above)
-    for node in reversed(path):
-        if node.tag in ("article", "main"):
-            return _joined([node])
     floor = min(n.density for n in path)
-    on_path = set(map(id, path))
-    marked, todo = [], [root]
+    chosen = next((n for n in reversed(path) if n.tag == "article"), best)
+    spine = path[path.index(chosen) + (chosen.tag != "main") :]
+    on_spine, in_main = set(map(id, spine)), False
+    wide = set()  # nodes of the spine that are a main or lie in one
+    for node in reversed(spine):
+        in_main = in_main or node.tag == "main"
+        if in_main:
+            wide.add(id(node))
+    marked: list[Node | str] = []
+    # What to look at next, the density it needs, and whether it lies in such a node.
+    todo: list[tuple[Node | str, float, bool]] = [(root, floor, False)]
     while todo:
-        node = todo.pop()
-        dense = id(node) not in on_path and node.density >= floor and 2 * node.link_chars < node.chars
-        if node is best or dense:
+        node, need, free = todo.pop()
+        if isinstance(node, str):
             marked.append(node)
-        else:
-            todo.extend(reversed(node.elements()))
+            continue
+        if id(node) in wide:
+            low = min(floor, max((k.density for k in node.elements()), default=0.0) / _PEERS)
+            todo.extend((k, low, True) for k in reversed(node.kids) if isinstance(k, str) or not k.dropped)
+            continue
+        if id(node) not in on_spine:
+            if node.tag == "article" and chosen.tag == "article":
+                need = min(need, chosen.density / _PEERS)
+            running = 2 * node.link_chars < node.chars
+            as_is = free and (node.tag in _TEXT_BLOCKS or node.tag in _LISTS and running)
+            if node is chosen or as_is or node.density >= need and running:
+                marked.append(node)
+                continue
+        todo.extend((k, floor, False) for k in reversed(node.elements()))
     return _joined(marked)
 
 
