@@ -310,6 +310,29 @@ def test_extract_threshold_beside_article_and_in_main(html, text):
     assert extract(html) == text
 
 
+LINKS = "<ul><li><a href=/1>First reference</a><li><a href=/2>Second reference</a></ul>"
+TERMS = "".join(f"<p><a href=/t{i}>term{i}</a> <a href=/u{i}>other{i}</a></p>" for i in range(9))
+TERMS_TEXT = " ".join(f"term{i} other{i}" for i in range(9))
+
+
+@pytest.mark.parametrize(
+    "html,text",
+    [
+        (f"<article><p>{P}</p>{LINKS}</article>", f"{P}First reference Second reference"),
+        (f"<article><p>{P}</p><table><tr><td><a href=/1>a</a><td><a href=/2>b</a></table></article>", f"{P}a b"),
+        (f"<article><p>{P}</p><p><a href=/1>one</a>, <a href=/2>two</a></p></article>", f"{P}one, two"),
+        (f"<article><h1>Terms</h1><div>{TERMS}</div></article>", f"Terms {TERMS_TEXT}"),
+        (f"<article><header><h1>T</h1></header><p>{P}</p><ul><li><a name=n>n</a><li><a id=i>i</a></ul></article>", f"T {P}n i"),
+        (f"<div class=post><p>{P}</p><p>{P}</p>{LINKS}</div>", f"{P}{P}First reference Second reference"),
+        # Beside the article and in navigation they aren't its text.
+        (f"{LINKS}<article><p>{P}</p><nav>{LINKS}</nav><p>{P}</p></article>", (P + P).strip()),
+        (f"<body>{LINKS}<p>{P}</p><p>{P}</p>{LINKS}</body>", (P + P).strip()),
+    ],
+)
+def test_extract_keeps_links_of_the_article(html, text):
+    assert extract(html) == text
+
+
 def test_extract_deep_and_broken_pages():
     assert extract("<div>" * 20000 + "deep") == "deep"
     for junk in ("<" * 5000, "<a " * 5000, "<a b='" * 5000, "</p>" * 5000, "<!--" * 5000, "&" * 5000):

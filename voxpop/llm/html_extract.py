@@ -68,7 +68,7 @@ _TEXT_BLOCKS = _INLINE | frozenset("p h1 h2 h3 h4 h5 h6 hgroup pre blockquote fi
 #: A block is a part of the text if it's so many times less dense than another at most.
 _PEERS = 4
 #: Blocks that may be lists of links.
-_LINK_LISTS = frozenset("ul ol dl div section table p".split())
+_LINK_LISTS = frozenset("ul ol dl div section table".split())
 _LISTS = frozenset("ul ol dl table".split())
 #: An element of these is never dropped by such a word.
 _CORE = frozenset("html body main article".split())
@@ -99,13 +99,13 @@ ONE_WORD, WHOLE_NAME, FORM, SURE = 1, 2, 3, 4
 
 class Node:
     __slots__ = (
-        "tag", "above", "kids", "dropped", "sign", "closed", "spared", "plain",
-        "chars", "tags", "link_chars", "link_tags", "density", "total",
+        "tag", "above", "kids", "dropped", "sign", "closed", "bare", "plain",
+        "chars", "tags", "link_chars", "link_tags", "bare_tags", "density", "total",
     )
 
     def __init__(self, tag: str, dropped: bool, above: Node | None = None, sign: int = 0):
         self.tag, self.dropped, self.above, self.kids = tag, dropped, above, []
-        self.sign, self.closed, self.spared = sign, False, False
+        self.sign, self.closed, self.bare = sign, False, False
 
     def elements(self) -> list[Node]:
         return [k for k in self.kids if isinstance(k, Node) and not k.dropped]
@@ -145,14 +145,15 @@ def _sign(tag: str, attrs: dict[str, str]) -> int:
     return best
 
 
-def _judge(tag: str, text: str) -> tuple[bool, int]:
-    """Whether an element goes whatever it holds, and its sign."""
+def _judge(tag: str, text: str) -> tuple[bool, int, bool]:
+    """Whether an element goes whatever it holds, its sign, and whether it's a link
+    that neither leads anywhere nor can be led to."""
     if tag in _DROPPED:
-        return True, 0
+        return True, 0, False
     if tag in _CORE:
-        return False, 0
-    attrs = _attributes(text) if _TOLD.search(text) else {}
-    return _hidden(attrs), _sign(tag, attrs)
+        return False, 0, False
+    attrs = _attributes(text) if tag == "a" or _TOLD.search(text) else {}
+    return _hidden(attrs), _sign(tag, attrs), tag == "a" and attrs.keys().isdisjoint(("href", "name", "id"))
 
 
 def parse(html: str) -> Node:
@@ -193,8 +194,9 @@ def parse(html: str) -> Node:
             close(*_P)
         if tag in _CLOSES:
             close(*_CLOSES[tag])
-        dropped, sign = _judge(tag, m[3])
+        dropped, sign, bare = _judge(tag, m[3])
         node = Node(tag, dropped, stack[-1], sign)
+        node.bare = bare
         stack[-1].kids.append(node)
         if tag in _RAW:
             stop = _RAW[tag].search(html, at)
@@ -211,13 +213,13 @@ def _drop_surroundings(root: Node) -> None:
     Spared are elements around the article or main element of the most unlinked
     text, and those of over half of the page's unlinked text, unless an article stands
     outside and a whole name or sure sign of a closed element speaks against it.
-    Inside an article only forms and sure signs count. Blocks of links beside the
+    Inside an article only forms and sure signs count, and its header stays. Blocks of links beside the
     article in a spared element go.
     """
     order, todo = [], [(root, False, False, False)]
     while todo:
         node, linked, inside, within = todo.pop()
-        if inside and node.sign < FORM:
+        if inside and (node.sign < FORM or node.tag == "header"):
             node.sign = 0
         order.append((node, linked, within))
         inner = inside or node.tag == "article"
@@ -248,7 +250,6 @@ def _drop_surroundings(root: Node) -> None:
         if id(node) not in holds and not most:
             node.dropped = True
             continue
-        node.spared = True
         for kid in node.elements() if id(node) in holds or node.sign == SURE else ():
             if id(kid) not in holds and kid.chars and 2 * kid.plain <= kid.chars:
                 kid.dropped = True
@@ -264,7 +265,7 @@ def _measure(root: Node) -> list[Node]:
         order.append((node, linked))
         todo.extend((k, linked) for k in node.elements())
     for node, linked in reversed(order):
-        chars = tags = link_chars = link_tags = 0
+        chars = tags = link_chars = link_tags = bare_tags = 0
         for kid in node.kids:
             if isinstance(kid, str):
                 chars += len("".join(kid.split()))
@@ -273,7 +274,8 @@ def _measure(root: Node) -> list[Node]:
                 tags += kid.tags + 1
                 link_chars += kid.link_chars
                 link_tags += kid.link_tags + (kid.tag == "a")
-        node.chars, node.tags, node.link_tags = chars, tags, link_tags
+                bare_tags += kid.bare_tags + kid.bare
+        node.chars, node.tags, node.link_tags, node.bare_tags = chars, tags, link_tags, bare_tags
         node.link_chars = chars if linked else link_chars
     share = root.link_chars / max(root.chars, 1)
     for node, _ in order:
@@ -287,21 +289,30 @@ def _measure(root: Node) -> list[Node]:
     return [node for node, _ in order]
 
 
+def _menu(node: Node) -> bool:
+    """A list of nothing but links that lead nowhere and aren't led to: controls."""
+    return node.tag in ("ul", "ol") and node.link_tags == node.bare_tags > 1 and node.link_chars == node.chars
+
+
 def _link_list(node: Node) -> bool:
     """A block of several links and next to nothing else."""
     return node.tag in _LINK_LISTS and node.link_tags > 1 and node.link_chars * 5 >= node.chars * 4
 
 
-def _texts(node: Node) -> Iterator[str]:
-    """A node's text in page order; block borders and line breaks become blanks."""
-    todo: list = [node]
+def _texts(node: Node | str) -> Iterator[str]:
+    """A node's text in page order; block borders and line breaks become blanks.
+    Of a whole page, link lists less dense than the page go, but none in an article."""
+    todo: list = [(node, isinstance(node, Node) and node.above is None)]
     while todo:
-        x = todo.pop()
+        x, wide = todo.pop()
         if isinstance(x, str):
             yield unescape(x) if "&" in x else x
-        elif not x.dropped and not (x is not node and _link_list(x)):
-            border = x.tag not in _INLINE
-            todo.extend([" "] * border + x.kids[::-1] + [" "] * border)
+            continue
+        if x.dropped or x is not node and (_menu(x) or wide and x.density < node.density and _link_list(x)):
+            continue
+        wide = wide and x.tag != "article"
+        border = x.tag not in _INLINE
+        todo.extend((k, wide) for k in [" "] * border + x.kids[::-1] + [" "] * border)
 
 
 def _joined(nodes: list[Node | str]) -> str:
