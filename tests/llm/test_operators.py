@@ -13,6 +13,7 @@ from voxpop.llm import quality as Q
 from voxpop.llm import sharding as SH
 from voxpop.llm.html_extract import extract, extract_pages
 from voxpop.llm.mix_sources import mix, mixed_corpus, source_targets
+from voxpop.llm.samples import labelled_sample
 from tests.conftest import SF_SMALL
 
 WORDS = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu xi omicron pi rho sigma tau upsilon".split()
@@ -387,6 +388,24 @@ def test_language_learns_and_handles_odd_rows(spark, odd_docs, with_clashes, no_
     assert {r["predicted"]["lang"] for r in LANG.identify(odd_docs, nothing).collect()} == {"und"}
 
 
+def test_sample_leaves_out_only_what_does_not_fit(make_docs):
+    docs = make_docs([(i, "x" * (2000 if i % 3 == 0 else 10)) for i in range(30)])
+    labelled = docs.select("doc_id", (F.col("doc_id") % 2).alias("label"))
+    got = labelled_sample(labelled, docs, 30, 1000)
+    assert sorted(got["doc_id"]) == [i for i in range(30) if i % 3]
+    assert len(labelled_sample(labelled, docs, 30, 10**6)) == 30
+    with pytest.raises(ValueError, match="no labelled document"):
+        labelled_sample(labelled, docs, 30, 5)
+
+
+def test_sample_has_rows_of_each_label(make_docs):
+    docs = make_docs([(i, f"text {i}") for i in range(2000)])
+    labelled = docs.select("doc_id", F.when(F.col("doc_id") < 1990, "common").otherwise("rare").alias("label"))
+    got = labelled_sample(labelled, docs, 100, 10**6)
+    assert got["label"].value_counts().to_dict() == {"common": 90, "rare": 10}
+    assert labelled_sample(labelled, docs.limit(0), 100, 10**6).empty
+
+
 def test_document_frequencies_count_every_text(make_docs):
     texts = ["abc", "abd", None, "", "é" * 5]
     total, having = LANG.document_frequencies(make_docs(list(enumerate(texts))).fillna("", ["text"]))

@@ -13,16 +13,33 @@ def id_remainder(id_col: Column, parts: int) -> Column:
     return F.coalesce(F.crc32(id_col.cast("string").cast("binary")) % parts, F.lit(-1)).cast("int")
 
 
+#: Rows of each label that come into the sample first.
+PER_LABEL = 20
+
+
 def labelled_sample(labelled: DataFrame, docs: DataFrame, rows: int, chars: int) -> pd.DataFrame:
     """Up to ``rows`` pairs (label, text) of ``labelled`` (doc_id, label) and
-    ``docs`` (doc_id, text), whole texts of at most ``chars`` characters together
-    (a text that would exceed them and all after it are left out). The order, and
-    so the sample, depends on the ids' hash alone."""
+    ``docs`` (doc_id, text), whole texts of at most ``chars`` characters together.
+
+    The first PER_LABEL rows of each label come before all others; among those the
+    ids' hash decides alone, as it does on the order. Where not all texts fit, the
+    longest are left out, and none of up to ``chars`` / ``rows`` characters is. Fails
+    where there are labelled documents but none of them fits.
+    """
+    known = labelled.where("doc_id is not null and label is not null").select("doc_id", "label")
     order = [F.xxhash64("doc_id"), F.col("doc_id"), F.col("label")]
-    few = labelled.where("doc_id is not null and label is not null").orderBy(*order).limit(rows)
+    # Spark limits the ranks before it deals rows out by label.
+    ranked = known.withColumn("rank", F.row_number().over(Window.partitionBy("label").orderBy(*order[:2])))
+    of_each = ranked.where(F.col("rank") <= PER_LABEL).select("doc_id", "label", F.lit(0).alias("turn"))
+    hashed = known.orderBy(*order).limit(rows).withColumn("turn", F.lit(1))
+    few = of_each.unionByName(hashed).groupBy("doc_id", "label").agg(F.min("turn").alias("turn")).orderBy("turn", *order).limit(rows)
     found = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(few), "doc_id")
     # At most ``rows`` documents meet here, unless ids repeat: again the first ones.
-    found = found.withColumn("key", F.xxhash64("doc_id")).orderBy("key", "doc_id", "text", "label").limit(rows)
-    running = Window.orderBy("key", "doc_id", "text", "label").rowsBetween(Window.unboundedPreceding, 0)
+    found = found.withColumn("key", F.xxhash64("doc_id")).orderBy("turn", "key", "doc_id", "text", "label").limit(rows)
+    by_length = Window.orderBy(F.greatest(F.length("text"), F.lit(chars // rows)), "turn", "key", "doc_id", "text", "label")
+    running = by_length.rowsBetween(Window.unboundedPreceding, 0)
     kept = found.withColumn("upto", F.sum(F.length("text")).over(running)).where(F.col("upto") <= chars)
-    return kept.select("doc_id", "label", "text").toPandas()
+    sample = kept.orderBy("key", "doc_id", "text", "label").select("doc_id", "label", "text").toPandas()
+    if sample.empty and known.join(docs.select("doc_id"), "doc_id", "left_semi").limit(1).count():
+        raise ValueError(f"no labelled document was sampled: none of those looked at has a text of at most {chars} characters")
+    return sample
