@@ -162,3 +162,11 @@ def test_near_dedup_by_hand(odd_docs, with_clashes, no_docs):
     kept = one_of_each_group(odd_docs).collect()
     assert len(kept) == len(set(group))
     assert sorted(r["doc_id"] for r in kept if r["doc_id"] is not None) == sorted({x for x in least.values() if x is not None})
+
+
+def test_one_of_each_group_with_repeated_and_null_ids(make_docs):
+    words = lambda p: " ".join(f"{p}{i}" for i in range(400))
+    near = words("n")
+    docs = make_docs([(1, words("a")), (1, words("b")), (None, near), (None, near + " tail"), (None, words("c")), (5, words("d")), (5, words("d"))])
+    kept = sorted((r["doc_id"] or 0, r["text"][0]) for r in one_of_each_group(docs).collect())
+    assert kept == [(0, "c"), (0, "n"), (1, "a"), (1, "b"), (5, "d")]

@@ -292,6 +292,11 @@ def near_dedup(
     for a component's id, which is null where all are. Other columns aren't read;
     an empty table gives an empty result.
     """
+    return _rooted(docs, id_col, text_col, shingle, max_bits).drop("root")
+
+
+def _rooted(docs: DataFrame, id_col: str, text_col: str, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
+    """The rows of ``near_dedup`` and ``root``, the fingerprint that names the component."""
     fps = save(with_fingerprints(docs, id_col, text_col, shingle), "op9-fps")
     nodes = save(fps.groupBy("fp").agg(F.min("doc_id").alias("first")), "op9-nodes")
     roots = components(near_links(nodes.select("fp"), max_bits))
@@ -299,19 +304,20 @@ def near_dedup(
         nodes.join(roots, "fp", "left").select("fp", "first", F.coalesce("root", "fp").alias("root")), "op9-rooted"
     )
     ids = save(rooted.groupBy("root").agg(F.min("first").alias("component_id")), "op9-ids")
-    named = save(rooted.join(ids, "root").select("fp", "component_id"), "op9-named")
-    return fps.join(named, "fp").select("doc_id", "key", "fp", "component_id")
+    named = save(rooted.join(ids, "root").select("fp", "root", "component_id"), "op9-named")
+    return fps.join(named, "fp").select("doc_id", "key", "fp", "component_id", "root")
 
 
 def one_of_each_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The rows of ``docs``, all columns, of which each component keeps one: that of
-    its smallest id; of rows that share that id, one. Components that have no id
-    at all keep one row a text."""
-    groups = near_dedup(docs, id_col, text_col, **options)
+    its smallest id, or of its smallest text key where it has no id at all; of rows
+    that share id and text, one."""
+    groups = _rooted(docs, id_col, text_col, **options)
     nobody = F.lit(-(2**63))
-    named = groups.where(F.col("doc_id") == F.col("component_id")).groupBy("doc_id").agg(F.min("key").alias("__key"))
-    nameless = groups.where("component_id is null").select(nobody.alias("__id"), F.col("key").alias("__key")).distinct()
-    stay = named.select(F.col("doc_id").alias("__id"), "__key").unionByName(nameless)
+    # Null ids last; one row a component, made map-side first.
+    first = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "key")
+    stay = groups.groupBy("root").agg(F.min(first).alias("first"))
+    stay = stay.select(F.coalesce("first.doc_id", nobody).alias("__id"), F.col("first.key").alias("__key"))
     rows = docs.withColumn("__id", F.coalesce(F.col(id_col).cast("long"), nobody)).withColumn("__key", text_key(F.col(text_col)))
     return rows.join(stay, ["__id", "__key"], "left_semi").dropDuplicates(["__id", "__key"]).select(*docs.columns)
 
