@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from voxpop.llm import (  # noqa: F401
+    collocations,
     exact_dedup,
     fingerprints,
     html_extract,
