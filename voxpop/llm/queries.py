@@ -14,6 +14,7 @@ from voxpop.llm import (  # noqa: F401
     quality,
     sharding,
     simhash,
+    token_alignment,
 )
 from voxpop.llm.registry import ORACLE, QUERIES, Query
 
