@@ -15,6 +15,7 @@ from voxpop.llm import (  # noqa: F401
     sharding,
     simhash,
     token_alignment,
+    vector_search,
 )
 from voxpop.llm.registry import ORACLE, QUERIES, Query
 
