@@ -10,6 +10,7 @@ document is joined with the counts of its own links.
 
 from __future__ import annotations
 
+import gc
 import hashlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -25,9 +26,14 @@ from voxpop.llm.registry import register
 
 #: Windows that a worker remembers; beyond, it forgets all and goes on.
 REMEMBERED = 200_000
+#: Windows of more links aren't remembered.
+LONG = 64
 #: Id pairs that are sent to every task; beyond, they're joined by a shuffle.
 PAIRS_SENT = 500_000
 
+#: Ids as decimal text.
+DIGITS = [str(i) for i in range(1 << 18)].__getitem__
+
 
 @lru_cache(maxsize=2)
 def byte_tokens(path: str):
@@ -45,7 +51,7 @@ def byte_tokens(path: str):
     tokens = [b""] * (max(ranks.values()) + 1)
     for token, i in ranks.items():
         tokens[i] = token
-    return encoding.encode_ordinary, tokens
+    return encoding, tokens
 
 
 @lru_cache(maxsize=2)
@@ -66,21 +72,26 @@ def piece_tokens(path: str):
     return (lambda texts: model.encode(texts, num_threads=1)), tokens
 
 
-def align_window(a: tuple[int, ...], b: tuple[int, ...], a_ends: list[int], b_ends: list[int]) -> tuple[str, int, list[int]]:
-    """Groups as text, their number, and the links (a << 32 | b) of one window: both
-    tuples of ids with their byte ends within the window."""
+def align_window(a: tuple[int, ...], b: tuple[int, ...], a_sizes: list[int], b_sizes: list[int]) -> tuple[str, int, list[int]]:
+    """Groups as text, their number, and the links (a << 32 | b) of one window: two
+    tuples of ids with the same bytes, of sizes by id."""
+    if len(a) == 1 or len(b) == 1:  # one token overlaps all of the other side
+        return f"{','.join(map(DIGITS, a))}|{','.join(map(DIGITS, b))}", 1, [x << 32 | y for x in a for y in b]
     groups, links = [], []
     i = j = i0 = j0 = 0
+    ahead = 0  # bytes by which the A tokens up to i are ahead of the B tokens before j
     while i < len(a):
-        links.append(a[i] << 32 | b[j])
-        if a_ends[i] == b_ends[j]:
-            i, j = i + 1, j + 1
-            groups.append(",".join(map(str, a[i0:i])) + "|" + ",".join(map(str, b[j0:j])))
-            i0, j0 = i, j
-        elif a_ends[i] < b_ends[j]:
-            i += 1
-        else:
+        ahead += a_sizes[a[i]]
+        while ahead > 0:
+            links.append(a[i] << 32 | b[j])
+            if b_sizes[b[j]] > ahead:  # this B token goes on under the next A token
+                break
+            ahead -= b_sizes[b[j]]
             j += 1
+        i += 1
+        if not ahead:
+            groups.append(f"{','.join(map(DIGITS, a[i0:i]))}|{','.join(map(DIGITS, b[j0:j]))}")
+            i0, j0 = i, j
     return ";".join(groups), len(groups), links
 
 
@@ -88,45 +99,52 @@ class Aligner:
     """Aligns whole texts; keeps the alignments of windows by their id tuples."""
 
     def __init__(self, a_path: str, b_path: str):
-        self.a_encode, self.a_tokens = byte_tokens(a_path)
+        self.a, self.a_tokens = byte_tokens(a_path)
         self.b_encode, self.b_tokens = piece_tokens(b_path)
-        self.a_sizes, self.b_sizes = (np.array([len(t) for t in tokens]) for tokens in (self.a_tokens, self.b_tokens))
+        self.a_sizes, self.b_sizes = ([len(t) for t in tokens] for tokens in (self.a_tokens, self.b_tokens))
         self.a_space, self.b_space = (np.array([t.startswith(b" ") for t in tokens]) for tokens in (self.a_tokens, self.b_tokens))
         self.known: dict[tuple[tuple[int, ...], tuple[int, ...]], tuple[str, int, list[int]]] = {}
 
-    def window(self, a: tuple[int, ...], b: tuple[int, ...]) -> tuple[str, int, list[int]]:
-        found = self.known.get((a, b))
-        if found is None:
-            if len(self.known) >= REMEMBERED:
-                self.known.clear()
-            found = align_window(a, b, self.a_sizes[list(a)].cumsum().tolist(), self.b_sizes[list(b)].cumsum().tolist())
-            if len(a) + len(b) <= 64:
-                self.known[a, b] = found
+    def windows(self, keys: list[tuple[tuple[int, ...], tuple[int, ...]]]) -> list[tuple[str, int, list[int]]]:
+        """Alignments of pairs of id tuples, new ones worked out and remembered."""
+        found = list(map(self.known.get, keys))
+        for at, one in enumerate(found):
+            if one is None:
+                found[at] = new = align_window(*keys[at], self.a_sizes, self.b_sizes)
+                if len(self.known) >= REMEMBERED:
+                    self.known.clear()
+                if len(new[2]) <= LONG:
+                    self.known[keys[at]] = new
         return found
 
     def align(self, texts: list[str]) -> Iterator[tuple]:
         """n_a, n_b, n_groups, n_links, groups_sha256, distinct links and how often
         each stands in the text."""
         nothing = (0, 0, 0, 0, "", [], [])
+        a_sizes, b_sizes = np.array(self.a_sizes), np.array(self.b_sizes)
+        b_token = self.b_tokens.__getitem__
         for text, b in zip(texts, self.b_encode(texts)):
             spaced = (" " + text).encode()
-            a = self.a_encode(" " + text)
-            if not text or b"".join([self.a_tokens[i] for i in a]) != spaced or b"".join([self.b_tokens[i] for i in b]) != spaced:
+            a, b = tuple(self.a.encode_ordinary(" " + text)), tuple(b)
+            if not text or b"".join(map(b_token, b)) != spaced or self.a.decode_bytes(a) != spaced:
                 yield nothing
                 continue
             a_ids, b_ids = np.array(a), np.array(b)
-            _, i, j = np.intersect1d(self.a_sizes[a_ids].cumsum(), self.b_sizes[b_ids].cumsum(), assume_unique=True, return_indices=True)
-            i, j = i[:-1] + 1, j[:-1] + 1  # the tokens after a shared end
+            ends_a, ends_b = a_sizes[a_ids].cumsum(), b_sizes[b_ids].cumsum()
+            # The tokens after a shared end: where both begin with a space is an anchor.
+            shared = np.zeros(len(spaced) + 1, bool)
+            shared[ends_b] = True
+            i = np.flatnonzero(shared[ends_a])[:-1]
+            j = np.searchsorted(ends_b, ends_a[i]) + 1
+            i += 1
             anchor = self.a_space[a_ids[i]] & self.b_space[b_ids[j]]
             i, j = i[anchor].tolist(), j[anchor].tolist()
-            found = [
-                self.window(tuple(a[i0:i1]), tuple(b[j0:j1]))
-                for i0, i1, j0, j1 in zip([0, *i], [*i, len(a)], [0, *j], [*j, len(b)])
-            ]
-            links = np.fromiter(chain.from_iterable(w[2] for w in found), np.int64)
+            keys = [(a[i0:i1], b[j0:j1]) for i0, i1, j0, j1 in zip([0, *i], [*i, len(a)], [0, *j], [*j, len(b)])]
+            groups, numbers, links = zip(*self.windows(keys))
+            links = np.fromiter(chain.from_iterable(links), np.int64)
             pairs, times = np.unique(links, return_counts=True)
-            groups = ";".join([w[0] for w in found])
-            yield len(a), len(b), sum(w[1] for w in found), len(links), hashlib.sha256(groups.encode()).hexdigest(), pairs, times
+            digest = hashlib.sha256(";".join(groups).encode()).hexdigest()
+            yield len(a), len(b), sum(numbers), len(links), digest, pairs, times
 
 
 def aligned(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", a_path: str | None = None, b_path: str | None = None) -> DataFrame:
@@ -137,12 +155,16 @@ def aligned(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", a_p
         import public_tokenizers as files
 
         aligner = Aligner(a_path or files.path("byte_bpe_50k.tiktoken"), b_path or files.path("piece_bpe_32k.model"))
-        for pdf in batches:
-            for at in range(0, len(pdf), 500):
-                part = pdf.iloc[at : at + 500]
-                rows = list(aligner.align(part["text"].tolist()))
-                out = pd.DataFrame(rows, columns=["n_a", "n_b", "n_groups", "n_links", "groups_sha256", "pairs", "times"])
-                yield out.assign(doc_id=part["doc_id"].to_numpy())[["doc_id", *out.columns]]
+        gc.disable()  # tuples of ids make no cycles, and looking for some takes a quarter of the time
+        try:
+            for pdf in batches:
+                for at in range(0, len(pdf), 500):
+                    part = pdf.iloc[at : at + 500]
+                    rows = list(aligner.align(part["text"].tolist()))
+                    out = pd.DataFrame(rows, columns=["n_a", "n_b", "n_groups", "n_links", "groups_sha256", "pairs", "times"])
+                    yield out.assign(doc_id=part["doc_id"].to_numpy())[["doc_id", *out.columns]]
+        finally:
+            gc.enable()
 
     # Ids go round the workers as text: pandas has no null in its long type.
     rows = docs.select(F.col(id_col).cast("long").cast("string").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
@@ -168,7 +190,7 @@ def align_tokenizers(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     Null and empty texts, and those that either tokeniser doesn't give back byte by
     byte, have no tokens: zeros, and '' for the digest. Each row is a document of its
     own, also with a null or repeated id. Long texts are aligned whole; only windows of
-    more than 64 ids aren't remembered. Other columns aren't read; an empty table gives
+    more than ``LONG`` links aren't remembered. Other columns aren't read; an empty table gives
     an empty result.
     """
     columns = ["doc_id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256"]
