@@ -6,24 +6,26 @@ Two forms of each:
   explode -> groupBy -> join. Sparse (doc, gram, value) rows, no vocabulary
   cap, checkable in SQL, and the shape to use when the vocabulary itself is
   large.
-* Spark ML form (``binary_vectorizer``, ``tfidf_vectors``): ``CountVectorizer`` /
-  ``IDF`` / ``Normalizer`` stages producing sparse vectors for the models.
-  The binary vectorizer's vocabulary has an explicit bound and a fit that
-  reaches it fails; TF-IDF vectors have no bound.
+* Spark ML form: ``tfidf_vectors`` and ``binary_vectors`` number the grams in a
+  distributed table and put sparse vectors together from it, whatever the size of
+  the vocabulary. ``binary_vectorizer`` is a ``CountVectorizerModel`` for a saved
+  pipeline; its vocabulary has an explicit bound and a fit that reaches it fails.
 """
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import IDF, CountVectorizer, CountVectorizerModel, ElementwiseProduct, Normalizer
-from pyspark.ml.linalg import DenseVector
-from pyspark.sql import DataFrame, SparkSession, Window
+from dataclasses import dataclass
+
+from pyspark.ml.feature import CountVectorizerModel
+from pyspark.ml.linalg import VectorUDT
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from voxpop.session import materialize
 
-# Grams that the binary vectorizer may keep, and a bound that no vocabulary meets.
-VOCAB_SIZE, UNBOUNDED = 1 << 18, 2**31 - 1
+# Grams that the binary vectorizer may keep.
+VOCAB_SIZE = 1 << 18
 # The feature settings of the reference models.
 MIN_DF = 5.0
 TFIDF_MAX_DF = 0.99
@@ -138,20 +140,82 @@ def _binary_model(grams: list[str], input_col: str, output_col: str) -> CountVec
     return model.setInputCol(input_col).setOutputCol(output_col)._set(binary=True, vocabSize=len(grams))
 
 
-def tfidf_vectors(df: DataFrame, input_col: str = "grams", output_col: str = "tfidf",
-                  min_df: float = MIN_DF, max_df: float = TFIDF_MAX_DF) -> tuple[PipelineModel, DataFrame]:
-    """M11 (ML form): counts -> IDF -> (idf + 1) rescale -> L2 norm, as a fitted
-    PipelineModel plus the transformed frame.
+def number_rows(df: DataFrame, order: list[Column], out: str, name: str) -> DataFrame:
+    """``df`` with the numbers 0, 1, ... in ``order``, without gaps and without a global
+    sort in one task: rows are dealt into ranges and written, numbered within their
+    range, and each range starts where those before it end (one row a range)."""
+    width = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = materialize(df.repartitionByRange(width, *order).withColumn("_range", F.spark_partition_id()), name)
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    firsts = dealt.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
+    firsts = firsts.select("_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_first"))
+    numbered = dealt.withColumn("_at", F.row_number().over(Window.partitionBy("_range").orderBy(*order)) - 1)
+    # At most ``width`` rows: a proven bound for the broadcast.
+    return numbered.join(F.broadcast(firsts), "_range").select(*df.columns, (F.col("_first") + F.col("_at")).cast("int").alias(out))
+
+
+def numbered_vocabulary(freq: DataFrame, name: str = "vocabulary") -> DataFrame:
+    """(gram, doc_freq, idx) of a ``vocabulary``: a written table with gap-free numbers,
+    commonest grams first and equal counts by gram. Nothing comes to the driver, so
+    it may be of any size."""
+    return materialize(number_rows(freq.select("gram", "doc_freq"), [F.desc("doc_freq"), F.col("gram")], "idx", f"{name}-ranges"), name)
+
+
+def sparse_vectors(rows: DataFrame, entries: DataFrame, size: int, output_col: str, name: str = "vectors") -> DataFrame:
+    """``rows`` with a sparse ML vector each, put together from ``entries`` (row, idx,
+    weight); without any, the vector is empty. Both have the key ``row``. The vectors
+    are written as the structure they're stored in and read again as vectors, so no
+    Python worker makes them."""
+    made = entries.groupBy("row").agg(F.sort_array(F.collect_list(F.struct("idx", "weight"))).alias("_e"))
+    listed = lambda field, kind: F.coalesce(F.transform("_e", lambda e: e[field]), F.array().cast(kind))
+    vector = F.struct(
+        F.lit(0).cast("tinyint").alias("type"), F.lit(size).alias("size"), listed("idx", "array<int>").alias("indices"), listed("weight", "array<double>").alias("values")
+    )
+    out = rows.join(made, "row", "left").select(*rows.columns, vector.alias(output_col))
+    schema = StructType([f if f.name != output_col else StructField(output_col, VectorUDT()) for f in out.schema.fields])
+    return materialize(out, name, schema=schema)
 
-    Spark's IDF is ``ln((n + 1) / (df + 1))``; the smoothed form adds 1, done
-    with an element-wise product by the (vocabulary-sized) vector idf + 1.
-    """
-    counts = CountVectorizer(inputCol=input_col, outputCol="_tf", minDF=min_df, maxDF=max_df, vocabSize=UNBOUNDED)
-    idf = IDF(inputCol="_tf", outputCol="_idf_unused", minDocFreq=0)
-    base = Pipeline(stages=[counts, idf]).fit(df)
-    idf_model = base.stages[1]
-    plus_one = DenseVector([v + 1.0 for v in idf_model.idf.toArray()])
-    scale = ElementwiseProduct(scalingVec=plus_one, inputCol="_tf", outputCol="_w")
-    norm = Normalizer(p=2.0, inputCol="_w", outputCol=output_col)
-    model = PipelineModel(stages=[base.stages[0], scale, norm])
-    return model, model.transform(df).drop("_tf", "_w")
+
+@dataclass(frozen=True)
+class TfidfSpace:
+    """The fitted TF-IDF features: a written table (gram, doc_freq, idx, idf) and its
+    number of grams."""
+
+    vocab: DataFrame
+    size: int
+
+    def entries(self, rows: DataFrame, grams_col: str = "grams") -> DataFrame:
+        """(row, idx, weight): the L2-normalised non-zeros of ``rows``, keyed by ``row``."""
+        counts = doc_gram_counts(rows, "row", grams_col).withColumnRenamed("id", "row")
+        raw = counts.join(self.vocab.select("gram", "idx", "idf"), "gram").select("row", "idx", (F.col("tf") * F.col("idf")).alias("w"))
+        norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy("row")))
+        return raw.select("row", "idx", (F.col("w") / norm).alias("weight"))
+
+
+def fit_tfidf(df: DataFrame, grams_col: str = "grams", min_df: float = MIN_DF, max_df: float | None = TFIDF_MAX_DF) -> TfidfSpace:
+    """Vocabulary and smoothed idf of ``df``, each row a document. The vocabulary is
+    numbered as a distributed table; only the numbers of rows and grams are counted."""
+    rows = df.select(F.monotonically_increasing_id().alias("id"), F.col(grams_col).alias("grams"))
+    n_docs = df.count()
+    numbered = numbered_vocabulary(vocabulary(rows, min_df=min_df, max_df=max_df), "tfidf-vocabulary")
+    idf = F.log(F.lit(1.0 + n_docs) / (F.lit(1.0) + F.col("doc_freq"))) + F.lit(1.0)
+    return TfidfSpace(numbered.withColumn("idf", idf), numbered.count())
+
+
+def tfidf_vectors(df: DataFrame, input_col: str = "grams", output_col: str = "tfidf",
+                  min_df: float = MIN_DF, max_df: float = TFIDF_MAX_DF) -> tuple[TfidfSpace, DataFrame]:
+    """M11 (ML form): the fitted space, and ``df`` with a sparse TF-IDF vector a row."""
+    space = fit_tfidf(df, input_col, min_df, max_df)
+    rows = materialize(df.withColumn("row", F.monotonically_increasing_id()), "tfidf-rows")
+    return space, sparse_vectors(rows, space.entries(rows, input_col), space.size, output_col, "tfidf-vectors").drop("row")
+
+
+def binary_vectors(df: DataFrame, input_col: str = "grams", output_col: str = "features", min_df: float = MIN_DF) -> tuple[DataFrame, DataFrame]:
+    """M1 without a bound on the vocabulary: the numbered vocabulary and ``df`` with a
+    sparse 0/1 vector a row. ``binary_vectorizer`` is the form whose vocabulary travels
+    with a saved model."""
+    rows = materialize(df.withColumn("row", F.monotonically_increasing_id()), "binary-rows")
+    numbered = numbered_vocabulary(vocabulary(rows, "row", input_col, min_df), "binary-vocabulary")
+    pairs = doc_gram_pairs(rows, "row", input_col).withColumnRenamed("id", "row").join(numbered.select("gram", "idx"), "gram")
+    entries = pairs.select("row", "idx", F.lit(1.0).alias("weight"))
+    return numbered, sparse_vectors(rows, entries, numbered.count(), output_col, "binary-vectors").drop("row")

@@ -9,12 +9,16 @@ joining the two results.
 
 from __future__ import annotations
 
-from pyspark.ml import PipelineModel
-from pyspark.ml.classification import LinearSVC, LogisticRegression
+import json
+import math
+from dataclasses import dataclass
+
+from pyspark.ml import Model, PipelineModel
+from pyspark.ml.classification import LinearSVC, LinearSVCModel, LogisticRegression
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-from pyspark.sql import DataFrame
+from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from voxpop.operators import features as FE
@@ -46,18 +50,27 @@ def logistic(threshold: float, label_col: str, prefix: str, features_col: str =
 
 
 def cross_validator(estimator, label_col: str, raw_col: str, folds: int = NUM_FOLDS, seed: int = 7,
-                    parallelism: int = 2) -> CrossValidator:
-    """M5/M6: grid over regParam, k folds, area under ROC."""
+                    parallelism: int = 2, fold_col: str | None = None) -> CrossValidator:
+    """M5/M6: grid over regParam, k folds, exact area under ROC. ``fold_col`` names a
+    column with the number of each row's fold; without it, folds are drawn by ``seed``.
+    The models of the folds are kept, so that their areas can be checked."""
     grid = ParamGridBuilder().addGrid(estimator.regParam, REG_PARAMS).build()
-    evaluator = BinaryClassificationEvaluator(rawPredictionCol=raw_col, labelCol=label_col)
-    return CrossValidator(
+    evaluator = BinaryClassificationEvaluator(rawPredictionCol=raw_col, labelCol=label_col, numBins=0)
+    cv = CrossValidator(
         estimator=estimator,
         estimatorParamMaps=grid,
         evaluator=evaluator,
         numFolds=folds,
         seed=seed,
         parallelism=parallelism,
+        collectSubModels=True,
     )
+    return cv.setFoldCol(fold_col) if fold_col else cv
+
+
+def fold_of(id_col: str, folds: int, seed: int) -> Column:
+    """P16 for folds: the fold of a row by a salted hash of its id, the same on every run."""
+    return F.pmod(F.xxhash64(F.lit(seed), F.col(id_col).cast("string")), F.lit(folds)).cast("int")
 
 
 def split_labelled(labelled: DataFrame, train_fraction: float = 0.5) -> tuple[DataFrame, DataFrame]:
@@ -78,7 +91,8 @@ def train_sentiment_models(labelled_grams: DataFrame, folds: int = NUM_FOLDS, se
     ``TRAIN_ROWS`` rows, in the order of the grams' rows, and persisted for the
     fits (every fold and L-BFGS iteration re-reads them). The two
     cross-validations are independent and run as concurrent Spark jobs. Their mean
-    areas under ROC, one a grid point, are the result's ``cv_metrics``.
+    areas under ROC, one a grid point, are the result's ``cv_metrics``, and the models
+    of the folds its ``cv_models``, by fold and grid point.
     """
     from concurrent.futures import ThreadPoolExecutor
 
@@ -89,7 +103,8 @@ def train_sentiment_models(labelled_grams: DataFrame, folds: int = NUM_FOLDS, se
         feats = vectorizer.transform(grams).select("id", "features", "positive", "negative", "row")
         train, _ = split_labelled(feats, train_fraction)
         parts = max(1, -(-train.count() // TRAIN_ROWS))
-        train = train.repartition(parts, "id").sortWithinPartitions("row").drop("row").persist()
+        train = train.repartition(parts, "id").sortWithinPartitions("row").drop("row")
+        train = train.withColumn("fold", fold_of("id", folds, seed)).persist()
         train.count()
     finally:
         grams.unpersist()
@@ -98,7 +113,7 @@ def train_sentiment_models(labelled_grams: DataFrame, folds: int = NUM_FOLDS, se
     def fit_one(prefix: str):
         label_col, threshold = specs[prefix]
         lr = logistic(threshold, label_col, prefix)
-        return cross_validator(lr, label_col, f"{prefix}_raw", folds, seed).fit(train)
+        return cross_validator(lr, label_col, f"{prefix}_raw", folds, seed, fold_col="fold").fit(train)
 
     try:
         with ThreadPoolExecutor(max_workers=len(which)) as pool:
@@ -107,9 +122,55 @@ def train_sentiment_models(labelled_grams: DataFrame, folds: int = NUM_FOLDS, se
         train.unpersist()
     model = PipelineModel(stages=[vectorizer, *[cv.bestModel for cv in fitted]])
     model.cv_metrics = {prefix: list(cv.avgMetrics) for prefix, cv in zip(which, fitted)}
+    model.cv_models = {prefix: cv.subModels for prefix, cv in zip(which, fitted)}
     return model
 
 
+def training_rows(labelled_grams: DataFrame, model: PipelineModel, folds: int = NUM_FOLDS, seed: int = 7) -> DataFrame:
+    """The rows that ``train_sentiment_models`` fits on: id, features, positive,
+    negative, fold."""
+    feats = model.stages[0].transform(labelled_grams.select("id", "grams", "positive", "negative"))
+    train, _ = split_labelled(feats.drop("grams"))
+    return train.withColumn("fold", fold_of("id", folds, seed))
+
+
+def loss_gradient(rows: DataFrame, label_col: str, coefficients: DataFrame, intercept: float, reg: float = REG_PARAMS[0]) -> DataFrame:
+    """M3/M4: the regularised ``loss`` at given weights and its gradient, one row:
+    ``steepest`` (the largest component's size) and ``at_intercept``.
+
+    ``rows`` has binary sparse ``features``, ``coefficients`` is (idx, weight). Spark ML
+    regularises the weights of features scaled to standard deviation 1, and so does
+    this gradient; a feature that all rows or none have takes no part. All sums run
+    over (row, feature) entries, so neither rows nor features have a bound.
+    """
+    from voxpop.session import materialize
+
+    stored = F.unwrap_udt("features")
+    numbered = rows.select(F.monotonically_increasing_id().alias("row"), F.col(label_col).cast("double").alias("y"), stored["indices"].alias("idx"))
+    numbered = materialize(numbered, "gradient-rows")
+    n = numbered.select(F.count(F.lit(1)).cast("double")).scalar()
+    entries = numbered.select("row", F.explode("idx").alias("idx"))
+    sums = entries.join(coefficients, "idx").groupBy("row").agg(F.sum("weight").alias("sum"))
+    margin = F.coalesce("sum", F.lit(0.0)) + F.lit(intercept)
+    error = F.lit(1.0) / (F.lit(1.0) + F.exp(-margin)) - F.col("y")
+    # log(1 + exp(margin)) - y margin, without overflow
+    loss = F.greatest(margin, F.lit(0.0)) + F.log1p(F.exp(-F.abs(margin))) - F.col("y") * margin
+    errors = materialize(numbered.join(sums, "row", "left").select("row", error.alias("error"), loss.alias("loss")), "gradient-errors")
+    each = entries.join(errors, "row").groupBy("idx").agg(F.sum("error").alias("error"), F.count(F.lit(1)).cast("double").alias("held"))
+    spread = F.sqrt(F.col("held") * (n - F.col("held")) / (n * (n - 1)))
+    each = each.join(coefficients, "idx").withColumn("spread", spread).where("spread > 0")
+    slope = F.col("error") / (n * F.col("spread")) + F.lit(reg) * F.col("weight") * F.col("spread")
+    penalty = F.lit(reg / 2) * F.sum(F.pow(F.col("weight") * F.col("spread"), 2))
+    by_feature = each.agg(F.max(F.abs(slope)).alias("steepest"), F.coalesce(penalty, F.lit(0.0)).alias("penalty"))
+    by_row = errors.agg(F.abs(F.avg("error")).alias("at_intercept"), F.avg("loss").alias("mean"))
+    return by_feature.crossJoin(by_row).select((F.col("mean") + F.col("penalty")).alias("loss"), "steepest", "at_intercept")  # one row each
+
+
+def coefficient_table(spark: SparkSession, model) -> DataFrame:
+    """(idx, weight) of a fitted linear model, whose vocabulary has a bound."""
+    return spark.createDataFrame([(i, float(w)) for i, w in enumerate(model.coefficients.toArray())], "idx int, weight double")
+
+
 def score(model: PipelineModel, df: DataFrame, keep_probability: bool = True) -> DataFrame:
     """M2 + M7: vectorise once, apply every regression; drops vectors, keeps
     ``pos``/``neg`` predictions and P(1) as plain doubles."""
@@ -123,18 +184,47 @@ def score(model: PipelineModel, df: DataFrame, keep_probability: bool = True) ->
     return out.drop(*drop)
 
 
-def save_models(model: PipelineModel, path: str) -> None:
-    """Vocabulary + models written with Spark ML persistence (overwrite)."""
+#: Folder beside a saved pipeline's stages that holds its cross-validated areas.
+METRICS = "cvMetrics"
+
+
+def save_models(model: PipelineModel | CrossValidatorModel, path: str) -> None:
+    """Write a pipeline with its vocabulary and models, or a whole cross-validator
+    with its estimator, evaluator and average metrics (overwrite). The average metrics
+    of a pipeline go into a folder of their own beside its stages."""
     model.write().overwrite().save(path)
+    metrics = [(prefix, float(m)) for prefix, listed in getattr(model, "cv_metrics", {}).items() for m in listed]
+    if metrics:
+        spark = SparkSession.getActiveSession()
+        spark.createDataFrame(metrics, "model string, area double").coalesce(1).write.mode("overwrite").json(f"{path.rstrip('/')}/{METRICS}")
 
 
-def load_models(path: str) -> PipelineModel:
-    """Load what ``save_models`` wrote."""
-    return PipelineModel.load(path)
+def load_models(path: str) -> Model:
+    """Load a model folder by the class that its metadata names: a pipeline, or the
+    best model of a cross-validator. ``cv_metrics`` holds the average metrics saved with
+    it, by model (a cross-validator has one, named after its prediction column)."""
+    spark = SparkSession.getActiveSession()
+    meta = json.loads(spark.read.text(f"{path.rstrip('/')}/metadata").first()["value"])
+    kind = meta["class"].rsplit(".", 1)[1]
+    if kind == "CrossValidatorModel":
+        found = CrossValidatorModel.load(path)
+        best = found.bestModel
+        best.cv_metrics = {best.getPredictionCol() if hasattr(best, "getPredictionCol") else "model": list(found.avgMetrics)}
+        return best
+    if kind != "PipelineModel":
+        raise ValueError(f"{path} holds a {meta['class']}, not a pipeline or a cross-validator")
+    model = PipelineModel.load(path)
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{METRICS}")
+    model.cv_metrics = {}
+    if folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
+        for r in spark.read.schema("model string, area double").json(folder.toString()).collect():  # a row a grid point
+            model.cv_metrics.setdefault(r["model"], []).append(r["area"])
+    return model
 
 
 def linear_svc(label_col: str, prefix: str, features_col: str = "features") -> LinearSVC:
-    """Linear SVM (no probabilities; ``<prefix>_raw`` holds the margins)."""
+    """Linear SVM; ``<prefix>_raw`` holds the margins (``calibrated_svc`` adds
+    probabilities)."""
     return LinearSVC(
         featuresCol=features_col,
         labelCol=label_col,
@@ -143,3 +233,87 @@ def linear_svc(label_col: str, prefix: str, features_col: str = "features") -> L
         predictionCol=prefix,
         rawPredictionCol=f"{prefix}_raw",
     )
+
+
+@dataclass(frozen=True)
+class Sigmoid:
+    """Platt scaling: P(1) = 1 / (1 + exp(slope * margin + shift))."""
+
+    slope: float
+    shift: float
+
+    def probability(self, margin: Column) -> Column:
+        return F.lit(1.0) / (F.lit(1.0) + F.exp(F.lit(self.slope) * margin + F.lit(self.shift)))
+
+
+def held_out_margins(rows: DataFrame, estimator: LinearSVC, label_col: str, folds: int = NUM_FOLDS) -> DataFrame:
+    """(margin, y, fold) of ``rows``, each scored by a model fitted on the other folds
+    (column ``fold``)."""
+    out = None
+    for fold in range(folds):
+        model = estimator.fit(rows.where(F.col("fold") != fold))
+        scored = model.transform(rows.where(F.col("fold") == fold))
+        part = scored.select(vector_to_array(estimator.getRawPredictionCol())[1].alias("margin"), F.col(label_col).cast("double").alias("y"), "fold")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def platt_scaling(margins: DataFrame, steps: int = 50) -> Sigmoid:
+    """The sigmoid that maximises the likelihood of the labels at given margins
+    (margin, y), by damped Newton steps.
+
+    As Platt has it, the labels are softened to (N1 + 1) / (N1 + 2) and 1 / (N0 + 2).
+    Each step is one aggregate of six sums over the margins; two numbers change.
+    """
+    counts = margins.agg(F.sum("y").alias("ones"), F.count(F.lit(1)).alias("n"), F.count(F.when(F.col("y") == 1, 1)).alias("k")).first()
+    ones, zeros = counts["k"], counts["n"] - counts["k"]
+    target = F.when(F.col("y") == 1, (ones + 1.0) / (ones + 2.0)).otherwise(1.0 / (zeros + 2.0))
+    known = margins.select("margin", target.alias("t"))
+
+    def sums(a: float, b: float):
+        z = F.lit(a) * F.col("margin") + F.lit(b)
+        # log(1 + exp(z)), without overflow
+        soft = F.greatest(z, F.lit(0.0)) + F.log1p(F.exp(-F.abs(z)))
+        p = F.lit(1.0) / (F.lit(1.0) + F.exp(z))
+        gap, weight = F.col("t") - p, p * (F.lit(1.0) - p)
+        m = F.col("margin")
+        return known.agg(
+            F.sum(soft - (F.lit(1.0) - F.col("t")) * z).alias("loss"), F.sum(gap * m).alias("ga"), F.sum(gap).alias("gb"),
+            F.sum(weight * m * m).alias("aa"), F.sum(weight * m).alias("ab"), F.sum(weight).alias("bb"),
+        ).first()
+
+    a, b = 0.0, math.log((zeros + 1.0) / (ones + 1.0))
+    now = sums(a, b)
+    for _ in range(steps):
+        if max(abs(now["ga"]), abs(now["gb"])) <= 1e-9 * counts["n"]:
+            break
+        aa, bb = now["aa"] + 1e-12, now["bb"] + 1e-12
+        det = aa * bb - now["ab"] ** 2
+        da, db = -(bb * now["ga"] - now["ab"] * now["gb"]) / det, -(aa * now["gb"] - now["ab"] * now["ga"]) / det
+        slope, size = now["ga"] * da + now["gb"] * db, 1.0
+        while size >= 1e-10:
+            new = sums(a + size * da, b + size * db)
+            # So near the optimum, a whole step is right and the loss is rounding.
+            if -slope <= 1e-6 * counts["n"] or new["loss"] <= now["loss"] + 1e-4 * size * slope:
+                break
+            size /= 2
+        else:
+            break
+        a, b, now = a + size * da, b + size * db, new
+    return Sigmoid(a, b)
+
+
+def calibrated_svc(rows: DataFrame, label_col: str, prefix: str, folds: int = NUM_FOLDS) -> tuple[LinearSVCModel, Sigmoid]:
+    """M14 with probabilities: the margin classifier fitted on all of ``rows`` (features,
+    label, fold), and the sigmoid fitted on margins of held-out folds."""
+    from voxpop.session import materialize
+
+    estimator = linear_svc(label_col, prefix)
+    margins = materialize(held_out_margins(rows, estimator, label_col, folds), "svc-margins")
+    return estimator.fit(rows), platt_scaling(margins)
+
+
+def with_probability(scored: DataFrame, prefix: str, sigmoid: Sigmoid) -> DataFrame:
+    """``<prefix>_margin`` and ``<prefix>_p1`` beside the margin classifier's output."""
+    margin = vector_to_array(f"{prefix}_raw")[1]
+    return scored.withColumn(f"{prefix}_margin", margin).withColumn(f"{prefix}_p1", sigmoid.probability(F.col(f"{prefix}_margin")))

@@ -7,11 +7,13 @@ restate; ``*_invariants`` queries hold what must be true of it against counts.
 
 from __future__ import annotations
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from voxpop.operators import aggregates as G
 from voxpop.operators import evaluate as E
+from voxpop.operators import factorize as FA
 from voxpop.operators import features as FE
 from voxpop.operators import filters as P
 from voxpop.operators import models as M
@@ -19,7 +21,7 @@ from voxpop.plans import score, train
 from voxpop.plans.registry import ORACLE, SQL_LABELLED, labelled_targets, register
 from voxpop.plans.relational_queries import SQL_COMMENTS_RAW, SQL_IN_SAMPLE, SQL_LABEL_JOIN, SQL_SPLIT
 from voxpop.plans.text_queries import SQL_BI, SQL_TRI, SQL_UNI, sql_words
-from voxpop.session import cut_lineage
+from voxpop.session import materialize
 
 SQL_LABELLED_GRAMS = f"""
     SELECT id, list_concat(list_concat({SQL_UNI}, {SQL_BI}), {SQL_TRI}) AS g
@@ -292,56 +294,94 @@ def tfidf_vectors_nnz(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("id", F.size("v").alias("nnz"), F.round(F.sqrt(squares), 9).alias("norm"))
 
 
+@register(
+    "binary_vectors_nnz",
+    f"""
+    SELECT j.id, CAST(count(b.gram) AS INTEGER) AS nnz FROM ({SQL_LABEL_JOIN}) j
+    LEFT JOIN ({ORACLE['binary_features']}) b ON b.id = j.id GROUP BY j.id""",
+)
+def binary_vectors_nnz(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M1 with a vocabulary of any size: non-zeros per labelled document."""
+    _, out = FE.binary_vectors(train.labelled_grams(spark, sf_dir))
+    return out.select("id", F.size(F.unwrap_udt("features")["indices"]).alias("nnz"))
+
+
+@register(
+    "vocabulary_numbers",
+    f"SELECT gram, doc_freq, CAST(row_number() OVER (ORDER BY doc_freq DESC, gram) - 1 AS INTEGER) AS idx FROM ({SQL_VOCAB}) v",
+)
+def vocabulary_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gap-free gram numbers from a distributed table."""
+    return FE.numbered_vocabulary(FE.vocabulary(train.labelled_grams(spark, sf_dir), min_df=FE.MIN_DF))
+
+
+def svc_rows(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Training and test half with sparse binary features and folds."""
+    _, feats = FE.binary_vectors(train.labelled_grams(spark, sf_dir))
+    fit_half, test = M.split_labelled(feats.drop("grams").withColumn("fold", M.fold_of("id", M.NUM_FOLDS, 7)))
+    return fit_half, test
+
+
 @register("linear_svc_scores")
 def linear_svc_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Linear SVM on the binary features, held-out margins."""
-    grams = train.labelled_grams(spark, sf_dir)
-    feats = FE.binary_vectorizer(grams).transform(grams)
-    tr, te = M.split_labelled(feats)
-    model = M.linear_svc("positive", "svc").fit(tr)
-    out = model.transform(te)
-    from pyspark.ml.functions import vector_to_array
+    """Linear SVM on the binary features; margins of the test half and their
+    probabilities by a sigmoid fitted on held-out folds."""
+    fit_half, test = svc_rows(spark, sf_dir)
+    model, sigmoid = M.calibrated_svc(fit_half, "positive", "svc")
+    out = M.with_probability(model.transform(test), "svc", sigmoid)
+    return out.select("id", F.col("positive").alias("label"), "svc", F.col("svc_margin").alias("margin"), F.col("svc_p1").alias("probability"))
+
+
+LSI_RANK = 10
+# A little shrinkage, as the default of the reference's library has: 1 / rows at C = 1
+# would follow the table's size, so a fixed small value stands for it.
+LSI_REG = 0.001
+
+
+def lsi_fit(spark: SparkSession, sf_dir: str, k: int = LSI_RANK) -> tuple[DataFrame, DataFrame, FA.Factors]:
+    """All labelled rows (row, id, split, positive), their TF-IDF entries, and the rank-k
+    factors of the training half's matrix. Vocabulary and idf are of the training half."""
+    grams = P.hash_split(train.labelled_grams(spark, sf_dir), "id", 0.5)
+    rows = materialize(grams.withColumn("row", F.monotonically_increasing_id()), "lsi-rows")
+    space = FE.fit_tfidf(rows.where("split = 'train'"))
+    entries = materialize(space.entries(rows), "lsi-entries")
+    fitted_on = entries.join(rows.where("split = 'train'").select("row"), "row")
+    return rows.drop("grams"), entries, FA.truncated_svd(fitted_on, space.vocab.select("idx"), k)
+
+
+def lsi_coordinates(rows: DataFrame, entries: DataFrame, factors: FA.Factors) -> DataFrame:
+    """``rows`` with their coordinates as the vector ``lsi``; rows without any known
+    gram are at the origin."""
+    from pyspark.ml.functions import array_to_vector
 
-    return out.select("id", F.col("positive").alias("label"), "svc", vector_to_array("svc_raw")[1].alias("margin"))
+    placed = rows.join(factors.project(entries), "row", "left")
+    origin = F.array_repeat(F.lit(0.0), len(factors.values))
+    return placed.withColumn("at", F.coalesce("at", origin)).withColumn("lsi", array_to_vector("at"))
 
 
 @register("lsi_projection")
-def lsi_projection(spark: SparkSession, sf_dir: str, k: int = 10) -> DataFrame:
+def lsi_projection(spark: SparkSession, sf_dir: str, k: int = LSI_RANK) -> DataFrame:
     """Rank-k LSI (truncated SVD) of the training half's TF-IDF matrix, then a
-    logistic regression on the coordinates (M12); the test half is predicted.
+    logistic regression on the coordinates (M12); the test half is predicted."""
+    vectors = materialize(lsi_coordinates(*lsi_fit(spark, sf_dir, k)).drop("lsi"), "lsi-vectors")
+    scored = lsi_predictions(vectors)
+    return scored.select("id", F.col("positive").alias("label"), "prediction", vector_to_array("p")[1].alias("probability"))
+
 
-    Coordinates are sums of weight times the gram's row of V, over (row, gram)
-    entries joined to V, which has one row a gram.
-    """
+def lsi_regression(vectors: DataFrame):
+    """M12 on the training half's coordinates (array ``at``), to convergence."""
     from pyspark.ml.classification import LogisticRegression
-    from pyspark.ml.feature import VectorAssembler
-    from pyspark.ml.functions import vector_to_array
-    from pyspark.mllib.linalg.distributed import IndexedRowMatrix
-    from pyspark.mllib.util import MLUtils
-
-    grams = train.labelled_grams(spark, sf_dir)
-    fit_half, _ = M.split_labelled(grams)
-    tfidf_model, _ = FE.tfidf_vectors(fit_half)
-    # Row numbers are fixed by the checkpoint.
-    numbered = P.hash_split(grams, "id", 0.5).withColumn("row", F.monotonically_increasing_id())
-    rows = cut_lineage(tfidf_model.transform(numbered).select("row", "id", "split", "positive", "tfidf"))
-    fitted_on = MLUtils.convertVectorColumnsFromML(rows.filter("split = 'train'").select(F.col("row").alias("index"), F.col("tfidf").alias("vector")), "vector")
-    matrix = IndexedRowMatrix(fitted_on)
-    if k >= matrix.numCols():
-        raise ValueError(f"rank {k} needs more than {matrix.numCols()} grams")
-    v = matrix.computeSVD(k, computeU=False).V.toArray()
-    basis = spark.createDataFrame([(i, [float(x) for x in row]) for i, row in enumerate(v)], "gram int, axes array<double>")
-    stored = F.unwrap_udt("tfidf")
-    entries = rows.select("row", F.explode(F.arrays_zip(stored["indices"].alias("gram"), stored["values"].alias("w"))).alias("e"))
-    axes = entries.select("row", "e.gram", "e.w").join(basis, "gram")
-    sums = axes.groupBy("row").agg(*[F.sum(F.col("w") * F.col("axes")[i]).alias(f"x{i}") for i in range(k)])
-    names = [f"x{i}" for i in range(k)]
-    placed = rows.drop("tfidf").join(sums, "row", "left").fillna(0.0, names)
-    vectors = VectorAssembler(inputCols=names, outputCol="lsi").transform(placed)
-    lr = LogisticRegression(featuresCol="lsi", labelCol="positive", maxIter=M.MAX_ITER,
+    from pyspark.ml.functions import array_to_vector
+
+    lr = LogisticRegression(featuresCol="lsi", labelCol="positive", maxIter=200, tol=1e-12, regParam=LSI_REG, standardization=False,
                             probabilityCol="p", rawPredictionCol="raw", predictionCol="prediction")
-    scored = lr.fit(vectors.filter("split = 'train'")).transform(vectors.filter("split = 'test'"))
-    return scored.select("id", F.col("positive").alias("label"), "prediction", vector_to_array("p")[1].alias("probability"))
+    return lr.fit(vectors.where("split = 'train'").withColumn("lsi", array_to_vector("at")))
+
+
+def lsi_predictions(vectors: DataFrame) -> DataFrame:
+    from pyspark.ml.functions import array_to_vector
+
+    return lsi_regression(vectors).transform(vectors.where("split = 'test'").withColumn("lsi", array_to_vector("at")))
 
 
 # ---------------------------------------------------------------------------
@@ -421,27 +461,125 @@ def auc_invariants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parts[0].unionByName(parts[1])
 
 
-@register("cv_invariants", "SELECT unnest(['neg', 'pos']) AS model, CAST(1 AS BIGINT) AS n_points, true AS within")
-def cv_invariants(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """M5/M6: one mean area under ROC a grid point, in [0, 1]."""
-    metrics = train.fitted_models(spark, sf_dir).cv_metrics
-    rows = labelled_targets(spark, sf_dir).agg(F.count(F.lit(1)).alias("n"))
-    listed = rows.select(F.explode(F.array(*[F.struct(F.lit(p).alias("model"), F.array(*map(F.lit, m)).alias("m")) for p, m in sorted(metrics.items())])).alias("x"))
-    return listed.select("x.model", F.size("x.m").cast("bigint").alias("n_points"), F.forall("x.m", lambda v: v.between(0, 1)).alias("within"))
+@register("loss_certificate", "SELECT unnest(['neg', 'pos']) AS model, true AS same, true AS lower, true AS flatter")
+def loss_certificate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M3/M4: the regularised loss at the fitted weights, summed anew over (row, gram)
+    entries, is what the fit ended at, and both it and its slope are below those of the
+    model without weights. The fits stop after ``MAX_ITER`` steps, short of the optimum,
+    so a disturbed weight changes the loss in the first order."""
+    return certified(spark, train.fitted_models(spark, sf_dir), train.labelled_grams(spark, sf_dir))
+
+
+def certified(spark: SparkSession, model, grams: DataFrame, disturbed: float = 0.0) -> DataFrame:
+    """(model, same, lower, flatter) of both regressions on their training rows;
+    ``disturbed`` is added to the largest weight (tests)."""
+    rows = materialize(M.training_rows(grams, model).drop("id"), "certificate-rows")
+    parts = []
+    for prefix, label, stage in (("neg", "negative", model.stages[2]), ("pos", "positive", model.stages[1])):
+        weights = M.coefficient_table(spark, stage)
+        if disturbed:
+            largest = int(abs(stage.coefficients.toArray()).argmax())
+            weights = weights.withColumn("weight", F.col("weight") + F.when(F.col("idx") == largest, disturbed).otherwise(0.0))
+        here = M.loss_gradient(rows, label, weights, float(stage.intercept))
+        none = M.loss_gradient(rows, label, weights.withColumn("weight", F.lit(0.0)), 0.0).select(F.col("loss").alias("loss0"), F.col("steepest").alias("steepest0"))
+        ended = float(stage.summary.objectiveHistory[-1])
+        parts.append(here.crossJoin(none).select(  # one row each
+            F.lit(prefix).alias("model"), (F.abs(F.col("loss") - ended) < 1e-9).alias("same"),
+            (F.col("loss") < F.col("loss0")).alias("lower"), (F.col("steepest") < F.col("steepest0")).alias("flatter"),
+        ))
+    return parts[0].unionByName(parts[1])
+
+
+@register("fold_certificate", f"SELECT unnest(['neg', 'pos']) AS model, CAST({M.NUM_FOLDS} AS BIGINT) AS n_folds, true AS same")
+def fold_certificate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M5/M6: the cross-validated area is the mean over the folds of the rank statistic,
+    worked out anew for each fold's rows with the model that has not seen them."""
+    model = train.fitted_models(spark, sf_dir)
+    rows = materialize(M.training_rows(train.labelled_grams(spark, sf_dir), model), "fold-rows")
+    parts = []
+    for prefix, label in (("neg", "negative"), ("pos", "positive")):
+        areas = None
+        for fold, by_grid in enumerate(model.cv_models[prefix]):
+            held = by_grid[0].transform(rows.where(F.col("fold") == fold))
+            raw = held.select(vector_to_array(f"{prefix}_raw")[1].alias("margin"), F.col(label).alias("label"))
+            # Of a fold with one class only, Spark ML's curve has area 1 (no 0) or 0 (no 1).
+            one_class = raw.agg(F.when(F.min("label") == 1, 1.0).otherwise(0.0).alias("a")).scalar()
+            one = E.auc_rank(raw, "margin", "label").select(F.coalesce("auc", one_class).alias("auc"))
+            areas = one if areas is None else areas.unionByName(one)
+        mean = model.cv_metrics[prefix][0]
+        same = F.abs(F.avg("auc") - F.lit(mean)) < 1e-9
+        parts.append(areas.agg(F.lit(prefix).alias("model"), F.count(F.lit(1)).alias("n_folds"), same.alias("same")))
+    return parts[0].unionByName(parts[1])
+
+
+@register("lsi_certificate", f"SELECT unnest(range({LSI_RANK})) AS axis, true AS eigen, true AS unit, true AS ordered")
+def lsi_certificate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each axis v of the training half's matrix A is a unit vector with A^T A v =
+    s^2 v, in falling order of s; checked by two products over the entries."""
+    rows, entries, factors = lsi_fit(spark, sf_dir)
+    return lsi_checked(entries.join(rows.where("split = 'train'").select("row"), "row"), factors)
 
 
-@register("lsi_invariants", f"SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS n_wrong FROM ({SQL_TEST_HALF}) h")
-def lsi_invariants(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """M12 + M13: every held-out row is predicted, by its probability."""
-    p = lsi_projection(spark, sf_dir)
-    wrong = (F.col("prediction") == 1.0) != (F.col("probability") > 0.5)
-    return p.agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(F.coalesce(wrong, F.lit(True))).alias("n_wrong"))
+def lsi_checked(entries: DataFrame, factors: FA.Factors) -> DataFrame:
+    k = len(factors.values)
+    by_row = FA.summed(entries.join(factors.axes, "idx"), "row", F.col("axes"), k, "y")
+    again = FA.summed(entries.join(by_row, "row"), "idx", F.col("y"), k, "z")
+    both = factors.axes.join(again, "idx", "left").withColumn("z", F.coalesce("z", F.array_repeat(F.lit(0.0), k)))
+    checks = []
+    for i, value in enumerate(factors.values):
+        miss = F.sqrt(F.sum(F.pow(F.col("z")[i] - F.lit(value**2) * F.col("axes")[i], 2)))
+        length = F.sum(F.col("axes")[i] * F.col("axes")[i])
+        ordered = i == 0 or value <= factors.values[i - 1]
+        checks.append(F.struct(F.lit(i).cast("bigint").alias("axis"), (miss < 1e-7 * factors.values[0] ** 2).alias("eigen"), (F.abs(length - 1) < 1e-9).alias("unit"), F.lit(ordered).alias("ordered")))
+    return both.agg(F.array(*checks).alias("c")).select(F.explode("c").alias("c")).select("c.*")
 
 
-@register("svc_invariants", f"SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS n_wrong FROM ({SQL_TEST_HALF}) h")
-def svc_invariants(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every held-out row has the class of its margin's sign."""
-    wrong = (F.col("svc") == 1.0) != (F.col("margin") > 0)
-    return linear_svc_scores(spark, sf_dir).agg(
-        F.count(F.lit(1)).alias("n_rows"), F.count_if(F.coalesce(wrong, F.lit(True))).alias("n_wrong")
+@register("lsi_regression_certificate", f"SELECT count(*) AS n_rows, true AS stationary, CAST(0 AS BIGINT) AS n_wrong FROM ({SQL_TEST_HALF}) h")
+def lsi_regression_certificate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The regression on the coordinates has no slope at its weights, and every test
+    row's prediction follows from them."""
+    vectors = materialize(lsi_coordinates(*lsi_fit(spark, sf_dir)).drop("lsi"), "lsi-vectors")
+    model = lsi_regression(vectors)
+    return lsi_regression_checked(vectors, model.coefficients.toArray().tolist(), model.intercept, model)
+
+
+def lsi_regression_checked(vectors: DataFrame, weights: list[float], intercept: float, model) -> DataFrame:
+    from pyspark.ml.functions import array_to_vector
+
+    z = sum((F.col("at")[i] * F.lit(float(w)) for i, w in enumerate(weights)), F.lit(float(intercept)))
+    p = F.lit(1.0) / (F.lit(1.0) + F.exp(-z))
+    fitted = vectors.where("split = 'train'").withColumn("e", p - F.col("positive"))
+    slopes = [F.abs(F.avg(F.col("e") * F.col("at")[i]) + F.lit(LSI_REG * float(w))) for i, w in enumerate(weights)]
+    flat = fitted.agg((F.greatest(F.abs(F.avg("e")), *slopes) < 1e-6).alias("stationary"))
+    test = model.transform(vectors.where("split = 'test'").withColumn("lsi", array_to_vector("at")))
+    wrong = (F.col("prediction") == 1.0) != (p > 0.5)
+    counted = test.agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(F.coalesce(wrong, F.lit(True))).alias("n_wrong"))
+    return counted.crossJoin(flat).select("n_rows", "stationary", "n_wrong")
+
+
+@register("svc_certificate", "SELECT true AS stationary, true AS falling, true AS better, CAST(0 AS BIGINT) AS n_wrong")
+def svc_certificate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sigmoid is the most likely one for the held-out margins (no slope), its
+    probability rises with the margin, it beats the uncalibrated probability of the
+    margin, and every class is the margin's sign."""
+    fit_half, test = svc_rows(spark, sf_dir)
+    margins = materialize(M.held_out_margins(fit_half, M.linear_svc("positive", "svc"), "positive"), "svc-margins")
+    sigmoid = M.platt_scaling(margins)
+    scored = M.linear_svc("positive", "svc").fit(fit_half).transform(test)
+    return svc_checked(margins, sigmoid, M.with_probability(scored, "svc", sigmoid))
+
+
+def svc_checked(margins: DataFrame, sigmoid: M.Sigmoid, scored: DataFrame) -> DataFrame:
+    counts = margins.agg(F.count_if(F.col("y") == 1).alias("k"), F.count_if(F.col("y") == 0).alias("m"))
+    known = margins.crossJoin(counts)  # one row: a third column of every margin
+    target = F.when(F.col("y") == 1, (F.col("k") + 1) / (F.col("k") + 2)).otherwise(F.lit(1.0) / (F.col("m") + 2))
+    p, plain = sigmoid.probability(F.col("margin")), M.Sigmoid(-1.0, 0.0).probability(F.col("margin"))
+    gap = target - p
+    loss = lambda q: -F.avg(F.col("y") * F.log(q) + (F.lit(1.0) - F.col("y")) * F.log(F.lit(1.0) - q))
+    fit = known.agg(
+        (F.greatest(F.abs(F.avg(gap)), F.abs(F.avg(gap * F.col("margin")))) < 1e-6).alias("stationary"),
+        F.lit(sigmoid.slope < 0).alias("falling"),
+        (loss(p) < loss(plain)).alias("better"),
     )
+    wrong = (F.col("svc") == 1.0) != (F.col("svc_margin") > 0)
+    return fit.crossJoin(scored.agg(F.count_if(F.coalesce(wrong | (F.col("svc_p1") != sigmoid.probability(F.col("svc_margin"))), F.lit(True))).alias("n_wrong")))

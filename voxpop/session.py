@@ -10,6 +10,7 @@ import os
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 # Shuffle sizing: on a cluster AQE coalesces small partitions, so the static
 # value is an upper bound that must be large enough for the biggest stage
@@ -129,16 +130,17 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def materialize(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
+def materialize(df: DataFrame, name: str, partition_by: tuple[str, ...] = (), schema: StructType | None = None) -> DataFrame:
     """Write ``df`` as Parquet into a fresh folder of the reliable checkpoint
     directory and return the re-read table: lineage is cut, and later readers
-    get column pruning, filter pushdown and, by ``partition_by``, partition pruning."""
+    get column pruning, filter pushdown and, by ``partition_by``, partition pruning.
+    ``schema`` names types that are stored as plain structures."""
     import uuid
 
     base = ensure_checkpoint_dir(df.sparkSession).rstrip("/")
     path = f"{base}/{name}-{uuid.uuid4().hex}"
     df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(schema or df.schema).parquet(path)
 
 
 def remove_scratch(spark: SparkSession, name: str) -> None:
