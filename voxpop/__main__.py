@@ -63,7 +63,7 @@ def main(argv: list[str] | None = None) -> None:
     if args.cmd == "clean":
         from voxpop.sources import readers
 
-        readers.clean_json_file(spark, args.file).write.mode("overwrite").json(args.out)
+        readers.clean_json_file(spark, args.file, quarantine=f"{args.out.rstrip('/')}_malformed").write.mode("overwrite").json(args.out)
     elif args.cmd == "train":
         from voxpop.plans import train
 

@@ -181,3 +181,31 @@ def json_submissions_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = _scratch(spark, "submissions-json-bz2")
     DT.submissions(spark, sf_dir).write.mode("overwrite").option("compression", "bzip2").json(path)
     return R.read_submissions(spark, path)
+
+
+@register(
+    "json_malformed_lines",
+    """
+    SELECT 'comment' AS kind, count(*) AS read_lines, count(*) FILTER (WHERE conv_id % 10 <> 3) AS kept,
+           count(*) FILTER (WHERE conv_id % 10 = 3) AS quarantined, true AS whole
+    FROM conversations WHERE turn > 0""",
+)
+def json_malformed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Comments written as JSON lines, those of every tenth thread broken in one of
+    three ways (cut short, a text for a number, no object at all); kept and quarantined
+    lines are all lines, and every quarantined line is the broken one."""
+    path, bad = _scratch(spark, "malformed-json"), _scratch(spark, "malformed-quarantine")
+    rows = DT.comments(spark, sf_dir).withColumn("conv_id", F.element_at(F.split("id", "_"), 1).cast("long"))
+    line = F.to_json(F.struct("id", "body", "link_id", "author_flair_text", "score"))
+    torn = F.concat(F.lit('{"id": "'), F.col("id"), F.lit('", "body": "cut sho'))
+    typed = F.to_json(F.struct("id", F.lit("many").alias("score")))
+    ways = F.when(F.col("score") % 3 == 0, torn).when(F.col("score") % 3 == 1, typed).otherwise(F.concat(F.lit("[no object] "), F.col("id")))
+    broken = F.col("conv_id") % 10 == 3
+    rows.select(F.when(broken, ways).otherwise(line).alias("value")).write.mode("overwrite").text(path)
+    kept = R.read_comments(spark, path, quarantine=bad)
+    counted = kept.agg(F.count(F.lit(1)).alias("kept"), F.count_if(F.col("id").isNull() | F.col("link_id").isNull()).alias("odd"))
+    lines = spark.read.text(path).agg(F.count(F.lit(1)).alias("read_lines"))
+    quarantined = spark.read.text(bad)
+    found = quarantined.agg(F.count(F.lit(1)).alias("quarantined"), F.count_if(~F.col("value").rlike('cut sho$|"many"|^\\[no object')).alias("wrong"))
+    one = counted.crossJoin(lines).crossJoin(found)  # one row each
+    return one.select(F.lit("comment").alias("kind"), "read_lines", "kept", "quarantined", ((F.col("odd") == 0) & (F.col("wrong") == 0)).alias("whole"))

@@ -123,6 +123,27 @@ def roc_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     return E.roc_points(_fixed_scores(spark, sf_dir), "score", "label")
 
 
+@register(
+    "roc_curve",
+    f"""
+    WITH c AS (SELECT *, lag(pos) OVER o AS pos_next, lag(neg) OVER o AS neg_next, max(score) OVER () AS top
+               FROM ({SQL_CUM}) x WINDOW o AS (ORDER BY score))
+    SELECT CAST('inf' AS DOUBLE) AS threshold, CAST(0 AS DOUBLE) AS fpr, CAST(0 AS DOUBLE) AS tpr
+    UNION ALL
+    SELECT score, CAST(N - (neg_cum - neg) AS DOUBLE) / N, CAST(P - (pos_cum - pos) AS DOUBLE) / P
+    FROM c, (SELECT CAST(sum(pos) AS DOUBLE) AS P, CAST(sum(neg) AS DOUBLE) AS N FROM ({SQL_SCORE_COUNTS}) a) t
+    WHERE pos_next IS NULL OR pos_next <> pos OR neg_next <> neg OR score = top""",
+)
+def roc_curve(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return E.roc_curve(_fixed_scores(spark, sf_dir), "score", "label")
+
+
+@register("model_roc_curve")
+def model_roc_curve(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M9: the curve of the positive model on the held-out half, ready to plot."""
+    return E.roc_curve(train.held_out_predictions(spark, sf_dir), "pos_p1", "positive")
+
+
 @register(
     "confusion_counts",
     f"""
@@ -338,9 +359,23 @@ LSI_RANK = 10
 LSI_REG = 0.001
 
 
+_FACTORS: dict[tuple, tuple[DataFrame, DataFrame, FA.Factors]] = {}
+
+
 def lsi_fit(spark: SparkSession, sf_dir: str, k: int = LSI_RANK) -> tuple[DataFrame, DataFrame, FA.Factors]:
     """All labelled rows (row, id, split, positive), their TF-IDF entries, and the rank-k
-    factors of the training half's matrix. Vocabulary and idf are of the training half."""
+    factors of the training half's matrix: written tables, which the queries of a session
+    share as long as the labelled tables' files are the same. Vocabulary and idf are of
+    the training half."""
+    version = tuple(train.table_version(spark, train.DT.path(sf_dir, name)) for name in ("labels", "documents"))
+    key = (spark.sparkContext.applicationId, k, *version)
+    if key not in _FACTORS:
+        _FACTORS.clear()  # only the last one is kept
+        _FACTORS[key] = _lsi_fit(spark, sf_dir, k)
+    return _FACTORS[key]
+
+
+def _lsi_fit(spark: SparkSession, sf_dir: str, k: int) -> tuple[DataFrame, DataFrame, FA.Factors]:
     grams = P.hash_split(train.labelled_grams(spark, sf_dir), "id", 0.5)
     rows = materialize(grams.withColumn("row", F.monotonically_increasing_id()), "lsi-rows")
     space = FE.fit_tfidf(rows.where("split = 'train'"))
@@ -583,3 +618,30 @@ def svc_checked(margins: DataFrame, sigmoid: M.Sigmoid, scored: DataFrame) -> Da
     )
     wrong = (F.col("svc") == 1.0) != (F.col("svc_margin") > 0)
     return fit.crossJoin(scored.agg(F.count_if(F.coalesce(wrong | (F.col("svc_p1") != sigmoid.probability(F.col("svc_margin"))), F.lit(True))).alias("n_wrong")))
+
+
+# What any model must fulfil; the certificates above fail for all but the fitted one.
+@register("cv_invariants", "SELECT unnest(['neg', 'pos']) AS model, CAST(1 AS BIGINT) AS n_points, true AS within")
+def cv_invariants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M5/M6: one mean area under ROC a grid point, in [0, 1]."""
+    metrics = train.fitted_models(spark, sf_dir).cv_metrics
+    rows = labelled_targets(spark, sf_dir).agg(F.count(F.lit(1)).alias("n"))
+    listed = rows.select(F.explode(F.array(*[F.struct(F.lit(p).alias("model"), F.array(*map(F.lit, m)).alias("m")) for p, m in sorted(metrics.items())])).alias("x"))
+    return listed.select("x.model", F.size("x.m").cast("bigint").alias("n_points"), F.forall("x.m", lambda v: v.between(0, 1)).alias("within"))
+
+
+@register("lsi_invariants", f"SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS n_wrong FROM ({SQL_TEST_HALF}) h")
+def lsi_invariants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M12 + M13: every held-out row is predicted, by its probability."""
+    p = lsi_projection(spark, sf_dir)
+    wrong = (F.col("prediction") == 1.0) != (F.col("probability") > 0.5)
+    return p.agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(F.coalesce(wrong, F.lit(True))).alias("n_wrong"))
+
+
+@register("svc_invariants", f"SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS n_wrong FROM ({SQL_TEST_HALF}) h")
+def svc_invariants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every held-out row has the class of its margin's sign."""
+    wrong = (F.col("svc") == 1.0) != (F.col("margin") > 0)
+    return linear_svc_scores(spark, sf_dir).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_if(F.coalesce(wrong, F.lit(True))).alias("n_wrong")
+    )

@@ -103,12 +103,13 @@ def run(spark: SparkSession, comments_path: str, submissions_path: str, model_pa
     """Full scoring + reporting on the forum inputs; returns the path of each report.
 
     ``regions_path`` is a text file of region names, one a line, for the map tables.
+    Lines that are no JSON records of the schema go to ``malformed/`` of ``out_dir``.
     """
     from voxpop.operators import models as M
 
     ensure_checkpoint_dir(spark)  # fails before any work where a cluster names none
-    comments = R.read_comments(spark, comments_path)
-    submissions = R.read_submissions(spark, submissions_path)
+    comments = R.read_comments(spark, comments_path, quarantine=f"{out_dir}/malformed/comments")
+    submissions = R.read_submissions(spark, submissions_path, quarantine=f"{out_dir}/malformed/submissions")
     W.write_parquet(comments, f"{out_dir}/comments.parquet")
     W.write_parquet(submissions, f"{out_dir}/submissions.parquet")
     comments = R.read_parquet(spark, f"{out_dir}/comments.parquet")

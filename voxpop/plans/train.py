@@ -23,6 +23,8 @@ from voxpop.operators import models as M
 from voxpop.sources import driver_tables as DT
 from voxpop.sources import sinks as W
 
+#: Fitted models that a session remembers.
+MODELS_KEPT = 4
 _FITTED: dict[tuple, PipelineModel] = {}
 
 
@@ -44,22 +46,30 @@ def labelled_grams(spark: SparkSession, sf_dir: str) -> DataFrame:
     return labelled_grams_from(DT.labels(spark, sf_dir), DT.labelled_comment_texts(spark, sf_dir))
 
 
+def table_version(spark: SparkSession, path: str) -> tuple:
+    """(name, length, modification time) of a table's files, as its store lists them: it
+    changes when the table is written anew, and no row is read for it."""
+    jvm = spark._jvm
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    store = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    files, found = store.listFiles(root, True), []
+    while files.hasNext():
+        f = files.next()
+        found.append((f.getPath().toString(), f.getLen(), f.getModificationTime()))
+    return tuple(sorted(found))
+
+
 def fitted_models(spark: SparkSession, sf_dir: str, folds: int = M.NUM_FOLDS, seed: int = 7) -> PipelineModel:
     """Train once per (application, data, folds, seed) and reuse within the session.
 
     The fitted model is small (vocabulary bounded by vocabSize, two coefficient
     vectors), so keeping it on the driver is safe.
     """
-    # The key holds the tables' content, so that rewritten tables are trained anew.
-    content = [
-        tuple(df.agg(F.count(F.lit(1)), F.sum(F.xxhash64(*cols).cast("decimal(20,0)"))).first())
-        for df, cols in (
-            (DT.labels(spark, sf_dir), ["id", "dem", "gop", "djt"]),
-            (DT.labelled_comment_texts(spark, sf_dir), ["id", "body"]),
-        )
-    ]
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), folds, seed, *content)
+    version = tuple(table_version(spark, DT.path(sf_dir, name)) for name in ("labels", "documents"))
+    key = (spark.sparkContext.applicationId, folds, seed, *version)
     if key not in _FITTED:
+        while len(_FITTED) >= MODELS_KEPT:
+            del _FITTED[next(iter(_FITTED))]  # the oldest
         _FITTED[key] = M.train_sentiment_models(labelled_grams(spark, sf_dir), folds=folds, seed=seed)
     return _FITTED[key]
 
@@ -73,11 +83,12 @@ def held_out_predictions(spark: SparkSession, sf_dir: str, model: PipelineModel
 
 def run(spark: SparkSession, labels_path: str, comments_path: str, model_path: str,
         folds: int = M.NUM_FOLDS, seed: int = 7) -> PipelineModel:
-    """Command-line form on the forum inputs: CSV labels + JSON comments -> saved model."""
+    """Command-line form on the forum inputs: CSV labels + JSON comments -> saved model.
+    Malformed lines of the comments go beside the model, to ``<model>_malformed``."""
     from voxpop.sources import readers as R
 
     labels = R.read_labels(spark, labels_path)
-    comments = R.read_comments(spark, comments_path).select("id", "body")
+    comments = R.read_comments(spark, comments_path, quarantine=f"{model_path.rstrip('/')}_malformed").select("id", "body")
     grams = labelled_grams_from(labels, comments)
     model = M.train_sentiment_models(grams, folds=folds, seed=seed)
     M.save_models(model, model_path)

@@ -28,8 +28,12 @@ from voxpop.functions import text as T
 EVENTS_PER_CONVERSATION = 50
 
 
+def path(sf_dir: str, name: str) -> str:
+    return f"{sf_dir.rstrip('/')}/{name}.parquet"
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spark.read.parquet(path(sf_dir, name))
 
 
 def comment_id() -> Column:
