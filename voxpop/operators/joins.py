@@ -9,7 +9,7 @@ measured shuffle size.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from voxpop.functions import text as T
@@ -18,6 +18,14 @@ from voxpop.functions import text as T
 # hot-key lists). One million short rows is a few tens of MiB per executor.
 BROADCAST_MAX_ROWS = 1_000_000
 
+# A Bloom filter of ids takes so many bits an id, and at most so many in all
+# (32 MiB an executor): some 22 million ids. Beyond that none is built.
+BLOOM_BITS_PER_ID = 12
+BLOOM_MAX_BITS = 1 << 28
+BLOOM_HASHES = 4
+# Words of 64 bits in a block of the filter.
+BLOOM_BLOCK = 4096
+
 
 def sized_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """Return ``broadcast(df)`` if ``df`` has at most ``max_rows`` rows, else ``df``.
@@ -39,6 +47,58 @@ def label_join(labels: DataFrame, comments: DataFrame, max_label_rows: int = BRO
     return comments.join(sized_broadcast(labels, max_label_rows), on="id", how="inner")
 
 
+def _bloom_positions(key: Column, bits: int) -> list[Column]:
+    """Bit positions of a key: double hashing, without overflow."""
+    first, step = F.pmod(F.xxhash64(key), F.lit(bits)), F.pmod(F.xxhash64(F.lit(11), key), F.lit(bits))
+    return [F.pmod(first + step * i, F.lit(bits)) for i in range(BLOOM_HASHES)]
+
+
+def bloom_filter(ids: DataFrame, key: str, max_bits: int = BLOOM_MAX_BITS) -> tuple[DataFrame, int] | None:
+    """One-row table ``words`` (blocks of 64-bit words) with the bits of every id
+    set, and its number of bits; None where the ids, counted first, need more than
+    ``max_bits``. An empty table has a filter that holds nothing."""
+    known = ids.where(F.col(key).isNotNull()).select(F.col(key).cast("string").alias("_id"))
+    bits = BLOOM_BITS_PER_ID * known.limit(max_bits // BLOOM_BITS_PER_ID + 1).count()
+    if bits > max_bits:
+        return None
+    blocks = max(1, -(-bits // (64 * BLOOM_BLOCK)))
+    bits = blocks * 64 * BLOOM_BLOCK
+    at = known.select(F.explode(F.array(*_bloom_positions(F.col("_id"), bits))).alias("_at"))
+    mask = F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod("_at", F.lit(64)).cast("int"))
+    some = at.select(F.floor(F.col("_at") / 64).cast("long").alias("_w"), mask.alias("_m"))
+    # With the words of no bit, so that a block is a full array.
+    every = ids.sparkSession.range(blocks * BLOOM_BLOCK).select(F.col("id").alias("_w"), F.lit(0).cast("long").alias("_m"))
+    words = some.unionByName(every).groupBy("_w").agg(F.bit_or("_m").alias("_m"))
+    block = F.floor(F.col("_w") / BLOOM_BLOCK).cast("long").alias("_b")
+    in_order = lambda i, v: F.transform(F.sort_array(F.collect_list(F.struct(i, v))), lambda x: x[v])
+    rows = words.groupBy(block).agg(in_order("_w", "_m").alias("_words"))
+    return rows.agg(in_order("_b", "_words").alias("words")), bits
+
+
+def prune_unmatched(comments: DataFrame, submissions: DataFrame, max_bits: int = BLOOM_MAX_BITS) -> DataFrame:
+    """``comments`` without most of those that have no submission, none of the others.
+
+    A filter right above the scan, so what an inner join would drop anyway is not
+    cleaned and scored first. Up to a few in a hundred without a submission stay, for
+    the join to drop. Where the submissions' ids, null ones aside, need more than
+    ``max_bits`` only comments without a link go.
+    """
+    link = T.strip_link_prefix("link_id")
+    linked = comments.where(link.isNotNull())
+    found = bloom_filter(submissions, "id", max_bits)
+    if found is None:
+        return linked
+    table, bits = found
+    words = table.scalar()
+    set_there = F.lit(True)
+    for at in _bloom_positions(link, bits):
+        word = F.floor(at / 64).cast("int")
+        value = F.get(F.get(words, F.floor(word / BLOOM_BLOCK).cast("int")), F.pmod(word, F.lit(BLOOM_BLOCK)))
+        bit = F.call_function("shiftright", value, F.pmod(at, F.lit(64)).cast("int")).bitwiseAND(F.lit(1))
+        set_there = set_there & (bit == 1)
+    return linked.where(set_there)
+
+
 def comment_submission_join(
     comments: DataFrame,
     submissions: DataFrame,
@@ -72,7 +132,7 @@ def comment_submission_join(
         F.col("id").alias("link"), "title", F.col("score").alias("s_score")
     )
     if hot_key_fraction:
-        joined = hot_key_join(c, s, "link", hot_key_fraction)
+        joined = hot_key_join(c, s, "link", hot_key_fraction, ["comment_id", "c_score"])
     else:
         joined = c.join(s, on="link", how="inner")
     cols = [F.col("link").alias("id"), "comment_id"]
@@ -93,14 +153,14 @@ def link_match_count(comments: DataFrame, submissions: DataFrame) -> DataFrame:
 
 
 def hot_key_join(
-    fact: DataFrame, dim: DataFrame, key: str, hot_fraction: float = 0.01
+    fact: DataFrame, dim: DataFrame, key: str, hot_fraction: float = 0.01, salt_by: list[str] | None = None
 ) -> DataFrame:
     """Inner join of a large, skewed ``fact`` to a ``dim``.
 
     Keys holding more than ``hot_fraction`` of the fact rows are found with a
     partial-aggregated count; there are at most ``1 / hot_fraction`` of them, which
-    come to the driver. Fact rows of a hot key are dealt to ``parts`` salts by their
-    content and its dim rows repeated for each, in one join over one fact scan.
+    come to the driver. Fact rows of a hot key are dealt to ``parts`` salts by the
+    columns ``salt_by`` (all of them if not given) and its dim rows repeated for each, in one join over one fact scan.
     """
     counts = fact.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).persist()
     try:
@@ -111,7 +171,7 @@ def hot_key_join(
     if not hot:
         return fact.join(dim, on=key, how="inner")
     parts = max(2, int(fact.sparkSession.conf.get("spark.sql.shuffle.partitions")) // 4)
-    salt = F.when(F.col(key).isin(hot), F.pmod(F.xxhash64(*fact.columns), F.lit(parts))).otherwise(F.lit(0)).cast("int")
+    salt = F.when(F.col(key).isin(hot), F.pmod(F.xxhash64(*(salt_by or fact.columns)), F.lit(parts))).otherwise(F.lit(0)).cast("int")
     salts = F.when(F.col(key).isin(hot), F.sequence(F.lit(0), F.lit(parts - 1))).otherwise(F.array(F.lit(0)))
     salted = dim.withColumn("_salt", F.explode(salts))
     return fact.withColumn("_salt", salt).join(salted, on=[key, "_salt"], how="inner").drop("_salt")

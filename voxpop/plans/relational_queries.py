@@ -221,6 +221,22 @@ def comment_submission_join_hot_split(spark: SparkSession, sf_dir: str) -> DataF
     )
 
 
+@register(
+    "comment_submission_join_pruned",
+    f"""
+    SELECT s.id AS id, c.id AS comment_id, c.created_utc, {_sql_day('c.created_utc')} AS ts,
+           s.title, c.author_flair_text, c.score AS c_score, s.score AS s_score, c.body
+    FROM ({SQL_COMMENTS}) c JOIN ({SQL_SUBMISSIONS}) s ON regexp_replace(c.link_id, '^t3_', '') = s.id
+    WHERE CAST(s.id AS BIGINT) % 3 = 0""",
+)
+def comment_submission_join_pruned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J3 after pruning by the submissions' Bloom filter: every third submission is
+    known, so two thirds of the comments have none."""
+    known = DT.submissions(spark, sf_dir).where(F.col("id").cast("long") % 3 == 0)
+    comments = J.prune_unmatched(DT.comments(spark, sf_dir, with_time=True), known)
+    return J.comment_submission_join(comments, known)
+
+
 @register(
     "link_match_count",
     f"""

@@ -120,7 +120,7 @@ def run(spark: SparkSession, comments_path: str, submissions_path: str, model_pa
         # The scored table is written once as Parquet in the shared checkpoint
         # folder (lineage cut, columnar re-read); the combined report aggregate
         # too, so the report writes reuse one scan.
-        scored = materialize(score.scored_from(comments, submissions, model, sample_fraction=sample_fraction), f"{scratch}/scored")
+        scored = materialize(score.scored_from(comments, submissions, model, sample_fraction=sample_fraction, prune=True), f"{scratch}/scored")
         reports = sentiment_reports(scored, stage=lambda agg: materialize(agg, f"{scratch}/aggregate", ("_gid",)))
         reports["daily_by_date"] = dated_series(reports["daily"], exclude_days)
         if regions_path:

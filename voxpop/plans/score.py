@@ -31,13 +31,17 @@ SCORED_COLUMNS = [
 
 
 def scored_from(comments: DataFrame, submissions: DataFrame, model: PipelineModel,
-                sample_fraction: float | None = None, hot_key_fraction: float | None = None) -> DataFrame:
-    """Score every kept comment, then attach its submission.
+                sample_fraction: float | None = None, hot_key_fraction: float | None = None,
+                prune: bool = False) -> DataFrame:
+    """Score every kept comment, then attach its submission. With ``prune``, most
+    comments without a submission go before they are cleaned.
 
     Filtering, cleaning and both models are per-row work and run map-side on
     the comment scan; only then is the (now small) scored row joined to its
     submission, so the comment text never crosses a shuffle.
     """
+    if prune:
+        comments = J.prune_unmatched(comments, submissions)
     kept = P.quote_filter(comments, "body")
     if sample_fraction is not None:
         kept = P.hash_sample(kept, "id", sample_fraction)
