@@ -56,9 +56,9 @@ def shard_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """One row a row of ``docs``: doc_id, size, text_crc32, shard, slot.
 
     Size is the UTF-8 length plus 1, tokens are words. Rows of equal text share a
-    shard unless they outweigh half of one; then their rows are dealt by id to all
-    shards. Null texts are empty texts. Slots number a shard's rows from 0. Rows
-    equal in id and text may swap slots; other columns aren't read; an empty table
+    shard unless they outweigh half of one; then their rows are dealt one by one to
+    all shards, whatever their ids. Null texts are empty texts. Slots number a shard's
+    rows from 0. Rows equal in id and text may swap shards and slots; other columns aren't read; an empty table
     gives an empty result.
     """
     text = text_or_empty(text_col)
@@ -71,6 +71,8 @@ def shard_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             F.crc32(text).alias("text_crc32"),
             h1.alias("h1"),
             h2.alias("h2"),
+            # Tells equal rows apart; fixed once it's written.
+            F.monotonically_increasing_id().alias("row"),
         ),
         "op5-rows",
     )
@@ -89,7 +91,7 @@ def shard_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     )
     same = (F.col("h1") == F.col("g1")) & (F.col("h2") == F.col("g2"))
     dealt = rows.join(F.broadcast(large), same, "left").withColumn(
-        "piece", F.coalesce(F.pmod(F.xxhash64(F.col("doc_id"), F.lit(5)), F.col("pieces")), F.lit(0)).cast("int")
+        "piece", F.coalesce(F.pmod(F.xxhash64("doc_id", "row"), F.col("pieces")), F.lit(0)).cast("int")
     )
     items = save(
         dealt.groupBy("h1", "h2", "piece").agg(*sums).select("h1", "h2", "piece", *[part[c].alias(c) for c in DIMS]), "op5-items"
@@ -124,8 +126,8 @@ def shard_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         F.col("h1").alias("p1"), F.col("h2").alias("p2"), F.col("piece").alias("p3"), "shard"
     )
     in_shard = (F.col("h1") == F.col("p1")) & (F.col("h2") == F.col("p2")) & (F.col("piece") == F.col("p3"))
-    assigned = save(dealt.join(shard_of, in_shard).select("doc_id", "size", "text_crc32", "shard"), "op5-assigned")
-    return number_within(assigned, "shard", ["doc_id", "text_crc32"], "slot")
+    assigned = save(dealt.join(shard_of, in_shard).select("doc_id", "size", "text_crc32", "row", "shard"), "op5-assigned")
+    return number_within(assigned, "shard", ["doc_id", "text_crc32", "row"], "slot").drop("row")
 
 
 @register("op5_sharding")
