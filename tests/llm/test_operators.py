@@ -1,5 +1,6 @@
 """The other operators against plain Python, and their odd cases."""
 
+import math
 import zlib
 
 import numpy as np
@@ -152,6 +153,17 @@ def test_shards_of_odd_rows(odd_docs, with_clashes, no_docs):
     assert SH.shard_documents(no_docs).count() == 0
 
 
+@pytest.mark.parametrize("same_id", [None, 7])
+def test_equal_rows_are_dealt_whatever_their_ids(make_docs, same_id):
+    rng = np.random.default_rng(9)
+    rows = [(i, prose(rng, int(rng.integers(3, 20)))) for i in range(2000)] + [(same_id, "one text in a third of all rows")] * 1000
+    got = SH.shard_documents(make_docs(rows), shards=8).toPandas()
+    assert len(got) == 3000
+    per = got.groupby("shard").agg(size=("size", "sum"), rows=("slot", "count"), last=("slot", "max"))
+    assert len(per) == 8 and (per["last"] == per["rows"] - 1).all()
+    assert per["size"].max() <= 1.03 * per["size"].mean() and per["size"].min() >= 0.97 * per["size"].mean()
+
+
 def test_shards_are_even_with_a_third_copies(make_docs, monkeypatch):
     monkeypatch.setattr(SH, "BLOCK", 500)
     rng = np.random.default_rng(8)
@@ -334,6 +346,94 @@ def test_extract_keeps_links_of_the_article(html, text):
     assert extract(html) == text
 
 
+DENSE = f"<h1>T</h1><p><b>{P * 4}<br>{P}</b></p><p>End.</p>"
+QUOTED = " ".join(f'a{i}="x>y"' for i in range(450))
+
+
+@pytest.mark.parametrize(
+    "html,text",
+    [
+        # Density alone: no article tag, bold text and line breaks in the densest paragraph.
+        (f"<nav><a href=/x>x</a></nav><div>{DENSE}</div><footer>All rights</footer>", f"T {P * 5}End."),
+        # A footer longer than a page's short text isn't the text.
+        (f"<div><h1>T</h1><p>Short.</p></div><footer>{P}</footer>", "T Short."),
+        # The article around the densest part keeps its headings and paragraphs.
+        (f"<article><header><h1>T</h1></header><div class=body><p>{P}</p><p>{P}</p></div><p>x</p></article>", f"T {P * 2}x"),
+        # Prose under a name that may be a control's, controls and readers' comments.
+        (f"<article><p>{P}</p><section class=social><p>{P * 2}</p></section><div class=share>Share</div></article>", (P * 3).strip()),
+        (f"<article><p>{P}</p><p class=promotion>{P * 2}</p><ol class=comment-list><li>{P}</li></ol></article>", (P * 3).strip()),
+        (f"<article><p>{P}</p><div class=advert><p>{P * 2}</p></div><p>{P}</p></article>", (P * 2).strip()),
+        # Empty comments, and attributes of any number and length.
+        (f"<p>{P}</p><!--><p>{P}</p><!---><p>{P}</p><!-- no --!><p>{P}</p>", (P * 4).strip()),
+        (f"<p data-x='{'x>y ' * 8000}'>{P}</p>", P.strip()),
+        (f"<p {QUOTED}>{P}</p><p>{P}</p>", (P * 2).strip()),
+        # A quote that doesn't close: the tag ends at the first >.
+        (f"<p title=\"a>{P}</p><p class='x>y'>{P}</p>", (P * 2).strip()),
+    ],
+)
+def test_extract_by_density(html, text):
+    assert extract(html) == text
+
+
+def trees():
+    rng = np.random.default_rng(8)
+    for _ in range(300):
+        blocks = []
+        for _ in range(int(rng.integers(1, 6))):
+            words = "word " * int(rng.integers(1, 60))
+            link = "<a href=/l>" + "link " * int(rng.integers(1, 30)) + "</a>" if rng.random() < 0.4 else ""
+            blocks.append(f"<p>{words}{link}</p>")
+        cut = int(rng.integers(0, len(blocks) + 1))
+        yield f"<div><section>{''.join(blocks[:cut])}</section><section>{''.join(blocks[cut:])}</section></div>"
+
+
+def density_by_hand(el, share):
+    """Of an ElementTree element: characters a tag, less the more of them are linked."""
+    count = lambda e: sum(len("".join(t.split())) for t in e.itertext())
+    chars, tags = count(el), max(sum(1 for _ in el.iter()) - 1, 1)
+    links = list(el.iter("a"))
+    linked, n_links = max(sum(map(count, links)), 1), max(len([x for x in links if x is not el]), 1)
+    linked_raw = sum(map(count, links))
+    base = math.log(chars / max(chars - linked_raw, 1) * linked_raw + share * chars + math.e)
+    weight = math.log(chars / linked * tags / n_links) if chars * tags > linked * n_links else 0.0
+    return chars / tags * (weight / math.log(base) if base > math.e else weight)
+
+
+def test_density_sums_by_hand():
+    import xml.etree.ElementTree as ET
+
+    from voxpop.llm.html_extract import _measure, parse
+
+    for html in trees():
+        root = ET.fromstring(f"<html>{html}</html>")
+        chars = sum(len("".join(t.split())) for t in root.itertext())
+        linked = sum(len("".join(t.split())) for a in root.iter("a") for t in a.itertext())
+        share = linked / max(chars, 1)
+        wanted = {}
+        for el in root.iter():
+            if el.tag != "a":
+                wanted.setdefault(el.tag, []).append((density_by_hand(el, share), sum(density_by_hand(k, share) for k in el if k.tag != "a")))
+        got = {}
+        for node in _measure(parse(html)):
+            if node.tag != "a":
+                got.setdefault(node.tag, []).append((node.density, node.total))
+        assert wanted.keys() == got.keys()
+        for tag, pairs in wanted.items():
+            assert np.allclose(sorted(pairs), sorted(got[tag])), html
+
+
+def test_broken_quotes_are_read_once():
+    import time
+
+    def seconds(n):
+        start = time.process_time()
+        extract("<br \">\"" * n + "'")
+        return time.process_time() - start
+
+    seconds(1000)
+    assert seconds(80000) < 40 * max(seconds(8000), 0.01)
+
+
 def test_extract_deep_and_broken_pages():
     assert extract("<div>" * 20000 + "deep") == "deep"
     for junk in ("<" * 5000, "<a " * 5000, "<a b='" * 5000, "</p>" * 5000, "<!--" * 5000, "&" * 5000):

@@ -19,12 +19,13 @@ from pyspark.sql import functions as F
 
 from voxpop.llm.registry import register
 
-#: Comments, declarations and tags; a tag whose quotes don't close ends at the next >.
+#: Comments, declarations and tags; of a tag whose attributes hold < or > in quotes
+#: only the name. ``_tag_end`` reads on there.
 _MARKUP = re.compile(
-    r"<!--.*?(?:-->|\Z)|<[!?][^>]*+(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*+)"
-    r"((?:(?:[^>\"']++|\"[^\"]{0,20000}+\"|'[^']{0,20000}+'){0,400}+(?=>|\Z))|[^>]*+)(?:>|\Z)",
+    r"<!--(?:-?>|.*?(?:--!?>|\Z))|<[!?][^>]*+(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*+)(?:((?:[^<>\"']++|\"[^<>\"]*+\"|'[^<>']*+')*+)(?:>|\Z))?",
     re.S,
 )
+_PLAIN = re.compile(r"[^>\"']*+")
 #: Name and value of each attribute; of a name that comes twice, the first counts.
 _ATTRS = re.compile(r"([^\s\"'>/=][^\s/>=]*+)(?:\s*+=\s*+(?:\"([^\"]*+)\"|'([^']*+)'|([^\s>]++)))?")
 _TOLD = re.compile(r"class|id|role|hidden|style", re.I)
@@ -55,9 +56,13 @@ _AROUND = frozenset(
 #: Of these, words that tell the same inside an article, as a class of nothing else.
 _APART = frozenset(
     "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion sidebar menu nav navbar navigation "
-    "breadcrumb breadcrumbs masthead comments disqus newsletter subscribe subscription signup login share sharing social related "
+    "breadcrumb breadcrumbs masthead comment comments replies disqus newsletter subscribe subscription signup login share sharing social related "
     "recommended recommendations toolbar pagination pager outbrain taboola".split()
 )
+#: Of these, words that a part of an article may be called by: it stays inside one if
+#: it's so many characters of text without a link at least.
+_MAY_TELL = frozenset("promotion social share sharing related recommended recommendations".split())
+_PROSE = 100
 #: Words that add nothing to such a name.
 _FILLERS = frozenset("area bar block bottom box buttons container content inner left links list main outer right row section top wrap wrapper".split())
 _ROLES = frozenset("navigation banner complementary contentinfo search menu menubar toolbar".split())
@@ -93,14 +98,15 @@ _SCOPES = frozenset("table td th article section aside nav header footer main bo
 
 
 #: What speaks for an element being around the article: one word of a name, a name as
-#: a whole, a form, and a sign that counts inside an article too.
-ONE_WORD, WHOLE_NAME, FORM, SURE = 1, 2, 3, 4
+#: a whole, a form, a class that counts inside an article too but for prose, and a sign
+#: that always counts there.
+ONE_WORD, WHOLE_NAME, FORM, NAMED, SURE = 1, 2, 3, 4, 5
 
 
 class Node:
     __slots__ = (
         "tag", "above", "kids", "dropped", "sign", "closed", "bare", "plain",
-        "chars", "tags", "link_chars", "link_tags", "bare_tags", "density", "total",
+        "blocky", "chars", "tags", "link_chars", "link_tags", "bare_tags", "density", "total",
     )
 
     def __init__(self, tag: str, dropped: bool, above: Node | None = None, sign: int = 0):
@@ -139,8 +145,12 @@ def _sign(tag: str, attrs: dict[str, str]) -> int:
             if _AROUND.isdisjoint(words) or words[0] in _ABOUT:
                 continue
             whole = all(w in _AROUND or w in _FILLERS for w in words)
-            if whole and key == "class" and not _APART.isdisjoint(words):
+            apart = _APART.intersection(words)
+            if whole and key == "class" and apart - _MAY_TELL:
                 return SURE
+            if whole and key == "class" and apart:
+                best = NAMED
+                continue
             best = max(best, WHOLE_NAME if whole else ONE_WORD)
     return best
 
@@ -156,10 +166,30 @@ def _judge(tag: str, text: str) -> tuple[bool, int, bool]:
     return _hidden(attrs), _sign(tag, attrs), tag == "a" and attrs.keys().isdisjoint(("href", "name", "id"))
 
 
+def _tag_end(html: str, at: int, lost: set[int]) -> int:
+    """Where the attributes from ``at`` end: at the first > outside quotes or at the
+    page's end; at the first > of all if a quote doesn't close. ``lost`` keeps the
+    quotes from which none is found, so a page is read once for all its tags."""
+    seen, here = [], at
+    while True:
+        here = _PLAIN.match(html, here).end()
+        if here == len(html) or html[here] == ">":
+            return here
+        seen.append(here)
+        after = -1 if here in lost else html.find(html[here], here + 1)
+        if after < 0:
+            lost.update(seen)
+            first = html.find(">", at)
+            return len(html) if first < 0 else first
+        here = after + 1
+
+
 def parse(html: str) -> Node:
-    """Element tree of a page, with the closing rules of everyday mark-up."""
+    """Element tree of a page, with the closing rules of everyday mark-up. Attributes
+    may be of any number and length."""
     root = Node("html", False)
     stack, at, end = [root], 0, len(html)
+    lost: set[int] = set()
 
     def close(tags, stops) -> None:
         for i in range(len(stack) - 1, 0, -1):
@@ -180,7 +210,10 @@ def parse(html: str) -> Node:
         at = m.end()
         if not m[2]:
             continue
-        tag = m[2].lower()
+        tag, told = m[2].lower(), m[3]
+        if told is None:
+            stop = _tag_end(html, at, lost)
+            at, told = min(stop + 1, end), html[at:stop]
         if m[1]:
             if tag == "p" and not any(n.tag == "p" for n in stack):
                 continue
@@ -194,7 +227,7 @@ def parse(html: str) -> Node:
             close(*_P)
         if tag in _CLOSES:
             close(*_CLOSES[tag])
-        dropped, sign, bare = _judge(tag, m[3])
+        dropped, sign, bare = _judge(tag, told)
         node = Node(tag, dropped, stack[-1], sign)
         node.bare = bare
         stack[-1].kids.append(node)
@@ -213,15 +246,19 @@ def _drop_surroundings(root: Node) -> None:
     Spared are elements around the article or main element of the most unlinked
     text, and those of over half of the page's unlinked text, unless an article stands
     outside and a whole name or sure sign of a closed element speaks against it.
-    Inside an article only forms and sure signs count, and its header stays. Blocks of links beside the
-    article in a spared element go.
+    A closed footer, nav, header or aside isn't spared for its length while there is
+    text without any sign. Inside an article only forms, sure signs and classes that
+    speak against anything but prose count, and its header stays. Blocks of links
+    beside the article in a spared element go.
     """
-    order, todo = [], [(root, False, False, False)]
+    order, named_inside, todo = [], [], [(root, False, False, False)]
     while todo:
         node, linked, inside, within = todo.pop()
         if inside and (node.sign < FORM or node.tag == "header"):
             node.sign = 0
         order.append((node, linked, within))
+        if inside and node.sign == NAMED:
+            named_inside.append(node)
         inner = inside or node.tag == "article"
         todo.extend((k, linked or k.tag == "a", inner, within or node.sign > 0) for k in node.elements())
     if not any(node.sign for node, _, _ in order):
@@ -236,9 +273,14 @@ def _drop_surroundings(root: Node) -> None:
             elif not kid.dropped:
                 node.chars += kid.chars
                 node.plain += kid.plain
+    for node in named_inside:
+        if node.plain == node.chars >= _PROSE:
+            node.sign = 0
     cores = [(node, within) for node, _, within in order if node.tag in ("article", "main") and node.plain]
     free = [node for node, within in cores if not within]
     core = max(free or [node for node, _ in cores], key=lambda n: n.plain, default=None)
+    marked = sum(node.plain for node, _, within in order if node.sign and not within)
+    unmarked = root.plain > marked
     holds, node = set(), core
     while node is not None:
         holds.add(id(node))
@@ -247,17 +289,23 @@ def _drop_surroundings(root: Node) -> None:
         if not node.sign:
             continue
         most = 2 * node.plain > root.plain and (not free or not node.closed or node.sign in (ONE_WORD, FORM))
+        # A closed footer, nav, header or aside isn't the article while other text is unmarked.
+        most = most and not (node.closed and node.tag in _SURROUNDS and node.sign == SURE and unmarked)
         if id(node) not in holds and not most:
             node.dropped = True
             continue
-        for kid in node.elements() if id(node) in holds or node.sign == SURE else ():
+        for kid in node.elements() if id(node) in holds or node.sign >= NAMED else ():
             if id(kid) not in holds and kid.chars and 2 * kid.plain <= kid.chars:
                 kid.dropped = True
 
 
 def _measure(root: Node) -> list[Node]:
-    """Count characters, tags and links of every kept node, then its density;
-    returns the kept nodes, each after the one above it."""
+    """Count characters, tags and links of every kept node, then its density and the
+    sum of its children's; returns the kept nodes, each after the one above it.
+
+    An inline element without blocks in it is a part of its block's text: its tag
+    counts there, but it adds no density of its own, so bold text or a line break
+    doesn't make a paragraph the densest node of a page."""
     order, todo = [], [(root, False)]
     while todo:  # no recursion: pages may nest very deeply
         node, linked = todo.pop()
@@ -266,10 +314,12 @@ def _measure(root: Node) -> list[Node]:
         todo.extend((k, linked) for k in node.elements())
     for node, linked in reversed(order):
         chars = tags = link_chars = link_tags = bare_tags = 0
+        node.blocky = node.tag not in _INLINE and node.tag not in _VOID
         for kid in node.kids:
             if isinstance(kid, str):
                 chars += len("".join(kid.split()))
             elif not kid.dropped:
+                node.blocky = node.blocky or kid.blocky
                 chars += kid.chars
                 tags += kid.tags + 1
                 link_chars += kid.link_chars
@@ -285,7 +335,7 @@ def _measure(root: Node) -> list[Node]:
         weight = log(c / lc * t / lt) if c * t > lc * lt else 0.0
         node.density = c / t * (weight / log(base) if base > e else weight)
     for node, _ in order:
-        node.total = sum(k.density for k in node.elements())
+        node.total = sum(k.density for k in node.elements() if k.blocky)
     return [node for node, _ in order]
 
 
@@ -322,16 +372,15 @@ def _joined(nodes: list[Node | str]) -> str:
 def extract(html: str | None) -> str:
     """Main text of a page; empty for an empty or null page.
 
-    The node of the largest density sum counts whole, from the outermost article
-    that holds it, if one does. So does every other topmost element whose density
-    reaches the least on the path from the body to that node, provided it holds
-    running text (most of it outside links).
+    The node of the largest density sum counts whole, whatever its tag. So does every
+    other topmost element whose density reaches the least on the path from the body to
+    that node, provided it holds running text (most of it outside links).
 
-    The tags article and main only lower that threshold: beside a chosen article,
-    others need a quarter of its density. Of the elements on the path that are or
-    lie in a main (the chosen one too if it's the main itself), text, paragraphs,
-    headings and lists of running text count as they are, and other blocks need a
-    quarter of the density of the densest beside them.
+    The tags article and main only lower that threshold: if the chosen node is an
+    article, others need a quarter of its density. Of the elements on the path that are
+    or lie in a main or article around the chosen node (the chosen one too if it's the
+    main itself), text, paragraphs, headings and lists of running text count as they
+    are, and other blocks need a quarter of the density of the densest beside them.
     """
     root = parse(html or "")
     best = max(_measure(root), key=lambda n: n.total)
@@ -339,12 +388,11 @@ def extract(html: str | None) -> str:
     while path[-1].above is not None:
         path.append(path[-1].above)
     floor = min(n.density for n in path)
-    chosen = next((n for n in reversed(path) if n.tag == "article"), best)
-    spine = path[path.index(chosen) + (chosen.tag != "main") :]
+    spine = path[best.tag != "main" :]
     on_spine, in_main = set(map(id, spine)), False
-    wide = set()  # nodes of the spine that are a main or lie in one
+    wide = set()  # nodes of the spine that are a main or an article, or lie in one
     for node in reversed(spine):
-        in_main = in_main or node.tag == "main"
+        in_main = in_main or node.tag in ("main", "article")
         if in_main:
             wide.add(id(node))
     marked: list[Node | str] = []
@@ -360,11 +408,11 @@ def extract(html: str | None) -> str:
             todo.extend((k, low, True) for k in reversed(node.kids) if isinstance(k, str) or not k.dropped)
             continue
         if id(node) not in on_spine:
-            if node.tag == "article" and chosen.tag == "article":
-                need = min(need, chosen.density / _PEERS)
+            if node.tag == "article" and best.tag == "article":
+                need = min(need, best.density / _PEERS)
             running = 2 * node.link_chars < node.chars
-            as_is = free and (node.tag in _TEXT_BLOCKS or node.tag in _LISTS and running)
-            if node is chosen or as_is or node.density >= need and running:
+            as_is = free and (node.tag in _TEXT_BLOCKS or node.tag == "header" or node.tag in _LISTS and running)
+            if node is best or as_is or node.density >= need and running:
                 marked.append(node)
                 continue
         todo.extend((k, floor, False) for k in reversed(node.elements()))
