@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from voxpop.llm.common import WORD, documents, join_few, save, text_or_empty, word_count
+from voxpop.llm.common import WORD, documents, join_few, number_within, save, text_or_empty, word_count
 from voxpop.llm.registry import register
 
 #: Weights of the sources in code point order, repeating.
@@ -85,14 +85,36 @@ def pareto_rank(u: Column, inclusion: Column) -> Column:
     return F.when(inclusion >= 1, F.lit(0.0)).when(inclusion <= 0, F.lit(1.0)).otherwise(q / (1 + q))
 
 
-def _crossing(sums: DataFrame, finest: bool) -> DataFrame:
+def _summed(sums: DataFrame, *order: str) -> DataFrame:
+    """``before``: the words of a source ahead of each row of ``sums`` in that order."""
+    run = Window.partitionBy("source").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    return sums.withColumn("before", F.col("base") + F.coalesce(F.sum("words").over(run), F.lit(0)))
+
+
+def _taken(before: Column, size: Column, rest: Column) -> Column:
+    """A document is drawn if it brings the words drawn nearer to the rest."""
+    return before + size / 2 <= rest
+
+
+def _last_taken(sums: DataFrame) -> DataFrame:
+    """Per source, from (source, rank, size, words, base, rest), words being those of
+    all documents of one rank and size: ``last`` (rank, size), up to which all are
+    drawn, and ``tied`` (rank, size, words before), of which some are. Documents tie
+    where they are equal in id and text, so most sources have no ``tied``."""
+    summed = _summed(sums, "rank", "size")
+    size, rest = F.col("size"), F.col("rest")
+    whole = _taken(F.col("before") + F.col("words") - size, size, rest)
+    part = _taken(F.col("before"), size, rest) & ~whole
+    return summed.groupBy("source").agg(
+        F.max(F.when(whole, F.struct("rank", "size"))).alias("last"),
+        F.max(F.when(part, F.struct("rank", "size", F.col("before").cast("long").alias("before")))).alias("tied"),
+    )
+
+
+def _crossing(sums: DataFrame) -> DataFrame:
     """Per source, from (source, part, words, base, rest): the interval in which
-    the running sum of words passes ``rest``; with ``finest`` the last rank taken."""
-    run = Window.partitionBy("source").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    summed = sums.withColumn("before", F.col("base") + F.coalesce(F.sum("words").over(run), F.lit(0)))
-    if finest:
-        taken = summed.where(F.col("before") + F.col("words") / 2 <= F.col("rest"))
-        return taken.groupBy("source").agg(F.max("part").alias("last"))
+    the running sum of words passes ``rest``."""
+    summed = _summed(sums, "part")
     inside = (F.col("before") <= F.col("rest")) & (F.col("rest") < F.col("before") + F.col("words"))
     return summed.where(inside).select("source", F.col("part").alias("in_part"), F.col("before").alias("base"))
 
@@ -117,7 +139,8 @@ def mix(
     last), repeating. A document's inclusion probability is its source's share
     times its weight (one half below ``short_words`` words, else one) over the
     mean weight of a word of the source. The draw depends on the id, the text
-    and ``seed`` alone; rows equal in both are taken alike. Null texts have size
+    and ``seed`` alone; of rows equal in both, as many are taken as the target
+    has room for. Texts of any length count whole. Null texts have size
     0; a source of no words has target 0. All columns of ``docs`` are kept; an
     empty table gives an empty result.
     """
@@ -151,41 +174,51 @@ def mix(
     level1 = with_cut(sources.select("source", "rest").withColumn("base", F.lit(0).cast("long")))
     sums1 = ranks.groupBy("source", coarse.alias("part")).agg(F.sum("size").alias("words"))
     first = _crossing(
-        join_few(sums1, level1, _same("source", "c_source"), FEW_SOURCES).withColumnsRenamed({"c_base": "base", "c_rest": "rest"}),
-        finest=False,
+        join_few(sums1, level1, _same("source", "c_source"), FEW_SOURCES).withColumnsRenamed({"c_base": "base", "c_rest": "rest"})
     )
     cut1 = save(first.join(with_cut(sources.select("source", "rest")), _same("source", "c_source")).select("source", "in_part", "base", F.col("c_rest").alias("rest")), "op3-cut1")
     in1 = join_few(ranks, with_cut(cut1), _same("source", "c_source") & (coarse == F.col("c_in_part")), FEW_SOURCES)
     sums2 = in1.groupBy("source", fine.alias("part"), F.col("c_base").alias("base"), F.col("c_rest").alias("rest")).agg(F.sum("size").alias("words"))
     cut2 = save(
-        _crossing(sums2, finest=False)
+        _crossing(sums2)
         .join(with_cut(sources.select("source", "rest")), _same("source", "c_source"))
         .select("source", "in_part", "base", F.col("c_rest").alias("rest")),
         "op3-cut2",
     )
     in2 = join_few(ranks, with_cut(cut2), _same("source", "c_source") & (fine == F.col("c_in_part")), FEW_SOURCES)
-    sums3 = in2.groupBy("source", F.col("rank").alias("part"), F.col("c_base").alias("base"), F.col("c_rest").alias("rest")).agg(F.sum("size").alias("words"))
-    last = _crossing(sums3, finest=True)
+    sums3 = in2.groupBy("source", "rank", "size", F.col("c_base").alias("base"), F.col("c_rest").alias("rest")).agg(F.sum("size").alias("words"))
     # The cut of a source: all ranks before its finest interval, and in it up to ``last``.
     cuts = save(
         with_cut(cut2)
-        .join(last, _same("c_source", "source"), "left")
+        .join(_last_taken(sums3), _same("c_source", "source"), "left")
         .select(
             F.col("c_source").alias("__c_source"),
             (F.col("c_in_part") / float(INTERVALS * INTERVALS)).alias("__below"),
             F.col("last").alias("__last"),
+            F.col("tied").alias("__tied"),
         ),
         "op3-cuts",
     )
     placed = ranked(drawn, source_col, "__weight", "__u")
     placed = join_few(placed, cuts, _same(source_col, "__c_source"), FEW_SOURCES, "left")
-    drawn_too = (F.col("__s_rest") > 0) & ((F.col("__rank") < F.col("__below")) | (F.col("__rank") <= F.col("__last")))
+    at, rest = F.struct(F.col("__rank").alias("rank"), F.col("__size").alias("size")), F.col("__s_rest")
+    drawn_too = (rest > 0) & ((F.col("__rank") < F.col("__below")) | (at <= F.col("__last")))
+    placed = placed.withColumn("__drawn", F.coalesce(drawn_too, F.lit(False)))
+    if cuts.where("__tied is not null").limit(1).count():
+        # Equal rows at a cut are written with a number of their own and counted off.
+        tied = (rest > 0) & (at == F.struct("__tied.rank", "__tied.size"))
+        tied = F.coalesce(tied, F.lit(False))
+        among = save(placed.where(tied).withColumn("__row", F.monotonically_increasing_id()), "op3-tied")
+        among = number_within(among, "__c_source", ["__row"], "__nth").drop("__row")
+        before = F.col("__tied.before") + F.col("__nth") * F.col("__size")
+        among = among.withColumn("__drawn", _taken(before, F.col("__size"), rest)).drop("__nth")
+        placed = placed.where(~tied).unionByName(among)
     return placed.select(
         *docs.columns,
         "__size",
         F.col("__s_source_size").alias("__source_size"),
         F.col("__s_target").alias("__target"),
-        (F.col("__s_whole") + F.coalesce(drawn_too, F.lit(False)).cast("int")).alias("__copies"),
+        (F.col("__s_whole") + F.col("__drawn").cast("int")).alias("__copies"),
     )
 
 
@@ -234,14 +267,13 @@ odds AS (
 parts AS (
     SELECT *, CASE WHEN inclusion >= 1 THEN 0.0::DOUBLE WHEN inclusion <= 0 THEN 1.0::DOUBLE ELSE q / (1 + q) END AS rank
     FROM odds),
-sums AS (SELECT source, rank, sum(size) AS words FROM parts GROUP BY source, rank),
 running AS (
-    SELECT source, rank, words, coalesce(sum(words) OVER (
-               PARTITION BY source ORDER BY rank ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
-    FROM sums)
-SELECT p.doc_id, p.size, p.source_size, p.target,
-       CAST(p.size * (p.whole + CASE WHEN p.rest > 0 AND r.before + r.words / 2 <= p.rest THEN 1 ELSE 0 END) AS BIGINT) AS taken
-FROM parts p JOIN running r ON p.source IS NOT DISTINCT FROM r.source AND p.rank = r.rank"""
+    SELECT *, coalesce(sum(size) OVER (
+               PARTITION BY source ORDER BY rank, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
+    FROM parts)
+SELECT doc_id, size, source_size, target,
+       CAST(size * (whole + CASE WHEN rest > 0 AND before + size / 2 <= rest THEN 1 ELSE 0 END) AS BIGINT) AS taken
+FROM running"""
 
 
 @register("op3_mix_sources", ORACLE_SQL)
