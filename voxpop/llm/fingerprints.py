@@ -1,9 +1,11 @@
 """Document fingerprints by winnowing, on DataFrame operations only.
 
-A text is cut into units: runs of characters other than blanks, long runs into
-pieces of ``UNIT_CHARS``. Each gram of ``k`` units has a polynomial hash; of every
+A text is cut into units: runs of characters other than blanks, and the single code
+points of runs longer than ``UNIT_CHARS``, so that where a run starts doesn't decide
+how the text inside it is cut. Each gram of ``k`` units has a polynomial hash; of every
 window of ``w`` grams the smallest hash is kept, the rightmost of equals, with
-its position. Two texts that share a run of ``w + k - 1`` units share a mark.
+its position. Two texts that share a run of ``w + k - 1`` units share a mark: that
+many short runs between blanks, or as many code points inside long runs.
 """
 
 from __future__ import annotations
@@ -17,6 +19,9 @@ from voxpop.llm.registry import register
 
 K, WINDOW = 5, 4
 UNIT_CHARS = 16
+_INK = r"[^\x20\x09-\x0D]"
+#: A whole run up to that length, else one code point.
+UNIT = rf"(?<!{_INK}){_INK}{{1,{UNIT_CHARS}}}(?!{_INK})|{_INK}"
 #: Hashes are taken modulo a prime below 2^31, so that products fit into a long.
 PRIME, BASE = 2**31 - 1, 1_000_003
 #: Positions take the low half of a packed (hash, position).
@@ -46,7 +51,7 @@ def winnow(df: DataFrame, text: Column, out: str, k: int = K, w: int = WINDOW) -
     A text of fewer than ``k`` units has one gram, all of it; one of fewer than
     ``w`` grams one window; a text without units, empty or null, no mark.
     """
-    units = F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(rf"[^\x20\x09-\x0D]{{1,{UNIT_CHARS}}}"), F.lit(0))
+    units = F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(UNIT), F.lit(0))
     df = df.withColumn("__units", units).withColumn(
         "__run", F.transform("__units", lambda u: F.pmod(F.xxhash64(u), F.lit(PRIME)))
     )
