@@ -148,14 +148,16 @@ def fit_language(docs: DataFrame, skip: int = 0, parts: int = 5) -> LanguageMode
     mine = docs.where(id_remainder(F.col("doc_id"), parts) != skip).select("doc_id", F.coalesce("text", F.lit("")).alias("text"), "lang")
     total, having = document_frequencies(mine)
     idf = np.log((1 + total) / (1 + having)) + 1
-    known = mine.where("lang is not null").select("doc_id", F.col("lang").alias("label"))
+    # Ids may repeat with other texts, so a language goes with the hash of its text.
+    known = mine.where("lang is not null").select("doc_id", F.xxhash64("text").alias("key"), F.col("lang").alias("label"))
     sample = labelled_sample(known, mine, SAMPLE_ROWS, SAMPLE_CHARS)
     return fit(sample["label"].tolist(), sample["text"].tolist(), idf)
 
 
 def identify(docs: DataFrame, model: LanguageModel, text_col: str = "text") -> DataFrame:
-    """All columns of ``docs`` and ``predicted`` (lang, score), a struct. Null
-    texts and texts without a letter are ``und`` with score 0, and so is every
+    """All columns of ``docs`` (one named ``predicted`` gives way) and ``predicted``
+    (lang, score), a struct, of each row by itself, repeated rows too. Texts are read
+    whole, however long; an empty table gives an empty result. Null texts and texts without a letter are ``und`` with score 0, and so is every
     text if there was no language to learn."""
     sent = docs.sparkSession.sparkContext.broadcast(model)  # features x languages, whatever the data
 

@@ -160,7 +160,8 @@ def fit_quality(docs: DataFrame, labels: DataFrame, skip: int = 2, parts: int =
 
 def score_texts(docs: DataFrame, model: SubwordModel, text_col: str = "text", out: str = "score") -> DataFrame:
     """All columns of ``docs`` (one named ``out`` gives way) and the score of the
-    whole text, 0 to 1; null counts as empty, which has a score as well."""
+    whole text, however long, 0 to 1; null counts as empty, which has a score as well.
+    Each row is scored by itself, repeated rows too; an empty table gives an empty result."""
     sent = docs.sparkSession.sparkContext.broadcast(model)  # a number a bucket, whatever the data
 
     @F.pandas_udf("double")
