@@ -196,7 +196,8 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length
     also repeated ones; equal pieces may swap places. Other columns aren't read; an
     empty table gives an empty result.
     """
-    pieces = save(pieces_of(docs, id_col, text_col, length), "op10-pieces")
+    # The row number tells equal pieces apart; fixed once it's written.
+    pieces = save(pieces_of(docs, id_col, text_col, length).withColumn("row", F.monotonically_increasing_id()), "op10-pieces")
     histogram = np.zeros(length + 1, np.int64)
     for r in pieces.groupBy("length").count().collect():  # at most ``length`` rows
         histogram[r["length"]] = r["count"]
@@ -214,7 +215,7 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length
                 offset[here] = rows[at, 2]
             yield pdf.drop(columns="number").assign(sequence_id=sequence, offset=offset)
 
-    numbered = number_within(pieces, "length", ["doc_id", "piece", "ids_crc32"], "number")
+    numbered = number_within(pieces, "length", ["doc_id", "piece", "ids_crc32", "row"], "number").drop("row")
     numbered = numbered.withColumn("doc_id", F.col("doc_id").cast("string"))
     packed = numbered.mapInPandas(
         each, "doc_id string, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"
