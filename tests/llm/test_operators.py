@@ -1,6 +1,7 @@
 """The other operators against plain Python, and their odd cases."""
 
 import math
+import re
 import zlib
 
 import numpy as np
@@ -11,6 +12,7 @@ from voxpop.llm import fingerprints as FP
 from voxpop.llm import language as LANG
 from voxpop.llm import packing as PACK
 from voxpop.llm import quality as Q
+from voxpop.llm import samples as SAMPLES
 from voxpop.llm import sharding as SH
 from voxpop.llm.html_extract import extract, extract_pages
 from voxpop.llm.mix_sources import mix, mixed_corpus, source_targets
@@ -73,6 +75,20 @@ def test_mix_comes_near_its_targets(make_docs):
         assert abs(r["taken"] - r["target"]) <= 60
 
 
+@pytest.mark.parametrize("same_id", [None, 7])
+def test_mix_takes_some_of_equal_rows(make_docs, same_id):
+    rng = np.random.default_rng(4)
+    # A source of equal rows alone, one with some, one without.
+    equal = [(same_id, "ten words of text that all the equal rows share", "en", s) for s in ["s0"] * 500 + ["s1"] * 300]
+    docs = make_docs([(i, prose(rng, int(rng.integers(1, 30))), "en", f"s{1 + i % 2}") for i in range(1600)] + equal)
+    rows = mix(docs, weights=(3, 3, 1)).select("source", "text", "__size", "__source_size", "__target", "__copies").toPandas()
+    assert len(rows) == 2400
+    for _, own in rows.groupby("source"):
+        assert abs((own["__size"] * own["__copies"]).sum() - own["__target"].iloc[0]) <= own["__size"].max()
+    copies = rows[rows["source"] == "s0"]["__copies"]
+    assert copies.max() - copies.min() == 1
+
+
 # -- fingerprints ------------------------------------------------------------
 
 
@@ -98,13 +114,19 @@ def marks_by_hand(run, k=FP.K, w=FP.WINDOW):
     return out
 
 
+def units_by_hand(text):
+    """Runs between blanks; those of more than 16 code points as code points."""
+    runs = re.findall(r"[^\x20\x09-\x0D]+", text or "")
+    return [unit for run in runs for unit in ([run] if len(run) <= 16 else run)]
+
+
 @pytest.mark.parametrize("k,w", [(5, 4), (4, 1), (3, 5), (1, 3)])
 def test_marks_by_hand(spark, make_docs, k, w):
     rng = np.random.default_rng(5)
     texts = [prose(rng, n) for n in (1, 2, 3, 4, 5, 6, 8, 9, 40, 300)] + ["a b " * 40, "x" * 100, "", None]
-    docs = make_docs([(i, t) for i, t in enumerate(texts)])
-    units = F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(r"[^\x20\x09-\x0D]{1,16}"), F.lit(0))
-    hashed = F.transform(units, lambda u: F.pmod(F.xxhash64(u), F.lit(FP.PRIME)))
+    texts += ["y" * 16 + " " + "z" * 17 + "\t" + "é𝒳語" * 9, "語" * 16 + "\n" + "語" * 17 + " end"]
+    docs = spark.createDataFrame([(t, units_by_hand(t)) for t in texts], "text string, units array<string>")
+    hashed = F.transform("units", lambda u: F.pmod(F.xxhash64(u), F.lit(FP.PRIME)))
     got = FP.winnow(docs.withColumn("run", hashed), F.col("text"), "marks", k, w)
     got = got.select("run", FP.mark_hashes(F.col("marks")).alias("h"), FP.mark_positions(F.col("marks")).alias("p"))
     for r in got.collect():
@@ -123,6 +145,16 @@ def test_shared_runs_share_a_mark(spark, make_docs):
     assert set.intersection(*rows)
 
 
+@pytest.mark.parametrize("shift", range(0, 20, 3))
+def test_shared_runs_without_blanks_share_a_mark_at_any_shift(spark, make_docs, shift):
+    rng = np.random.default_rng(16)
+    signs = lambda n: "".join(chr(0x4E00 + int(c)) for c in rng.integers(0, 5000, n))
+    shared = signs(FP.K + FP.WINDOW - 1)
+    docs = make_docs([(0, signs(40) + shared + signs(40)), (1, signs(40 + shift) + shared + signs(50))])
+    rows = [set(r[0]) for r in FP.winnow(docs, F.col("text"), "m").select(FP.mark_hashes(F.col("m"))).collect()]
+    assert set.intersection(*rows)
+
+
 def test_edits_by_hand(odd_docs, with_clashes, no_docs):
     order = lambda r: (r["doc_id"] is None, r["doc_id"] or 0, r["text"])
     rows = sorted(FP.compare_with_edits(with_clashes(odd_docs)).collect(), key=order)
@@ -513,3 +545,40 @@ def test_document_frequencies_count_every_text(make_docs):
     for t in texts:
         wanted[LANG.gram_counts(t or "")[0]] += 1
     assert total == 5 and (having == wanted).all()
+
+
+def test_sample_of_repeated_ids_keeps_each_text_with_its_label(make_docs):
+    docs = make_docs([(i, f"{lang} text {i}", lang, "s") for i in range(300) for lang in ("en", "fr")] + [(7, "en text 7", "en", "s")] * 300)
+    labelled = docs.select("doc_id", F.xxhash64("text").alias("key"), F.col("lang").alias("label"))
+    got = labelled_sample(labelled, docs, 400, 10**6)
+    assert len(got) == 400 and not got.duplicated().any()
+    assert all(t.startswith(label) for label, t in zip(got["label"], got["text"]))
+    assert got["label"].nunique() == 2
+    # Without the key a label goes to each text of its id.
+    both = labelled_sample(labelled.drop("key"), docs, 4000, 10**6)
+    assert len(both) == 1200
+
+
+def test_sample_ranks_a_label_of_many_tasks(make_docs, monkeypatch):
+    monkeypatch.setattr(SAMPLES, "TASKS_TOGETHER", 2)
+    docs = make_docs([(i, f"text {i}") for i in range(900)])
+    labelled = docs.select("doc_id", F.when(F.col("doc_id") % 300 == 0, "rare").otherwise("common").alias("label"))
+    wanted = labelled_sample(labelled, docs, 60, 10**6)
+    assert wanted["label"].value_counts().to_dict() == {"common": 57, "rare": 3}
+    assert labelled_sample(labelled.repartition(13), docs, 60, 10**6).equals(wanted)
+
+
+def test_sample_decides_on_lengths_before_texts(make_docs):
+    rows = 3000
+    docs = make_docs([(i, "w " * 40_000 if i % 30 else "w " * 50) for i in range(rows)])
+    got = labelled_sample(docs.select("doc_id", F.lit(1).alias("label")), docs, rows, 1_000_000)
+    lengths = got["text"].str.len()
+    assert lengths.sum() <= 1_000_000 and (lengths == 100).sum() == 100 and (lengths == 80_000).sum() == 12
+
+
+def test_packing_numbers_equal_rows_without_id(make_docs):
+    docs = make_docs([(None, "the same words in every row")] * 700 + [(i, "w " * (i % 90)) for i in range(700)])
+    rows = PACK.pack(docs).toPandas()
+    assert len(rows) == 1400
+    for _, own in rows.sort_values("offset").groupby("sequence_id"):
+        assert (own["offset"] == own["length"].cumsum() - own["length"]).all() and own["length"].sum() <= PACK.SEQUENCE
