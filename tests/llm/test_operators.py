@@ -582,3 +582,15 @@ def test_packing_numbers_equal_rows_without_id(make_docs):
     assert len(rows) == 1400
     for _, own in rows.sort_values("offset").groupby("sequence_id"):
         assert (own["offset"] == own["length"].cumsum() - own["length"]).all() and own["length"].sum() <= PACK.SEQUENCE
+
+
+def test_sample_sorts_few_rows_whatever_the_table(make_docs):
+    docs = make_docs([(i, "t") for i in range(3000)])
+    known = docs.select("doc_id", F.lit(1).alias("label"))
+    order = [F.xxhash64("doc_id"), F.col("doc_id")]
+    got = SAMPLES._first_by_hash(known, order[0], order, 200)
+    assert got.collect() == known.orderBy(*order).limit(200).collect()
+    # One hash for all: the bound can't tell them apart and is widened.
+    same = [F.xxhash64(F.lit(2)), F.col("doc_id")]
+    assert [r[0] for r in SAMPLES._first_by_hash(known, same[0], same, 200).collect()] == list(range(200))
+    assert SAMPLES._first_by_hash(known.limit(0), order[0], order, 200).count() == 0

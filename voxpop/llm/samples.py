@@ -33,6 +33,23 @@ def _first_of_each_label(known: DataFrame, order: list) -> DataFrame:
     return known.drop("__tasks")
 
 
+def _first_by_hash(known: DataFrame, draw: Column, order: list, rows: int) -> DataFrame:
+    """The first ``rows`` rows by ``order``, which begins with the hash ``draw``.
+
+    Hashes are even, so about 5/4 of ``rows`` lie below the bound that is set by the
+    number of rows, and only these are sorted; where fewer than ``rows`` do, the bound
+    is widened. Without it each task would send ``rows`` rows to the one that sorts.
+    """
+    total = known.count()
+    share = 1.25 * rows / max(total, 1)
+    while share < 1:
+        below = known.where(draw < F.lit(int((share - 0.5) * 2**64)).cast("long"))
+        if below.count() >= rows:
+            return below.orderBy(*order).limit(rows)
+        share *= 4
+    return known.orderBy(*order).limit(rows)
+
+
 def labelled_sample(labelled: DataFrame, docs: DataFrame, rows: int, chars: int) -> pd.DataFrame:
     """Up to ``rows`` pairs (label, text) of ``labelled`` (doc_id, label) and
     ``docs`` (doc_id, text), whole texts of at most ``chars`` characters together.
@@ -48,9 +65,10 @@ def labelled_sample(labelled: DataFrame, docs: DataFrame, rows: int, chars: int)
     """
     names = ["doc_id"] + ["key"] * ("key" in labelled.columns)
     known = labelled.where("doc_id is not null and label is not null").select(*names, "label").distinct()
+    known = save(known, "sample-labelled")
     order = [F.xxhash64(*names), *map(F.col, names), F.col("label")]
     of_each = _first_of_each_label(known, order[:-1]).withColumn("turn", F.lit(0))
-    hashed = known.orderBy(*order).limit(rows).withColumn("turn", F.lit(1))
+    hashed = _first_by_hash(known, order[0], order, rows).withColumn("turn", F.lit(1))
     few = of_each.unionByName(hashed).groupBy(*names, "label").agg(F.min("turn").alias("turn")).orderBy("turn", *order).limit(rows)
     few = save(few, "sample-few")  # at most ``rows`` rows, without texts
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
