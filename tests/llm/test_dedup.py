@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from voxpop.llm.exact_dedup import DigestIndex, exact_dedup, text_digest
 from voxpop.llm.line_dedup import LineRuns, dedup_lines
+from voxpop.llm.sorted_runs import file_order
 from voxpop.llm.simhash import GrayIndex, components, near_dedup, near_links, one_of_each_group, simhash, smallest_reachable
 
 
@@ -170,3 +171,64 @@ def test_one_of_each_group_with_repeated_and_null_ids(make_docs):
     docs = make_docs([(1, words("a")), (1, words("b")), (None, near), (None, near + " tail"), (None, words("c")), (5, words("d")), (5, words("d"))])
     kept = sorted((r["doc_id"] or 0, r["text"][0]) for r in one_of_each_group(docs).collect())
     assert kept == [(0, "c"), (0, "n"), (1, "a"), (1, "b"), (5, "d")]
+
+
+def run_plan(df):
+    """The physical plan without the plan of what is written elsewhere."""
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_runs_are_read_in_their_order(spark):
+    keyed = lambda a, b: spark.range(a, b).select(F.xxhash64("id").alias("h1"), F.col("id").alias("h2"), F.lit(a).cast("long").alias("owner"))
+    runs = LineRuns(spark, fanout=4, buckets=4)
+    for start in (0, 500):
+        runs.add(keyed(start, start + 1000))
+    with file_order(spark):
+        unseen = run_plan(runs.unseen(keyed(1000, 3000)))
+        merged = run_plan(runs.merged(runs.live()))
+    # Only the batch is shuffled and sorted; runs are merged without a shuffle.
+    assert (unseen.count("SortMergeJoin"), unseen.count("Exchange"), unseen.count("Sort [")) == (2, 1, 1)
+    assert merged.count("Bucketed: true") == 2 and "Exchange" not in merged
+    runs.close()
+
+
+def test_line_runs_reopen(spark, make_docs):
+    first = make_docs([(5, "a line of many words\nonly in the first"), (6, "a line of many words")])
+    later = make_docs([(1, "A line of many words\nsomething new here"), (2, "something new here\nshort"), (None, None)])
+    runs = LineRuns(spark, fanout=2, buckets=2)
+    dedup_lines(first, runs=runs, batches=2).count()
+    runs.close()
+    assert not [t for t in spark.catalog.listTables() if t.name in runs.live()]
+    again = LineRuns(spark, fanout=2, path=runs.path)
+    assert (again.levels, again.buckets) == (runs.levels, 2)
+    for _ in range(2):  # run again as after a failure
+        got = rows_of(dedup_lines(later, runs=again), "doc_id", "__n_dropped", "__kept")
+        assert got == [(1, 1, "something new here"), (2, 1, "short"), (None, 0, "")]
+    assert again.owners().count() == 3
+    assert dedup_lines(later.limit(0), runs=again).count() == 0
+
+
+def test_digest_index_reopens(spark, make_docs):
+    first = make_docs([(5, "one"), (6, "ONE"), (7, "two"), (None, "none")])
+    later = make_docs([(9, "One"), (8, "three"), (10, "three"), (10, "three"), (11, None)])
+    index = DigestIndex(spark, buckets=2)
+    assert [r[0] for r in rows_of(exact_dedup(first, index=index).where("kept"), "doc_id")] == [6, 7, None]
+    index.close()
+    again = DigestIndex(spark, path=index.path)
+    for _ in range(2):
+        got = rows_of(exact_dedup(later, index=again), "doc_id", "keep_id", "group_size", "kept")
+        assert got == sorted(
+            [(9, 6, 1, False), (8, 10, 3, False), (10, 10, 3, True), (10, 10, 3, False), (11, 11, 1, True)], key=repr
+        )
+    assert again.read().count() == 5
+    again.close()
+
+
+def test_half_written_runs_are_not_read(spark):
+    runs = LineRuns(spark, fanout=3, buckets=2)
+    lines = lambda a, b: spark.range(a, b).select(F.col("id").alias("h1"), F.col("id").alias("h2"), F.lit(a).cast("long").alias("owner"))
+    runs.add(lines(0, 3))
+    runs._write(lines(100, 103))  # a job lost before the manifest names its run
+    again = LineRuns(spark, fanout=3, path=runs.path)
+    again.add(lines(2, 5))
+    assert rows_of(again.owners(), "h1", "owner") == [(0, 0), (1, 0), (2, 0), (3, 2), (4, 2)]

@@ -1,89 +1,84 @@
 """Exact dedup over a persistent digest index.
 
-The index is a Parquet table bucketed and sorted by digest, one row a digest
-with the document that stays. New data is reduced to one candidate a digest,
+The index holds one row a digest with the document that stays, in runs that are
+bucketed and sorted by digest. New data is reduced to one candidate a digest,
 joined against the index by a sort-merge anti-join, and what is new appended.
 """
 
 from __future__ import annotations
 
-import hashlib
-
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import BinaryType
 
-from voxpop.llm.common import LOWER, UPPER, cut_points, documents, range_of, save, scratch_path, shuffle_width
+from voxpop.llm.common import LOWER, UPPER, cut_points, documents, lower_ascii, range_of, save, scratch_path, text_or_empty
 from voxpop.llm.registry import register
+from voxpop.llm.sorted_runs import SortedRuns, file_order
 
 
-@F.pandas_udf(BinaryType())
-def text_digest(text: pd.Series) -> pd.Series:
-    """SHA-256 of the UTF-8 text after lower-casing A-Z (``bytes.lower`` changes
-    no other byte); null counts as empty."""
-    return text.map(lambda t: hashlib.sha256((t or "").encode("utf-8", "replace").lower()).digest())
+def text_digest(col: str = "text") -> Column:
+    """SHA-256 of the UTF-8 text after lower-casing A-Z; null counts as empty."""
+    return F.unhex(F.sha2(lower_ascii(text_or_empty(col)), 256))
 
 
 class DigestIndex:
-    """Digests seen so far, in a table bucketed and sorted by digest.
-
-    The files lie under ``spark.checkpoint.dir``; ``name`` is the table's name
-    in the session's catalog. Every ``add`` appends one sorted file a bucket.
+    """Digests seen so far. A second object, also in another session, opens the index
+    that lies at ``path``; without a path a new one is made under ``spark.checkpoint.dir``.
     """
 
-    def __init__(self, spark: SparkSession, name: str | None = None, buckets: int | None = None):
-        self.spark = spark
-        self.path = scratch_path(spark, "digests")
-        self.name = name or f"digest_index_{self.path.rsplit('-', 1)[1]}"
-        self.buckets = buckets or shuffle_width(spark)
+    def __init__(self, spark: SparkSession, path: str | None = None, buckets: int = 0, fanout: int = 8):
+        self.runs = SortedRuns(spark, path or scratch_path(spark, "digests"), {"digest": "binary"}, "keep_id", fanout, buckets)
+
+    @property
+    def path(self) -> str:
+        return self.runs.path
 
-    def read(self) -> DataFrame | None:
-        return self.spark.table(self.name) if self.spark.catalog.tableExists(self.name) else None
+    def read(self) -> DataFrame:
+        return self.runs.files()
 
     def add(self, batch: DataFrame) -> None:
         """Store the digests of ``batch`` (id, digest) that the index lacks, each
         with the largest id that carries it in this batch."""
-        new = batch.groupBy("digest").agg(F.max("id").alias("keep_id"))
-        seen = self.read()
-        if seen is not None:
-            new = new.hint("merge").join(seen.select("digest"), "digest", "left_anti")
-        (
-            new.repartition(self.buckets, "digest")
-            .write.mode("append")
-            .bucketBy(self.buckets, "digest")
-            .sortBy("digest")
-            .option("path", self.path)
-            .option("compression", "none")
-            .format("parquet")
-            .saveAsTable(self.name)
-        )
-
-
-def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", batches: int = 2) -> DataFrame:
+        self.runs.add(batch.groupBy("digest").agg(F.max("id").alias("keep_id")))
+
+    def close(self) -> None:
+        """Drop the session's names of the index; its files stay."""
+        self.runs.close()
+
+
+def exact_dedup(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", batches: int = 2, index: DigestIndex | None = None
+) -> DataFrame:
     """One row a row of ``docs``: doc_id, keep_id, group_size, kept, text_sha256.
 
     The documents come to the index in ``batches`` of falling id, so the first
-    to bring a digest has its largest id. Null texts count as empty. Null ids
-    sort below all others; ``keep_id`` is null where a group has no other. Of
-    rows equal in id and text one is kept. Other columns aren't read; an empty
-    table gives an empty result.
+    to bring a digest has its largest id. Null texts count as empty, texts may be of
+    any length. Null ids sort below all others; ``keep_id`` is null where a group has
+    no other. Of rows equal in id and text one is kept. Other columns aren't read; an
+    empty table gives an empty result.
+
+    With an ``index`` of earlier tables, a digest that it holds keeps its ``keep_id``
+    and no other row stays; new digests are appended. ``group_size`` counts rows of
+    ``docs`` alone. A row equal in id and text to the one held is that row, so a job
+    that is run again after a failure gives the same result.
     """
     spark = docs.sparkSession
     # Equal rows are counted here, so that one of them can be kept; digests don't
     # compress, and doing without spares each writer its buffers outside the heap.
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), text_digest(F.col(text_col)).alias("digest"))
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), text_digest(text_col).alias("digest"))
     counted = rows.groupBy("id", "digest").agg(F.count(F.lit(1)).cast("int").alias("copies"))
     digests = save(counted, "op8-digests", compression="none")
     cuts = cut_points(digests, "id", batches)
     falling = F.when(F.col("id").isNull(), F.lit(-1)).otherwise(range_of(F.col("id"), cuts))
-    index = DigestIndex(spark)
+    used = index or DigestIndex(spark)
     for at in range(len(cuts), -2, -1):
-        index.add(digests.where(falling == at))
+        used.add(digests.where(falling == at))
     # Counts and index rows are one a digest; written, they can be joined to a
     # digest that a third of all rows share, which Spark then splits.
     sizes = digests.groupBy("digest").agg(F.sum("copies").alias("group_size"))
-    groups = save(sizes.join(index.read(), "digest"), "op8-groups", compression="none")
+    with file_order(spark):
+        groups = save(used.runs.found(sizes), "op8-groups", compression="none")
+    if index is None:
+        used.close()
     copies = digests.join(groups, "digest")
     return copies.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(
         F.col("id").alias("doc_id"),

@@ -3,13 +3,12 @@
 The runs are Parquet tables, bucketed and sorted by line hash, each line with
 the document that owns it. A batch's lines are merge-anti-joined with every run
 and what is new becomes a run of level 0; a level that has ``fanout`` runs is
-merged into one run of the next. All steps are DataFrame operations.
+merged into one run of the next. Runs can be kept for later tables. All steps are
+DataFrame operations.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,65 +23,27 @@ from voxpop.llm.common import (
     range_of,
     save,
     scratch_path,
-    shuffle_width,
     text_or_empty,
 )
 from voxpop.llm.registry import register
+from voxpop.llm.sorted_runs import SortedRuns, file_order
 
 KEY = ["h1", "h2"]
 
 
-@dataclass
-class LineRuns:
-    """Levelled runs of (h1, h2, owner); ``levels[i]`` lists the tables of level i."""
-
-    spark: SparkSession
-    fanout: int = 3
-    buckets: int = 0
-    levels: list[list[str]] = field(default_factory=list)
-    paths: dict[str, str] = field(default_factory=dict)
-
-    def __post_init__(self):
-        self.buckets = self.buckets or shuffle_width(self.spark)
-
-    def _write(self, rows: DataFrame) -> str:
-        path = scratch_path(self.spark, "line-run")
-        name = f"line_run_{path.rsplit('-', 1)[1]}"
-        (
-            rows.repartition(self.buckets, *KEY)
-            .write.bucketBy(self.buckets, *KEY)
-            .sortBy(*KEY)
-            .option("path", path)
-            .format("parquet")
-            .saveAsTable(name)
-        )
-        self.paths[name] = path
-        return name
+class LineRuns(SortedRuns):
+    """Levelled runs of (h1, h2, owner); ``levels[i]`` lists the runs of level i. A
+    second object, also in another session, opens the runs that lie at ``path``."""
+
+    def __init__(self, spark: SparkSession, fanout: int = 3, buckets: int = 0, path: str | None = None):
+        super().__init__(spark, path or scratch_path(spark, "line-runs"), dict.fromkeys(KEY, "long"), "owner", fanout, buckets)
 
     def add(self, lines: DataFrame) -> None:
         """Take the lines (h1, h2, owner) of a batch that no run holds."""
-        new = lines.groupBy(*KEY).agg(F.min("owner").alias("owner"))
-        for run in [r for level in self.levels for r in level]:
-            new = new.hint("merge").join(self.spark.table(run).select(*KEY), KEY, "left_anti")
-        self._put(0, self._write(new))
-
-    def _put(self, level: int, run: str) -> None:
-        while len(self.levels) <= level:
-            self.levels.append([])
-        self.levels[level].append(run)
-        if len(self.levels[level]) >= self.fanout:
-            # Runs share no line, so merging them is a union, bucketed and sorted anew.
-            merged = self.spark.table(self.levels[level][0])
-            for other in self.levels[level][1:]:
-                merged = merged.unionByName(self.spark.table(other))
-            self.levels[level] = []
-            self._put(level + 1, self._write(merged))
+        super().add(lines.groupBy(*KEY).agg(F.min("owner").alias("owner")))
 
     def owners(self) -> DataFrame:
-        """All runs as plain files, so that a join with them shuffles both sides
-        and Spark can split a line which very many documents hold."""
-        files = [self.paths[r] for level in self.levels for r in level]
-        return self.spark.read.schema("h1 long, h2 long, owner long").parquet(*files)
+        return self.files()
 
 
 def line_key(line: Column) -> Column:
@@ -102,15 +63,20 @@ def dedup_lines(
     min_chars: int = 10,
     batches: int = 4,
     fanout: int = 3,
+    runs: LineRuns | None = None,
 ) -> DataFrame:
     """``docs`` with __n_lines, __n_dropped and __kept (the lines that stay).
 
     A key of at least ``min_chars`` code points that several documents hold
     stays in the smallest id only; repeats inside that document stay. Batches
     are taken by rising id, so the first owner of a line is the smallest.
-    A null or empty text is one empty line. Rows that share an id are one
-    document; null ids are one document that sorts after all others. All
-    columns of ``docs`` are kept; an empty table gives an empty result.
+    A null or empty text is one empty line; texts may be of any length. Rows that
+    share an id are one document; null ids are one document that sorts after all
+    others. All columns of ``docs`` are kept; an empty table gives an empty result.
+
+    With ``runs`` of earlier tables, a line that they hold stays only in the document
+    that owns it there, and new lines are added. A job that is run again after a
+    failure gives the same result.
     """
     spark = docs.sparkSession
     lines = F.split(text_or_empty(text_col), "\n")
@@ -126,10 +92,17 @@ def dedup_lines(
         "op1-lines",
     )
     cuts = cut_points(docs.select(F.col(id_col).cast("long").alias("id")), "id", batches)
-    runs = LineRuns(spark, fanout)
+    used = runs or LineRuns(spark, fanout)
     for at in range(len(cuts) + 1):
-        runs.add(hashed.where(range_of(F.col("owner"), cuts) == at))
-    owners = runs.owners().withColumnRenamed("owner", "first")
+        used.add(hashed.where(range_of(F.col("owner"), cuts) == at))
+    if runs is None:
+        owners = used.owners()
+        used.close()
+    else:
+        # Of runs of earlier tables only what these documents hold is shuffled.
+        with file_order(spark):
+            owners = save(used.found(hashed.select(*KEY).distinct()), "op1-found")
+    owners = owners.withColumnRenamed("owner", "first")
     lost = (
         hashed.join(owners, KEY)
         .where(F.col("owner") != F.col("first"))
