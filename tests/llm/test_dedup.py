@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from voxpop.llm.exact_dedup import DigestIndex, exact_dedup, text_digest
 from voxpop.llm.line_dedup import LineRuns, dedup_lines
 from voxpop.llm.sorted_runs import file_order
-from voxpop.llm.simhash import GrayIndex, components, near_dedup, near_links, one_of_each_group, simhash, smallest_reachable
+from voxpop.llm.simhash import GrayIndex, block_count, block_masks, components, near_dedup, near_links, one_of_each_group, simhash, smallest_reachable
 
 
 def ascii_lower(text):
@@ -147,6 +147,35 @@ def test_links_connect_what_brute_force_connects(spark, monkeypatch):
         assert {roots.get(m, m) for m in members} == {min(members)}
 
 
+def test_more_blocks_find_the_same_components(spark):
+    codes = crowd(11, 300, 3)
+    nodes = spark.createDataFrame([(int(x),) for x in codes.astype(np.int64)], "fp long")
+    groups = {}
+    for code, i in zip(codes.astype(np.int64).tolist(), components_by_hand(codes, 4)):
+        groups.setdefault(i, set()).add(code)
+    for blocks in (7, 8):
+        near = [(r["x"], r["y"]) for r in near_links(nodes, 4, blocks).collect()]
+        joined = {m: {m} for g in groups.values() for m in g}
+        for x, y in near:
+            assert bin((x ^ y) & (2**64 - 1)).count("1") <= 4 or any({x, y} <= g for g in groups.values())
+            if joined[x] is not joined[y]:
+                joined[x] |= joined[y]
+                for m in joined[y]:
+                    joined[m] = joined[x]
+        assert all(joined[m] == g for g in groups.values() for m in g)
+
+
+def test_blocks_grow_with_the_table():
+    assert [block_count(n, 4) for n in (0, 10**6, 2**30, 2**30 + 1, 5 * 10**10, 10**12)] == [6, 6, 6, 7, 7, 8]
+    for blocks, masks in ((6, 15), (7, 35), (8, 70)):
+        found = block_masks(4, blocks)
+        assert len(found) == masks and min(m.bit_count() for m in found) >= 64 * (blocks - 4) // blocks - 1
+        # Any four flipped bits leave one choice of blocks untouched.
+        for seed in range(200):
+            flips = sum(1 << int(b) for b in np.random.default_rng(seed).choice(64, 4, replace=False))
+            assert any(not m & flips for m in found)
+
+
 def test_smallest_reachable_follows_chains():
     a, b = np.array([4, 3, 2, 9]), np.array([5, 4, 3, 8])
     assert smallest_reachable(10, iter([(a, b)])).tolist() == [0, 1, 2, 2, 2, 2, 6, 7, 8, 8]

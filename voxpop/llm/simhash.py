@@ -1,16 +1,19 @@
 """SimHash near-dedup with a Gray-order hierarchical index.
 
 Fingerprints within ``max_bits`` differing bits are linked; linked documents form
-components. Two fingerprints that close agree on at least two of ``max_bits + 2``
-bit blocks, so they meet under one of the block pairs; that pair is the root of
-an index: the fingerprints below it are sorted by Gray rank, runs of them share
-masked bit patterns that go into upper nodes, and a search adds up the differing
-bits from node to node and drops a whole run once they exceed the limit.
+components. Two fingerprints that close agree on all but ``max_bits`` of the bit
+blocks, so they meet under one choice of ``blocks - max_bits`` blocks (of six blocks, a
+pair). The blocks' pattern is the root of an index: the fingerprints below it are sorted
+by Gray rank, runs of them share masked bit patterns that go into upper nodes, and a
+search adds up the differing bits from node to node and drops a whole run once they
+exceed the limit. The more fingerprints there are, the more blocks are shared, so that
+chance meetings below a root don't grow with the table.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 from itertools import combinations
 
 import numpy as np
@@ -25,8 +28,8 @@ from voxpop.llm.registry import register
 SHINGLE, MAX_BITS, SEED = 4, 4, 42
 #: Children of an index node.
 FAN = 16
-#: Fingerprints under one block pair that are searched together; of more, every
-#: two parts of about this many are.
+#: Fingerprints under one root that are searched together; of more, every two parts of
+#: about this many are. Random fingerprints stay below half of it (see block_count).
 TILE = 1024
 #: Frontier pairs (fingerprint, node) that a search holds at once.
 FRONTIER = 1 << 20
@@ -84,11 +87,20 @@ def gray_rank(fp: Column) -> Column:
     return rank
 
 
-def block_pairs(max_bits: int) -> list[int]:
-    """Masks of all pairs of ``max_bits + 2`` even bit blocks."""
-    edges = [64 * i // (max_bits + 2) for i in range(max_bits + 3)]
+def block_count(fingerprints: int, max_bits: int) -> int:
+    """Number of even bit blocks so that random fingerprints have at most half a tile
+    below a root: six up to some 2^30 of them, seven up to 2^36 (for four bits)."""
+    blocks = max_bits + 2
+    while fingerprints > TILE / 2 * 2.0 ** (64 * (blocks - max_bits) // blocks) and blocks < 2 * max_bits + 2:
+        blocks += 1
+    return blocks
+
+
+def block_masks(max_bits: int, blocks: int) -> list[int]:
+    """Masks of all choices of ``blocks - max_bits`` blocks."""
+    edges = [64 * i // blocks for i in range(blocks + 1)]
     masks = [(1 << b) - (1 << a) for a, b in zip(edges, edges[1:])]
-    return [a | b for a, b in combinations(masks, 2)]
+    return [reduce(int.__or__, chosen) for chosen in combinations(masks, blocks - max_bits)]
 
 
 def _signed(mask: int) -> int:
@@ -227,16 +239,20 @@ def _linked(max_bits: int):
     return each
 
 
-def near_links(nodes: DataFrame, max_bits: int) -> DataFrame:
+def near_links(nodes: DataFrame, max_bits: int, blocks: int | None = None) -> DataFrame:
     """Links (x < y) between fingerprints, enough to connect all that reach each
     other in steps of at most ``max_bits`` bits. ``nodes`` has distinct ``fp``."""
-    masks = [_signed(m) for m in block_pairs(max_bits)]
+    blocks = blocks or block_count(nodes.count(), max_bits)
+    masks = [_signed(m) for m in block_masks(max_bits, blocks)]
     keyed = nodes.select(
         "fp", F.posexplode(F.array(*[F.col("fp").bitwiseAND(F.lit(m)) for m in masks])).alias("pair", "bits")
     )
-    # One row a block pair and pattern, made map-side first; single ones link nothing.
-    crowds = save(keyed.groupBy("pair", "bits").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "op9-crowds")
-    crowds = crowds.select(F.col("pair").alias("p"), F.col("bits").alias("k"), F.ceil(F.col("n") / TILE).cast("int").alias("tiles"))
+    # One row a root, made map-side first. Single fingerprints link nothing, two are the
+    # least and the largest; only what is below roots of three or more is moved again.
+    roots = keyed.groupBy("pair", "bits").agg(F.count(F.lit(1)).alias("n"), F.min("fp").alias("x"), F.max("fp").alias("y"))
+    roots = save(roots.where((F.col("n") > 2) | (F.bit_count(F.col("x").bitwiseXOR(F.col("y"))) <= max_bits)).where("n > 1"), "op9-roots")
+    twos = roots.where("n = 2").select("x", "y")
+    crowds = roots.where("n > 2").select(F.col("pair").alias("p"), F.col("bits").alias("k"), F.ceil(F.col("n") / TILE).cast("int").alias("tiles"))
     met = keyed.join(crowds, (F.col("pair") == F.col("p")) & (F.col("bits") == F.col("k")))
     mine = F.pmod(F.xxhash64("fp"), F.col("tiles")).cast("int")
     tiled = met.withColumn("mine", mine).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
@@ -244,7 +260,7 @@ def near_links(nodes: DataFrame, max_bits: int) -> DataFrame:
         "pair", "bits", F.least("mine", "other").alias("a"), F.greatest("mine", "other").alias("b"), "fp", gray_rank(F.col("fp")).alias("gray")
     )
     grouped = grouped.repartition("pair", "bits", "a", "b").sortWithinPartitions("pair", "bits", "a", "b", "gray")
-    return grouped.mapInPandas(_linked(max_bits), "x long, y long").distinct()
+    return grouped.mapInPandas(_linked(max_bits), "x long, y long").unionByName(twos).distinct()
 
 
 # -- components --------------------------------------------------------------
