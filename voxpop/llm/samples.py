@@ -33,7 +33,7 @@ def _first_of_each_label(known: DataFrame, order: list) -> DataFrame:
     return known.drop("__tasks")
 
 
-def _first_by_hash(known: DataFrame, draw: Column, order: list, rows: int) -> DataFrame:
+def first_by_hash(known: DataFrame, draw: Column, order: list, rows: int) -> DataFrame:
     """The first ``rows`` rows by ``order``, which begins with the hash ``draw``.
 
     Hashes are even, so about 5/4 of ``rows`` lie below the bound that is set by the
@@ -68,7 +68,7 @@ def labelled_sample(labelled: DataFrame, docs: DataFrame, rows: int, chars: int)
     known = save(known, "sample-labelled")
     order = [F.xxhash64(*names), *map(F.col, names), F.col("label")]
     of_each = _first_of_each_label(known, order[:-1]).withColumn("turn", F.lit(0))
-    hashed = _first_by_hash(known, order[0], order, rows).withColumn("turn", F.lit(1))
+    hashed = first_by_hash(known, order[0], order, rows).withColumn("turn", F.lit(1))
     few = of_each.unionByName(hashed).groupBy(*names, "label").agg(F.min("turn").alias("turn")).orderBy("turn", *order).limit(rows)
     few = save(few, "sample-few")  # at most ``rows`` rows, without texts
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))

@@ -24,6 +24,7 @@ from pyspark.sql.window import Window
 
 from voxpop.llm.common import save
 from voxpop.llm.registry import register
+from voxpop.llm.samples import first_by_hash
 
 NEAREST = 5
 EVERY = 50
@@ -78,7 +79,7 @@ def fit_centres(sample: np.ndarray, lists: int, rounds: int = 12) -> np.ndarray:
     rng = np.random.default_rng(SEED)
     centres = sample[rng.choice(len(sample), lists, replace=False)]
     for _ in range(rounds):
-        near = np.argmax(sample @ centres.T, axis=1)
+        near = nearest_centre(sample, centres)
         sums = np.zeros_like(centres)
         np.add.at(sums, near, sample)
         norm = np.sqrt((sums**2).sum(axis=1))
@@ -86,6 +87,13 @@ def fit_centres(sample: np.ndarray, lists: int, rounds: int = 12) -> np.ndarray:
     return centres
 
 
+def nearest_centre(unit: np.ndarray, centres: np.ndarray) -> np.ndarray:
+    """The number of each row's nearest centre; so many rows at a time that what is
+    held beside them does not grow with their number."""
+    parts = [np.argmax(unit[s : s + CHUNK] @ centres.T, axis=1) for s in range(0, len(unit), CHUNK)]
+    return np.concatenate(parts) if parts else np.zeros(0, np.int64)
+
+
 def survivors(rows: np.ndarray, queries: np.ndarray, beat: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Pairs (query, row) of rotated unit vectors that no test drops: block of columns
     by block of columns, a pair goes once its partial distance says that the whole one
@@ -164,9 +172,14 @@ def nearest(
     return out
 
 
-def sampled(vectors: DataFrame, most: int) -> pd.DataFrame:
-    """Up to ``most`` rows, by their vectors' hash."""
-    return vectors.orderBy(F.xxhash64("vector"), "vector").limit(most).toPandas()
+def sampled(vectors: DataFrame, dim: int, most: int) -> tuple[pd.DataFrame, np.ndarray]:
+    """Up to ``most`` rows, by their vectors' hash: the other columns, and the vectors as
+    a matrix. Tasks sort only what lies below a bound of the hash, and the rows come as
+    Arrow batches, so that the driver holds the numbers once and no object for each."""
+    order = [F.xxhash64("vector"), F.col("vector")]
+    got = first_by_hash(vectors, order[0], order, most).toArrow()
+    numbers = got.column("vector").combine_chunks().flatten().to_numpy(zero_copy_only=False)
+    return got.drop_columns(["vector"]).to_pandas(), numbers.reshape(-1, dim)
 
 
 def lists_to_scan(index: DataFrame, trials: np.ndarray, centres: np.ndarray, most: int, recall: float) -> int:
@@ -203,10 +216,10 @@ def search(table: DataFrame, dim: int, every: int, most: int, recall: float) ->
     lists = max(1, min(MOST_LISTS, round(n / PER_LIST)))
     first = F.col("members")[0]
     held = classes.select("class", "vector", first["id"].isNull().cast("int").alias("no_id"), F.coalesce(first["id"], F.lit(0)).alias("id"))
-    sample = sampled(held, max(lists, min(FIT_PER_LIST * lists, FIT_NUMBERS // dim)))
-    centres = fit_centres(turned(chunk_rows(sample["vector"])), min(lists, len(sample)))
+    sample, vectors = sampled(held, dim, max(lists, min(FIT_PER_LIST * lists, FIT_NUMBERS // dim)))
+    centres = fit_centres(turned(vectors), min(lists, len(sample)))
     seeds = sample.iloc[:SEEDS]
-    seeds_unit = unit_rows(seeds["vector"])
+    seeds_unit = vectors[:SEEDS] / lengths(vectors[:SEEDS])[:, None]
     # Lists whose centres are near each other stand on one shelf.
     shelf_centres = fit_centres(centres, max(1, len(centres) // SHELF))
     shelf_of_list = np.argmax(centres @ shelf_centres.T, axis=1)
@@ -215,7 +228,7 @@ def search(table: DataFrame, dim: int, every: int, most: int, recall: float) ->
     def listed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             if len(pdf):
-                yield pdf.assign(list=np.argmax(turned(chunk_rows(pdf["vector"])) @ centres.T, axis=1).astype(np.int32))
+                yield pdf.assign(list=nearest_centre(turned(chunk_rows(pdf["vector"])), centres).astype(np.int32))
 
     index = save(held.mapInPandas(listed, "class long, vector array<double>, no_id int, id long, list int"), "op13-lists", "none")
     sizes = np.zeros(len(centres), np.int64)
@@ -225,13 +238,11 @@ def search(table: DataFrame, dim: int, every: int, most: int, recall: float) ->
     # -- queries: distinct vectors, sent to the shelves of the nearest lists --------
     asked = table.where(F.col("id") % every == 0).select("id", "row", "vector")
     questions = save(classes.join(asked.select("vector").distinct(), "vector", "left_semi").select("class", "vector"), "op13-questions", "none")
-    trials = sampled(questions, TRIALS)["vector"]
-    probes = lists_to_scan(index, turned(chunk_rows(trials)), centres, most, recall) if len(trials) else 1
+    _, trials = sampled(questions, dim, TRIALS)
+    probes = lists_to_scan(index, turned(trials), centres, most, recall) if len(trials) else 1
 
     def probed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            if not len(pdf):
-                continue
+        for pdf in (some.iloc[s : s + CHUNK] for some in batches for s in range(0, len(some), CHUNK)):
             unit = turned(chunk_rows(pdf["vector"]))
             near = np.argsort(-(unit @ centres.T), axis=1, kind="stable")
             # So many lists, or more until they hold enough classes for a result.
