@@ -21,3 +21,10 @@ def test_centres_are_fitted_in_pieces():
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert peak < 100e6  # all distances at once take 320 MB
+
+
+
+def test_vocabulary_beyond_the_old_bound(spark):
+    grams = 1 << 18
+    df = spark.range(1).select(F.transform(F.sequence(F.lit(0), F.lit(grams)), lambda i: i.cast("string")).alias("grams"))
+    assert len(FE.binary_vectorizer(df, min_df=1.0).vocabulary) == grams + 1
