@@ -28,3 +28,19 @@ def test_vocabulary_beyond_the_old_bound(spark):
     grams = 1 << 18
     df = spark.range(1).select(F.transform(F.sequence(F.lit(0), F.lit(grams)), lambda i: i.cast("string")).alias("grams"))
     assert len(FE.binary_vectorizer(df, min_df=1.0).vocabulary) == grams + 1
+
+
+
+def test_svd_basis_has_a_row_a_text(spark, monkeypatch):
+    """What each round writes follows the rows, not the far more columns."""
+    written = {}
+    keep = FA.materialize
+    monkeypatch.setattr(FA, "materialize", lambda df, name, *a, **b: written.setdefault(name, keep(df, name, *a, **b)) if name == "svd-basis" else keep(df, name, *a, **b))
+    monkeypatch.setattr(FA, "GROUP", 100)
+    a = np.random.default_rng(5).standard_normal((6, 60))
+    entries = spark.createDataFrame([(r, c, float(a[r, c])) for r in range(6) for c in range(60)], "row long, idx int, weight double")
+    got = FA.truncated_svd(entries, entries.select("idx").distinct(), 3)
+    assert got.values == pytest.approx(np.linalg.svd(a)[1][:3], rel=1e-9)
+    assert written["svd-basis"].count() == 6
+    axes = np.array([r.axes for r in got.axes.orderBy("idx").collect()])
+    assert np.allclose(a.T @ (a @ axes), axes * np.array(got.values) ** 2)
