@@ -44,3 +44,14 @@ def test_svd_basis_has_a_row_a_text(spark, monkeypatch):
     assert written["svd-basis"].count() == 6
     axes = np.array([r.axes for r in got.axes.orderBy("idx").collect()])
     assert np.allclose(a.T @ (a @ axes), axes * np.array(got.values) ** 2)
+
+
+
+def test_labelled_rows_a_task_are_bounded(spark):
+    from voxpop.plans import train
+
+    n = 9 * train.LABELLED_ROWS if hasattr(train, "LABELLED_ROWS") else 20_000
+    ids = spark.range(n).select(F.col("id").cast("string").alias("id"))
+    labels = ids.select("id", F.lit(1).alias("dem"), F.lit(0).alias("gop"), F.lit(1).alias("djt"))
+    grams = train.labelled_grams_from(labels, ids.select("id", F.lit("a b").alias("body")))
+    assert grams.rdd.getNumPartitions() > train.LABELLED_PARTS

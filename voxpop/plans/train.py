@@ -28,15 +28,17 @@ MODELS_KEPT = 4
 _FITTED: dict[tuple, PipelineModel] = {}
 
 
-#: Tasks that clean the labelled rows and train on them. These are hand-made and few, but
-#: may lie in one file; raise it for label sets of millions.
+#: Tasks that clean the labelled rows and train on them, at least, as few rows may lie in
+#: one file; and labels a task, so that what a task holds does not grow with their number.
 LABELLED_PARTS = 8
+LABELLED_ROWS = 2048
 
 
 def labelled_grams_from(labels: DataFrame, comments: DataFrame, parts: int = LABELLED_PARTS) -> DataFrame:
     """(id, grams, dem, gop, djt, positive, negative) for labelled comments, dealt by
     id and sorted, so that folds and fits are the same on every run."""
     joined = J.label_join(labels, comments).filter(F.col("body").isNotNull())
+    parts = max(parts, -(-labels.count() // LABELLED_ROWS))
     dealt = joined.select("id", "body", "dem", "gop", "djt").repartition(parts, "id")
     grams = T.with_gram_list(dealt.sortWithinPartitions("id", "dem", "gop", "djt", "body"), "body").drop("body")
     return P.label_targets(grams)
