@@ -55,3 +55,19 @@ def test_labelled_rows_a_task_are_bounded(spark):
     labels = ids.select("id", F.lit(1).alias("dem"), F.lit(0).alias("gop"), F.lit(1).alias("djt"))
     grams = train.labelled_grams_from(labels, ids.select("id", F.lit("a b").alias("body")))
     assert grams.rdd.getNumPartitions() > train.LABELLED_PARTS
+
+
+
+def test_tfidf_counts_need_no_shuffle_of_their_own(spark, monkeypatch):
+    plans = []
+    monkeypatch.setattr(FE, "materialize", lambda df, name: plans.append(df) or df)
+    df = spark.createDataFrame([("1", ["a", "b"]), ("2", ["a"])], "id string, grams array<string>").repartition(4, "id")
+    FE.tfidf_weights(df, min_df=1.0)
+    assert plans[0]._jdf.queryExecution().sparkPlan().toString() and plans[0]._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+
+
+
+def test_vectors_are_written_without_grams(spark):
+    df = spark.createDataFrame([("1", ["a", "b"]), ("2", ["a"])], "id string, grams array<string>")
+    assert FE.binary_vectors(df, min_df=1)[1].columns == ["id", "features"]
+    assert FE.tfidf_vectors(df, min_df=1)[1].columns == ["id", "tfidf"]
