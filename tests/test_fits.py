@@ -6,6 +6,8 @@ from pyspark.ml.linalg import Vectors
 
 from voxpop.operators import fits
 from voxpop.operators import models as M
+from voxpop.plans import train
+from voxpop.session import drop_table, materialize, table_kept
 
 
 def test_fits_of_tables_equal_spark_ml(spark, monkeypatch):
@@ -40,3 +42,29 @@ def test_sentiment_weights_stay_in_a_table(spark):
     ml = M.PipelineModel(stages=model.stages)
     ours, theirs = (sorted(((r.id or "", r.pos, r.neg, round(r.pos_p1, 9), round(r.neg_p1, 9)) for r in M.score(m, df).collect())) for m in (model, ml))
     assert ours == theirs and len(ours) == 82
+
+
+def _stub(spark):
+    table = materialize(spark.createDataFrame([("a", 0, [1.0, -1.0], [1.0, -1.0])], "gram string, idx int, weights array<double>, fold_weights array<double>"), "train-weights")
+    return M.SentimentModel(table, ("pos", "neg"), [0.0, 0.0], [0.0, 0.0], 1, {}, {})
+
+
+def test_a_model_whose_table_is_gone_is_fitted_again(spark, monkeypatch):
+    monkeypatch.setattr(train, "_FITTED", {})
+    monkeypatch.setattr(train, "table_version", lambda *_: ())
+    monkeypatch.setattr(train, "labelled_grams", lambda *_: None)
+    monkeypatch.setattr(M, "train_sentiment_models", lambda *_, **__: _stub(spark))
+    first = train.fitted_models(spark, "any")
+    assert train.fitted_models(spark, "any") is first and table_kept(first.table)
+    drop_table(first.table)
+    again = train.fitted_models(spark, "any")
+    assert again is not first and again.table.count() == 1
+
+
+def test_the_held_out_half_is_scored_once(spark, monkeypatch):
+    rows = spark.createDataFrame([(str(i), ["a", "b"] if i % 2 else [], i % 2, 0) for i in range(40)], "id string, grams array<string>, positive int, negative int")
+    monkeypatch.setattr(train, "labelled_grams", lambda *_: rows)
+    held = train.held_out_predictions(spark, "any", model=_stub(spark))
+    plan = held._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and "Aggregate" not in plan
+    assert sorted((r.id, r.pos_p1 > 0.7) for r in held.collect()) == sorted((r.id, r.positive == 1) for r in M.split_labelled(rows)[1].collect())
