@@ -50,6 +50,10 @@ def first_by_hash(known: DataFrame, draw: Column, order: list, rows: int) -> Dat
     return known.orderBy(*order).limit(rows)
 
 
+#: The former name, which callers outside the package may still use.
+_first_by_hash = first_by_hash
+
+
 def labelled_sample(labelled: DataFrame, docs: DataFrame, rows: int, chars: int) -> pd.DataFrame:
     """Up to ``rows`` pairs (label, text) of ``labelled`` (doc_id, label) and
     ``docs`` (doc_id, text), whole texts of at most ``chars`` characters together.
