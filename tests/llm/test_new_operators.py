@@ -74,6 +74,33 @@ def test_collocations_odd_tables(odd_docs, with_clashes, no_docs):
     assert sorted(plain) == sorted(clashed) and plain
 
 
+def test_windows_of_numbered_words(spark, monkeypatch):
+    """Blocks of word numbers hold the same windows as blocks of words, and repeat no
+    window within a block."""
+    monkeypatch.setattr(C, "BLOCK", 50)
+    monkeypatch.setattr(C, "READ", 64)
+    monkeypatch.setattr(C, "SENT", 7)
+    odd = ["", " ", "A b\tB  c\x1cd, a b b", "Ünï ünï a\x0bb a;b", "a" * 70 + " b a b", "b a\r\nb a b a b a!b a", "ü b ü b ü\x00 b ü"]
+    rows = [(lang, text) for lang in ("en", "ö", "und") for text in odd * 5]
+    docs = spark.createDataFrame(rows, "lang string, text string").coalesce(1)
+    words = {lang: C.in_byte_order({w for r in rows if r[0] == lang for w in C.words_of(r[1])} - {"\n"}) for lang in ("en", "ö", "und")}
+
+    def runs(lang, ids):
+        reach = C.reach_of((ids[:-1] > 0) & (ids[1:] > 0), 5)
+        at = np.flatnonzero(reach > 1)
+        return at, reach[at].astype(np.int64) + 1
+
+    def summed(found):
+        return sorted(found.groupBy("lang", "window").agg(C.F.sum("f")).collect())
+
+    numbered = C.number_blocks(docs, words, runs, 5)
+    assert summed(numbered) == summed(C.blocks(docs, lambda w: C.runs_of(w, 5))) != []
+    monkeypatch.setattr(C, "BLOCK", 10_000)
+    whole = C.number_blocks(docs, words, runs, 5).select("lang", "window").collect()
+    assert len(set(whole)) == len(whole)
+    assert all([r["window"].encode() for r in whole if r["lang"] == lang] == sorted(r["window"].encode() for r in whole if r["lang"] == lang) for lang in words)
+
+
 # -- token alignment -----------------------------------------------------------
 
 
