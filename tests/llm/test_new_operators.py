@@ -171,6 +171,27 @@ def test_alignment_by_hand(make_docs, monkeypatch, sent):
     assert got[3][0] == got[4][0] == got[5][0] == 0 and got[2][0] > 0
 
 
+def test_texts_aligned_together(monkeypatch):
+    """What a text's alignment is doesn't depend on the texts beside it, nor on whether
+    its windows are told apart by one number or by their tuples."""
+    import public_tokenizers as files
+
+    aligner = TA.Aligner(files.path("byte_bpe_50k.tiktoken"), files.path("piece_bpe_32k.model"))
+    texts = [text or "" for text in (*TEXTS, "é ünï 漢字", None, "a b a b", *TEXTS)]
+    plain = lambda rows: [(*r[:5], list(r[5]), list(r[6])) for r in rows]
+    alone = plain(row for text in texts for row in aligner.align([text]))
+    assert plain(aligner.align(texts)) == alone
+    aligner.known.clear()
+    aligner.a_bits = aligner.b_bits = 24  # windows of up to two tokens have a number
+    assert plain(aligner.align(texts)) == alone
+    monkeypatch.setattr(TA, "TEXTS", 3)
+    monkeypatch.setattr(TA, "CHARS", 50)
+    parts = list(TA.portions(texts))
+    assert [at for begin, end in parts for at in range(begin, end)] == list(range(len(texts))) and len(parts) > len(texts) // 3
+    assert plain(row for begin, end in parts for row in aligner.align(texts[begin:end])) == alone
+    assert list(TA.portions([])) == [] == aligner.align([])
+
+
 def test_alignment_odd_tables(odd_docs, with_clashes, no_docs):
     assert TA.align_tokenizers(no_docs).count() == 0
     rows = TA.align_tokenizers(with_clashes(odd_docs)).collect()

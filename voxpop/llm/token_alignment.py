@@ -18,6 +18,7 @@ from itertools import chain
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,12 +29,11 @@ from voxpop.llm.registry import register
 REMEMBERED = 200_000
 #: Windows of more links aren't remembered.
 LONG = 64
+#: Texts and characters that are aligned together, at most (one text may be longer).
+TEXTS, CHARS = 500, 1 << 20
 #: Id pairs that are sent to every task; beyond, they're joined by a shuffle.
 PAIRS_SENT = 500_000
 
-#: Ids as decimal text.
-DIGITS = [str(i) for i in range(1 << 18)].__getitem__
-
 
 @lru_cache(maxsize=2)
 def byte_tokens(path: str):
@@ -72,29 +72,6 @@ def piece_tokens(path: str):
     return (lambda texts: model.encode(texts, num_threads=1)), tokens
 
 
-def align_window(a: tuple[int, ...], b: tuple[int, ...], a_sizes: list[int], b_sizes: list[int]) -> tuple[str, int, list[int]]:
-    """Groups as text, their number, and the links (a << 32 | b) of one window: two
-    tuples of ids with the same bytes, of sizes by id."""
-    if len(a) == 1 or len(b) == 1:  # one token overlaps all of the other side
-        return f"{','.join(map(DIGITS, a))}|{','.join(map(DIGITS, b))}", 1, [x << 32 | y for x in a for y in b]
-    groups, links = [], []
-    i = j = i0 = j0 = 0
-    ahead = 0  # bytes by which the A tokens up to i are ahead of the B tokens before j
-    while i < len(a):
-        ahead += a_sizes[a[i]]
-        while ahead > 0:
-            links.append(a[i] << 32 | b[j])
-            if b_sizes[b[j]] > ahead:  # this B token goes on under the next A token
-                break
-            ahead -= b_sizes[b[j]]
-            j += 1
-        i += 1
-        if not ahead:
-            groups.append(f"{','.join(map(DIGITS, a[i0:i]))}|{','.join(map(DIGITS, b[j0:j]))}")
-            i0, j0 = i, j
-    return ";".join(groups), len(groups), links
-
-
 class Aligner:
     """Aligns whole texts; keeps the alignments of windows by their id tuples."""
 
@@ -103,48 +80,143 @@ class Aligner:
         self.b_encode, self.b_tokens = piece_tokens(b_path)
         self.a_sizes, self.b_sizes = ([len(t) for t in tokens] for tokens in (self.a_tokens, self.b_tokens))
         self.a_space, self.b_space = (np.array([t.startswith(b" ") for t in tokens]) for tokens in (self.a_tokens, self.b_tokens))
-        self.known: dict[tuple[tuple[int, ...], tuple[int, ...]], tuple[str, int, list[int]]] = {}
-
-    def windows(self, keys: list[tuple[tuple[int, ...], tuple[int, ...]]]) -> list[tuple[str, int, list[int]]]:
+        self.a_lengths, self.b_lengths = np.array(self.a_sizes), np.array(self.b_sizes)
+        self.a_array, self.b_array = (pa.array(tokens, pa.large_binary()) for tokens in (self.a_tokens, self.b_tokens))
+        self.a_bits, self.b_bits = (len(tokens).bit_length() for tokens in (self.a_tokens, self.b_tokens))
+        #: Each id as it's written before another of its side, before the B tokens, before the next group.
+        self.written = pa.array([f"{i}{mark}" for i in range(max(len(self.a_tokens), len(self.b_tokens))) for mark in ",|;"], pa.large_string())
+        self.known: dict[tuple[tuple[int, ...], tuple[int, ...]], tuple[str, int, np.ndarray]] = {}
+
+    def windows(self, keys: list[tuple[tuple[int, ...], tuple[int, ...]]]) -> list[tuple[str, int, np.ndarray]]:
         """Alignments of pairs of id tuples, new ones worked out and remembered."""
         found = list(map(self.known.get, keys))
-        for at, one in enumerate(found):
-            if one is None:
-                found[at] = new = align_window(*keys[at], self.a_sizes, self.b_sizes)
+        missing = [at for at, one in enumerate(found) if one is None]
+        if missing:
+            for at, new in zip(missing, self.align_windows([keys[at] for at in missing])):
+                found[at] = new
                 if len(self.known) >= REMEMBERED:
                     self.known.clear()
                 if len(new[2]) <= LONG:
                     self.known[keys[at]] = new
         return found
 
-    def align(self, texts: list[str]) -> Iterator[tuple]:
+    def align_windows(self, keys: list[tuple[tuple[int, ...], tuple[int, ...]]]) -> Iterator[tuple[str, int, np.ndarray]]:
+        """Groups as text, each followed by a semicolon, their number, and the links
+        (a << 32 | b) of windows: two tuples of ids with the same bytes each."""
+        a, b = zip(*keys)
+        n_a, n_b = (np.fromiter(map(len, side), np.int64, len(keys)) for side in (a, b))
+        a_ids, b_ids = np.fromiter(chain.from_iterable(a), np.int64, n_a.sum()), np.fromiter(chain.from_iterable(b), np.int64, n_b.sum())
+        a_ends, b_ends = self.a_lengths[a_ids].cumsum(), self.b_lengths[b_ids].cumsum()
+        ended_a, ended_b = np.zeros((2, a_ends[-1] + 1), bool)
+        ended_a[a_ends] = ended_b[b_ends] = True
+        # Between two ends, whichever side's, one A token and one B token overlap.
+        ends, shared = np.flatnonzero(ended_a | ended_b), np.flatnonzero(ended_a & ended_b)
+        links = a_ids[np.searchsorted(a_ends, ends)] << 32 | b_ids[np.searchsorted(b_ends, ends)]
+        window_ends = a_ends[n_a.cumsum() - 1]
+        linked, grouped = (np.searchsorted(at, window_ends, "right") for at in (ends, shared))
+        # A group's A tokens stand before its B tokens.
+        a_group, b_group = np.searchsorted(shared, a_ends), np.searchsorted(shared, b_ends)
+        order = np.empty(len(a_ids) + len(b_ids), np.int64)
+        order[np.arange(len(a_ids)) + np.searchsorted(b_group, a_group)] = a_ids * 3 + ended_b[a_ends]
+        order[np.arange(len(b_ids)) + np.searchsorted(a_group, b_group, "right")] = b_ids * 3 + 2 * ended_a[b_ends]
+        text = self.written.take(pa.array(order))
+        offsets = np.frombuffer(text.buffers()[1], np.int64)[np.append(0, (n_a + n_b).cumsum())]
+        texts = pa.LargeStringArray.from_buffers(len(keys), pa.py_buffer(offsets.tobytes()), text.buffers()[2]).to_pylist()
+        at = [0, *linked.tolist()]
+        return zip(texts, np.diff(grouped, prepend=0).tolist(), [links[x:y].copy() for x, y in zip(at, at[1:])])
+
+    def same_bytes(self, ids: list[list[int]], tokens: pa.Array, texts: list[bytes]) -> np.ndarray:
+        """Whether the tokens of each text are, joined, its bytes."""
+        joined, at = tokens.take(pa.array(np.fromiter(chain.from_iterable(ids), np.int64))), np.cumsum([0, *map(len, ids)])
+        offsets = np.frombuffer(joined.buffers()[1], np.int64)[at].tolist() if len(joined) else [0] * len(at)
+        raw = memoryview(joined.buffers()[2] or b"")
+        return np.array([bytes(raw[i:j]) == text for i, j, text in zip(offsets, offsets[1:], texts)], bool)
+
+    def align(self, texts: list[str]) -> list[tuple]:
         """n_a, n_b, n_groups, n_links, groups_sha256, distinct links and how often
-        each stands in the text."""
-        nothing = (0, 0, 0, 0, "", [], [])
-        a_sizes, b_sizes = np.array(self.a_sizes), np.array(self.b_sizes)
-        b_token = self.b_tokens.__getitem__
-        for text, b in zip(texts, self.b_encode(texts)):
-            spaced = (" " + text).encode()
-            a, b = tuple(self.a.encode_ordinary(" " + text)), tuple(b)
-            if not text or b"".join(map(b_token, b)) != spaced or self.a.decode_bytes(a) != spaced:
-                yield nothing
-                continue
-            a_ids, b_ids = np.array(a), np.array(b)
-            ends_a, ends_b = a_sizes[a_ids].cumsum(), b_sizes[b_ids].cumsum()
-            # The tokens after a shared end: where both begin with a space is an anchor.
-            shared = np.zeros(len(spaced) + 1, bool)
-            shared[ends_b] = True
-            i = np.flatnonzero(shared[ends_a])[:-1]
-            j = np.searchsorted(ends_b, ends_a[i]) + 1
-            i += 1
-            anchor = self.a_space[a_ids[i]] & self.b_space[b_ids[j]]
-            i, j = i[anchor].tolist(), j[anchor].tolist()
-            keys = [(a[i0:i1], b[j0:j1]) for i0, i1, j0, j1 in zip([0, *i], [*i, len(a)], [0, *j], [*j, len(b)])]
-            groups, numbers, links = zip(*self.windows(keys))
-            links = np.fromiter(chain.from_iterable(links), np.int64)
-            pairs, times = np.unique(links, return_counts=True)
-            digest = hashlib.sha256(";".join(groups).encode()).hexdigest()
-            yield len(a), len(b), sum(numbers), len(links), digest, pairs, times
+        each stands in the text, of each text."""
+        spaced = [(" " + text).encode() for text in texts]
+        a, b = [self.a.encode_ordinary(" " + text) for text in texts], self.b_encode(texts)
+        whole = self.same_bytes(a, self.a_array, spaced) & self.same_bytes(b, self.b_array, spaced)
+        whole &= np.array([text != "" for text in texts], bool)
+        rows: list[tuple] = [(0, 0, 0, 0, "", [], [])] * len(texts)
+        at = np.flatnonzero(whole).tolist()
+        for i, row in zip(at, self.align_whole([a[i] for i in at], [b[i] for i in at])):
+            rows[i] = row
+        return rows
+
+    def align_whole(self, a: list[list[int]], b: list[list[int]]) -> Iterator[tuple]:
+        """The same, of texts whose tokens have the same bytes; all texts' windows of few
+        tokens are told apart by one number, so each is looked up once."""
+        if not a:
+            return
+        n_a, n_b = (np.array(list(map(len, side))) for side in (a, b))
+        a_list, b_list = (list(chain.from_iterable(side)) for side in (a, b))
+        a_ids, b_ids = (np.array(listed, np.int64) for listed in (a_list, b_list))
+        a_ends, b_ends = self.a_lengths[a_ids].cumsum(), self.b_lengths[b_ids].cumsum()
+        # The tokens after a shared end: where both begin with a space is an anchor.
+        ended_b = np.zeros(a_ends[-1] + 1, np.int64)
+        ended_b[b_ends] = np.arange(1, len(b_ends) + 1)
+        i = np.arange(1, len(a_ids))
+        j = ended_b[a_ends[:-1]]
+        i, j = i[j > 0], j[j > 0]
+        first = np.zeros(len(a_ids), bool)
+        first[n_a.cumsum()[:-1]] = True  # so is the begin of a text
+        anchor = (self.a_space[a_ids[i]] & self.b_space[b_ids[j]]) | first[i]
+        i, j = np.append(0, i[anchor]), np.append(0, j[anchor])
+        a_size, b_size = np.diff(i, append=len(a_ids)), np.diff(j, append=len(b_ids))
+        few = (a_size <= 63 // self.a_bits) & (b_size <= 63 // self.b_bits)
+        short, long = np.flatnonzero(few), np.flatnonzero(~few)
+        parts = packed(a_ids, i[short], a_size[short], self.a_bits), packed(b_ids, j[short], b_size[short], self.b_bits)
+        (of_a, _), (of_b, listed) = map(pd.factorize, parts)
+        codes, distinct = pd.factorize(of_a * len(listed) + of_b)
+        code = np.empty(len(i), np.int64)
+        code[short], code[long] = codes, len(distinct) + np.arange(len(long))
+        one = np.empty(len(distinct) + len(long), np.int64)  # a place of each
+        one[code] = np.arange(len(i))
+        at = zip(i[one].tolist(), a_size[one].tolist(), j[one].tolist(), b_size[one].tolist())
+        groups, numbers, links = zip(*self.windows([(tuple(a_list[i0 : i0 + x]), tuple(b_list[j0 : j0 + y])) for i0, x, j0, y in at]))
+
+        starts = np.searchsorted(i, np.append(0, n_a.cumsum()[:-1]))  # each text's first window
+        text = pa.array(groups, pa.large_string()).take(pa.array(code))
+        offsets = np.frombuffer(text.buffers()[1], np.int64)[np.append(starts, len(i))].tolist()
+        raw = memoryview(text.buffers()[2])
+        digests = [hashlib.sha256(raw[x : y - 1]).hexdigest() for x, y in zip(offsets, offsets[1:])]
+        n_groups = np.add.reduceat(np.array(numbers)[code], starts)
+
+        size, flat = np.array(list(map(len, links))), np.concatenate(links)
+        flat = flat >> 32 << self.b_bits | flat & (1 << 32) - 1
+        many, begin = size[code], (size.cumsum() - size)[code]
+        n_links = np.add.reduceat(many, starts)
+        every = flat[np.repeat(begin - (many.cumsum() - many), many) + np.arange(many.sum())]
+        wide = self.a_bits + self.b_bits
+        every = np.sort(np.repeat(np.arange(len(a)), n_links) << wide | every)
+        new = np.flatnonzero(np.append(True, every[1:] != every[:-1]))
+        times, every = np.diff(new, append=len(every)), every[new]
+        pairs = (every >> self.b_bits & (1 << self.a_bits) - 1) << 32 | every & (1 << self.b_bits) - 1
+        ends = np.searchsorted(every, np.arange(1, len(a)) << wide)
+        yield from zip(n_a.tolist(), n_b.tolist(), n_groups.tolist(), n_links.tolist(), digests, np.split(pairs, ends), np.split(times, ends))
+
+
+def packed(ids: np.ndarray, at: np.ndarray, size: np.ndarray, bits: int) -> np.ndarray:
+    """One number for the ``size`` ids from ``at`` on, of as many as fit into 63 bits."""
+    ids = np.append(ids + 1, np.zeros(63 // bits, np.int64))
+    key = np.zeros(len(at), np.int64)
+    for n in range(63 // bits):
+        key = key << bits | np.where(n < size, ids[at + n], 0)
+    return key
+
+
+def portions(texts: list[str]) -> Iterator[tuple[int, int]]:
+    """Texts that are aligned together: ``TEXTS`` at most, of about ``CHARS`` together."""
+    begin = chars = 0
+    for at, text in enumerate(texts):
+        if at > begin and (at - begin == TEXTS or chars + len(text) > CHARS):
+            yield begin, at
+            begin, chars = at, 0
+        chars += len(text)
+    if texts:
+        yield begin, len(texts)
 
 
 def aligned(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", a_path: str | None = None, b_path: str | None = None) -> DataFrame:
@@ -158,11 +230,10 @@ def aligned(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", a_p
         gc.disable()  # tuples of ids make no cycles, and looking for some takes a quarter of the time
         try:
             for pdf in batches:
-                for at in range(0, len(pdf), 500):
-                    part = pdf.iloc[at : at + 500]
-                    rows = list(aligner.align(part["text"].tolist()))
-                    out = pd.DataFrame(rows, columns=["n_a", "n_b", "n_groups", "n_links", "groups_sha256", "pairs", "times"])
-                    yield out.assign(doc_id=part["doc_id"].to_numpy())[["doc_id", *out.columns]]
+                texts = pdf["text"].tolist()
+                for begin, end in portions(texts):
+                    out = pd.DataFrame(aligner.align(texts[begin:end]), columns=["n_a", "n_b", "n_groups", "n_links", "groups_sha256", "pairs", "times"])
+                    yield out.assign(doc_id=pdf["doc_id"].iloc[begin:end].to_numpy())[["doc_id", *out.columns]]
         finally:
             gc.enable()
 
