@@ -53,7 +53,7 @@ def test_hash_is_of_the_text_alone():
     assert (C.hashes_of(pa.array(texts).slice(4, 40)) == whole[4:44]).all()
 
 
-def test_scores_may_drop_the_grams_and_fit_in_parts(spark, monkeypatch):
+def test_written_scores_are_the_same_and_fits_go_in_parts(spark, monkeypatch):
     rows = [(str(i), ["a", "b"] if i % 3 else ["a", "c"], int(i % 3 == 0), int(i % 5 == 0)) for i in range(60)]
     df = spark.createDataFrame(rows, "id string, grams array<string>, positive int, negative int")
     whole = M.train_sentiment_models(df, folds=2)
@@ -64,5 +64,6 @@ def test_scores_may_drop_the_grams_and_fit_in_parts(spark, monkeypatch):
     parts = M.train_sentiment_models(df, folds=2)
     for a, b in zip(whole.table.orderBy("idx").collect(), parts.table.orderBy("idx").collect(), strict=True):
         assert a.gram == b.gram and a.weights == pytest.approx(b.weights, abs=1e-12) and a.fold_weights == pytest.approx(b.fold_weights, abs=1e-12)
-    assert M.score(parts, df).columns == [*df.columns, "pos_p1", "pos", "neg_p1", "neg"]
-    assert "grams" not in M.score(parts, df, keep_grams=False).columns
+    plain, written = M.score(parts, df), parts.score_written(df, keep_grams=True)
+    assert plain.columns == written.columns and plain.exceptAll(written).isEmpty() and written.count() == len(rows)
+    assert "grams" not in parts.score_written(df).columns
